@@ -39,6 +39,11 @@ def ratio_if_positive(num: Column | str, den: Column | str) -> Column:
     return F.when(den > 0, ratio(num, den))
 
 
+def round_cents(c: Column) -> Column:
+    """Two decimals, ties to even on the scaled double."""
+    return F.rint(c * 100) / 100
+
+
 def signed(c: Column | str, sign: Column) -> Column:
     """`c` with the sign of `sign`. Negating keeps a decimal's type, multiplying would widen it."""
     c = as_column(c)

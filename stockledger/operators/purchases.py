@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger import vocab
-from stockledger.functions.exprs import mean, ratio, signed, sum0, zero_nulls
+from stockledger.functions.exprs import mean, ratio, round_cents, signed, sum0, zero_nulls
 from stockledger.operators.monthly import present_months
 
 PRICE = "valor_unitario_calculado"
@@ -29,7 +29,7 @@ def net_purchases(ledger: DataFrame) -> DataFrame:
         )
     )
     price = F.when(F.col("Cantidad_neta") == 0, F.lit(0.0)).otherwise(
-        F.bround(ratio("ValorTotal_neto", "Cantidad_neta"), 2)
+        round_cents(ratio("ValorTotal_neto", "Cantidad_neta"))
     )
     return netted.withColumn(PRICE, price)
 
