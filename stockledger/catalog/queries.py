@@ -112,6 +112,10 @@ def _report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.class_totals(data["billed"], data["returns"], data["internal_out"], data["internal_in"])
 
 
+def _net_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.net_report(_report_totals(spark, sf_dir))
+
+
 # --- queries ---------------------------------------------------------------------------------
 
 
@@ -199,10 +203,8 @@ def _audit(*rules: int) -> Query:
 
 
 def _reconciliation(s: SparkSession, d: str) -> DataFrame:
-    data = _prepared(s, d)
-    tables = report.consumption_report(data["billed"], data["returns"], data["internal_out"], data["internal_in"])
     extract = demo.movement_extract(s, d)
-    return portable(reconcile.reconcile(extract, extract, tables, money=demo.MONEY))
+    return portable(reconcile.reconcile(extract, extract, _net_report(s, d), money=demo.MONEY))
 
 
 def _profitability(s: SparkSession, d: str) -> DataFrame:
@@ -254,7 +256,7 @@ def _consumption_queries() -> dict[str, Query]:
         "report_supplies": "consumos_suministros",
     }
     for name, table in tables.items():
-        out[name] = lambda s, d, t=table: portable(report.net_totals(_report_totals(s, d), t))
+        out[name] = lambda s, d, t=table: portable(report.report_table(_net_report(s, d), t))
     return out
 
 

@@ -145,6 +145,16 @@ def ensure_checkpoint_dir(df: DataFrame) -> None:
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="stockledger-checkpoint-"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes the rows to the checkpoint folder and reads from there on.
+
+    For frames that are read several times and must be the same each time, or are too dear to
+    compute again; the files outlive lost executors.
+    """
+    ensure_checkpoint_dir(df)
+    return df.checkpoint()
+
+
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, total: str, partitions: int | None = None) -> DataFrame:
     """Adds the running sum of `value` over the global `order` and the sum of all rows.
 
@@ -152,9 +162,8 @@ def running_total(df: DataFrame, order: list[Column], value: str, out: str, tota
     number must not change between its two uses, hence the checkpoint. One row per partition
     then carries the offset; each partition is summed on its own.
     """
-    ensure_checkpoint_dir(df)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    slices = materialize(df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         slices.groupBy("_slice")

@@ -205,13 +205,16 @@ def prepare_consumption(
 
 
 def control_totals(datasets: dict[str, DataFrame]) -> DataFrame:
-    """Rows, columns and total value of each dataset."""
-    totals = [
-        df.agg(F.count(F.lit(1)).alias("filas"), sum0(F.col("ValorTotal")).alias("ValorTotal")).select(
-            F.lit(name).alias("conjunto"), "filas", F.lit(len(df.columns)).alias("columnas"), "ValorTotal"
-        )
-        for name, df in datasets.items()
-    ]
+    """Rows, columns and total value of each dataset; one under two names is read once."""
+    names: dict[int, list[str]] = {}
+    for name, df in datasets.items():
+        names.setdefault(id(df), []).append(name)
+    totals = []
+    for same in names.values():
+        df = datasets[same[0]]
+        total = df.agg(F.count(F.lit(1)).alias("filas"), sum0("ValorTotal").alias("ValorTotal"))
+        label = F.explode(F.array(*[F.lit(n) for n in same]))
+        totals.append(total.select(label.alias("conjunto"), "filas", F.lit(len(df.columns)).alias("columnas"), "ValorTotal"))
     return reduce(DataFrame.unionByName, totals)
 
 

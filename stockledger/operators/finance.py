@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import (
     exact_medians,
+    materialize,
     profile_mean,
     profile_median,
     profile_mode,
@@ -323,9 +324,15 @@ def billing_gap_detail(billing: DataFrame, consumption: DataFrame, keys: str = R
 def billing_gap_summary(detail: DataFrame) -> DataFrame:
     """The detail per site, corrected service and specialty.
 
-    Reads the detail three times (totals, bracket, medians): persist it first where that costs.
+    Totals, bracket and medians each read the detail, so its narrow columns are written once.
     """
     keys = ["Municipio", "Servicio_Corregido", "Especialidad"]
+    detail = materialize(
+        detail.select(
+            *keys, "idadmision", "No_Factura", "Facturado_Valor", "Consumido_Valor", "Margen_Bruto",
+            "Ratio_Fact_Consumo", "Margen_Porcentual", "Estado_Facturacion", "Alerta_Spread",
+        )
+    )
     totals = detail.groupBy(*keys).agg(
         sum0("Facturado_Valor").alias("Total_Facturado"),
         sum0("Consumido_Valor").alias("Total_Consumido"),
@@ -471,8 +478,15 @@ def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption:
 
 
 def purchase_summary_by_service(detail: DataFrame) -> DataFrame:
-    """The detail per site and service. Reads it three times, like the billing gap summary."""
+    """The detail per site and service, its narrow columns written once like the billing gap's."""
     keys = ["Municipio", "Servicio"]
+    detail = materialize(
+        detail.select(
+            *keys, "CodigoGenerico", "Compras_Valor", "Facturacion_Valor", "Consumo_Valor", "Margen_Total",
+            "Valor_Stock_Muerto_Estimado", "Margen_Porcentual_Prom", "Ratio_Consumo_Compra", "Alerta_Margen",
+            "Alerta_Eficiencia_Compra",
+        )
+    )
     totals = detail.groupBy(*keys).agg(
         sum0("Compras_Valor").alias("Total_Compras"),
         sum0("Facturacion_Valor").alias("Total_Facturacion"),

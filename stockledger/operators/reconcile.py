@@ -26,15 +26,25 @@ def _raw(df: DataFrame, vouchers: list[str], money: str) -> tuple[DataFrame, Col
     return df.where(F.col("Comprobante").isin(vouchers)), F.col("ValorTotal").try_cast(money)
 
 
-def reconcile(raw_out: DataFrame, raw_in: DataFrame, report: dict[str, DataFrame], tolerance: float = TOLERANCE, money: str = "double") -> DataFrame:
+def reconcile(
+    raw_out: DataFrame,
+    raw_in: DataFrame,
+    report: DataFrame | dict[str, DataFrame],
+    tolerance: float = TOLERANCE,
+    money: str = "double",
+) -> DataFrame:
     """One row: raw out, raw in, their difference, the report's total, what is left, and whether
-    that is within the tolerance (the limit itself included)."""
+    that is within the tolerance (the limit itself included).
+
+    `report` is the net report in one frame, or its tables by name.
+    """
     out_lines, out_amount = _raw(raw_out, OUT_VOUCHERS, money)
     in_lines, in_amount = _raw(raw_in, IN_VOUCHERS, money)
-    for name, table in report.items():
+    tables = report if isinstance(report, dict) else {"the report": report}
+    for name, table in tables.items():
         if "ValorNeto" not in table.columns:
             raise KeyError(f"ValorNeto is not among the columns of {name}")
-    processed = reduce(DataFrame.unionByName, [t.select("ValorNeto") for t in report.values()])
+    processed = reduce(DataFrame.unionByName, [t.select("ValorNeto") for t in tables.values()])
     sides = [
         _side(out_lines, "total_consumos", out_amount),
         _side(in_lines, "total_entradas", in_amount),

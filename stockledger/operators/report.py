@@ -17,6 +17,7 @@ TABLES = {
     "consumo_dispositivos": (vocab.DEVICES, ["internal"]),
     "consumos_suministros": (vocab.SUPPLIES, ["internal", "billed"]),
 }
+TABLE = "tabla"
 CLASSES = [vocab.MEDICINES, vocab.DEVICES, vocab.SUPPLIES]
 
 
@@ -65,17 +66,30 @@ def class_totals(billed: DataFrame, returns: DataFrame, internal_out: DataFrame,
     )
 
 
-def net_totals(totals: DataFrame, name: str) -> DataFrame:
-    """Out less in for one report table, per site and service."""
-    article_class, sources = TABLES[name]
+def net_report(totals: DataFrame) -> DataFrame:
+    """Out less in per report table (`tabla`), site and service: all four tables in one frame.
+
+    Each class and source goes into exactly one table.
+    """
+    table = first_match(
+        [
+            ((F.col("Clasificacion_consumo") == article_class) & F.col("origen").isin(sources), name)
+            for name, (article_class, sources) in TABLES.items()
+        ],
+        otherwise=F.lit(None).cast("string"),
+    )
     return (
-        totals.where((F.col("Clasificacion_consumo") == article_class) & F.col("origen").isin(sources))
-        .groupBy("Municipio", "Servicio")
+        totals.withColumn(TABLE, table)
+        .groupBy(TABLE, "Municipio", "Servicio")
         .agg(sum0(F.col("ValorTotal") * F.col("signo")).alias("ValorNeto"))
     )
 
 
+def report_table(net: DataFrame, name: str) -> DataFrame:
+    return net.where(F.col(TABLE) == name).drop(TABLE)
+
+
 def consumption_report(billed: DataFrame, returns: DataFrame, internal_out: DataFrame, internal_in: DataFrame) -> dict[str, DataFrame]:
     """The four report tables."""
-    totals = class_totals(billed, returns, internal_out, internal_in)
-    return {name: net_totals(totals, name) for name in TABLES}
+    net = net_report(class_totals(billed, returns, internal_out, internal_in))
+    return {name: report_table(net, name) for name in TABLES}

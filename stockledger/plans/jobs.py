@@ -180,14 +180,18 @@ def run_consumption_job(
             return {"totales": counts, **one("medicos_nulos", data["unclosed"])}
 
         def net_report() -> dict[str, str]:
-            tables = report.consumption_report(
-                data["billed"], data["returns"], data["internal_out"], data["internal_in"]
+            net["report"] = kept.enter_context(
+                _persisted(
+                    report.net_report(
+                        report.class_totals(data["billed"], data["returns"], data["internal_out"], data["internal_in"])
+                    )
+                )
             )
-            net.update({n: kept.enter_context(_persisted(df)) for n, df in tables.items()})
-            return write_report(net, path("informe"), fmt, orders)
+            tables = {name: report.report_table(net["report"], name) for name in report.TABLES}
+            return write_report(tables, path("informe"), fmt, orders)
 
         def reconciliation() -> dict:
-            return reconcile.reconcile(extracts["out"], extracts["in"], net, money=money).first().asDict()
+            return reconcile.reconcile(extracts["out"], extracts["in"], net["report"], money=money).first().asDict()
 
         def financial() -> dict[str, str]:
             used, received, billed = finance.financial_inputs(data)

@@ -3,8 +3,16 @@
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "stockledger", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with adaptive execution, UTC dates and no web page."""
+def build_session(
+    app: str = "stockledger",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
+) -> SparkSession:
+    """A session with adaptive execution, UTC dates and no web page.
+
+    `driver_memory` matters in local mode, where the driver does all the work.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
@@ -12,9 +20,13 @@ def build_session(app: str = "stockledger", master: str | None = None, shuffle_p
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # joins whose smaller side turns out to fit per partition are hashed and not sorted
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()

@@ -30,6 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items, spread over all cores when their file has too few splits for that.
+
+    The small test files are one row group each, which one task reads alone. Large tables have
+    more splits than there are cores and are left as they are, without a shuffle.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return lines if lines.rdd.getNumPartitions() >= cores else lines.repartition(cores, "l_orderkey")
+
+
 def _pick(options: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), index.cast("int") + 1)
 
@@ -54,7 +65,7 @@ def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return (
-        table(spark, sf_dir, "lineitem")
+        line_items(spark, sf_dir)
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -120,7 +131,7 @@ def movement_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = _pick(["AMB", "HOS"], F.pmod(F.col("l_suppkey"), F.lit(2)))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return (
-        table(spark, sf_dir, "lineitem")
+        line_items(spark, sf_dir)
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             voucher.alias("Comprobante"),
@@ -151,7 +162,7 @@ def _billed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return (
-        table(spark, sf_dir, "lineitem")
+        line_items(spark, sf_dir)
         .where(F.pmod(F.col("l_partkey"), F.lit(11)) != 0)
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))

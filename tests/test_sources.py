@@ -105,6 +105,6 @@ def test_reports_are_written_one_dataset_per_table(spark, tmp_path):
 def test_sorted_csv_report(spark, tmp_path):
     df = spark.createDataFrame([(1,), (None,), (3,)], "n bigint")
     path = sinks.write_table(df, f"{tmp_path}/t", "csv", [F.col("n").desc_nulls_first()])
-    parts = sorted(p.read_text().split() for p in (tmp_path / "t").glob("part-*"))
+    parts = sorted(p.read_text().splitlines() for p in (tmp_path / "t").glob("part-*"))
     values = [v for lines in parts for v in lines if v != "n"]
     assert path == f"{tmp_path}/t" and values == ['""', "3", "1"]
