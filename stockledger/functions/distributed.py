@@ -1,158 +1,175 @@
-"""Exact statistics that stay distributed when one group is very large.
+"""Exact statistics that stay distributed when one group holds much of the data.
 
-* `value_profile`: statistics per group from the histogram of its values. Rows collapse to
-  one per distinct value on the map side, and the rest runs on sorted, spillable windows.
-* `exact_medians`: the median of a continuous value in a few large groups. A mergeable sketch
-  brackets the middle, one pass counts what lies below the bracket and sorts only what is in it.
+* `frequency_profile`: mode, mean, deviation and range of a group from the histogram of its
+  values. Both aggregations combine on the map side.
+* `grouped_medians`: medians next to other aggregates in one pass of mergeable sketches, which are
+  exact for small groups. Large groups take a second pass: the sketch brackets the middle, all
+  rows are counted against the bracket, and only what is in it is sorted.
 * `running_total`: a running sum over one global order without putting all rows in one task.
 """
 
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-
-def value_histogram(
-    df: DataFrame, keys: list[str], value: str, aggs: dict[str, Column] | None = None, by: list[str] | None = None
-) -> DataFrame:
-    """One row per group and distinct value (and `by`): `_rows`, `_n` (non-null), `_sum`, `aggs`."""
-    extra = [c.alias(name) for name, c in (aggs or {}).items()]
-    return df.groupBy(*keys, value, *(by or [])).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_n"), F.sum(value).alias("_sum"), *extra
-    )
-
-
-def with_value_ranks(hist: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Adds what `profile_aggs` reads: group size, mean, running count and highest frequency."""
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hist.withColumns(
-        {
-            "_total": F.sum("_n").over(group),
-            "_mean": F.try_divide(F.sum("_sum").over(group).cast("double"), F.sum("_n").over(group)),
-            "_upto": F.sum("_n").over(upto),
-            "_top": F.max("_rows").over(group),
-        }
-    )
-
-
-def profile_median(value: str) -> Column:
-    """Interpolated median: the two middle values of the group, each found by its running count."""
-    low = F.min(F.when(F.col("_upto") * 2 >= F.col("_total"), F.col(value)))
-    high = F.min(F.when(F.col("_upto") * 2 > F.col("_total"), F.col(value)))
-    return (low.cast("double") + high.cast("double")) / 2
-
-
-def profile_mean() -> Column:
-    return F.max("_mean")
+from stockledger.functions.exprs import null_safe_join
 
 
-def profile_std(value: str) -> Column:
-    """Sample standard deviation, two passes; NULL below two values."""
-    spread = F.sum(F.pow(F.col(value).cast("double") - F.col("_mean"), 2) * F.col("_n"))
-    size = F.max("_total")
-    return F.when(size > 1, F.sqrt(spread / (size - 1)))
+def ensure_checkpoint_dir(df: DataFrame) -> None:
+    """Uses the session's shared checkpoint folder; sets a scratch one only where none is named."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="stockledger-checkpoint-"))
 
 
-def profile_mode(value: str, rows: str = "_rows", top: str = "_top") -> Column:
-    """Smallest of the most frequent values. NULL counts as a value and sorts first."""
-    is_top = F.col(rows) == F.col(top)
-    null_is_top = F.max(F.when(is_top & F.col(value).isNull(), 1).otherwise(0)) == 1
-    return F.when(~null_is_top, F.min(F.when(is_top, F.col(value))))
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes the rows to the checkpoint folder and reads from there on.
 
+    For frames that are read several times and must be the same each time, or are too dear to
+    compute again; the files outlive lost executors.
+    """
+    ensure_checkpoint_dir(df)
+    return df.checkpoint()
 
-def value_profile(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    stats: dict[str, Column],
-    aggs: dict[str, Column] | None = None,
-    by: list[str] | None = None,
-) -> DataFrame:
-    """`stats` per group, built from the `profile_*` columns and aggregates of `aggs` and `by`."""
-    ranked = with_value_ranks(value_histogram(df, keys, value, aggs, by), keys, value)
-    return ranked.groupBy(*keys).agg(*[c.alias(name) for name, c in stats.items()])
 
+def frequency_profile(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """`mode`, `highest`, `mean`, `std` (sample, NULL below two values) and `lowest` per group.
 
-def with_group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Adds the median of `value` (never NULL) over each group to the group's rows."""
-    group = Window.partitionBy(*keys)
-    ranked = df.withColumns({"_total": F.count(value).over(group), "_upto": F.row_number().over(group.orderBy(value))})
-    low = F.min(F.when(F.col("_upto") * 2 >= F.col("_total"), F.col(value))).over(group)
-    high = F.min(F.when(F.col("_upto") * 2 > F.col("_total"), F.col(value))).over(group)
-    return ranked.withColumn(out, (low + high) / 2).drop("_total", "_upto")
+    The mode is the smallest of the most frequent values; NULL counts as a value and comes first.
+    Whole numbers are squared as decimals, so their deviation has no rounding before the root.
+    """
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    exact = F.col(value).cast("decimal(18,0)" if whole else "double")
+    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_n"))
+    sums = hist.groupBy(*keys).agg(
+        F.min(F.struct(-F.col("_rows"), F.col(value).alias("v"))).getField("v").alias("mode"),
+        F.max(value).alias("highest"),
+        F.min(value).alias("lowest"),
+        F.sum("_n").alias("_size"),
+        F.sum(exact * F.col("_n")).alias("_sum"),
+        F.sum(exact * exact * F.col("_n")).alias("_squares"),
+    )
+    size, total = F.col("_size"), F.col("_sum")
+    kind = "decimal(38,0)" if whole else "double"
+    spread = (size.cast(kind) * F.col("_squares").cast(kind) - total.cast(kind) * total.cast(kind)).cast("double")
+    return sums.select(
+        *keys,
+        "mode",
+        "highest",
+        F.try_divide(total.cast("double"), size).alias("mean"),
+        F.when(size > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (size.cast("double") * (size - 1)))).alias("std"),
+        "lowest",
+    )
 
 
 SKETCH_ACCURACY = 10000
+# The sketch errs by less than one rank below 10,000 values, and merging adds nothing below
+# 5,000, so quantiles at one half and just above it are the two middle values.
+SMALL_GROUP = 4000
+JUST_ABOVE_HALF = 0.50005
 # Ten times the sketch's rank error to either side of the middle.
 BRACKET = 10 / SKETCH_ACCURACY
+LOW, MIDDLE, NEXT, HIGH = range(4)
 
 
-def exact_medians(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Interpolated medians of `columns` per group, one row per group that has a value.
+def grouped_medians(df: DataFrame, keys: list[str], medians: dict[str, str], aggs: list[Column] | None = None) -> DataFrame:
+    """`aggs` and the interpolated median of each column of `medians` (column -> name) per group.
 
-    The sketch only chooses what gets sorted. The counts below and above the bracket come from
-    the same rows in the same pass, so the rank of every candidate is exact.
+    The first pass is written out, so that it runs once and so that the second can be left out
+    when no group is large, which is the common case.
     """
-    long = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns])
-        ).alias("m"),
-    ).select(*keys, "m.metric", "m.v").where(F.col("v").isNotNull())
-    by = [*keys, "metric"]
-    bracket = long.groupBy(*by).agg(
-        F.percentile_approx("v", [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY).alias("_b")
+    quantiles = [0.5 - BRACKET, 0.5, JUST_ABOVE_HALF, 0.5 + BRACKET]
+    sketches = [
+        c
+        for column, name in medians.items()
+        for c in (
+            F.count(column).alias(f"_n_{name}"),
+            F.percentile_approx(F.col(column).cast("double"), quantiles, SKETCH_ACCURACY).alias(f"_q_{name}"),
+        )
+    ]
+    groups = materialize(df.groupBy(*keys).agg(*(aggs or []), *sketches))
+    large = {name: F.col(f"_n_{name}") > SMALL_GROUP for name in medians.values()}
+    any_large = groups.where(reduce(lambda a, b: a | b, large.values()))
+    exact = {name: F.lit(None).cast("double") for name in medians.values()}
+    if not any_large.isEmpty():
+        groups = null_safe_join(groups, _ranked_medians(df, any_large, keys, medians), keys)
+        exact = {name: F.col(f"_m_{name}") for name in medians.values()}
+    kept = [c for c in groups.columns if not c.startswith(("_n_", "_q_", "_m_"))]
+    sketched = {name: (F.col(f"_q_{name}")[MIDDLE] + F.col(f"_q_{name}")[NEXT]) / 2 for name in medians.values()}
+    return groups.select(
+        *kept, *[F.when(large[n], exact[n]).otherwise(sketched[n]).alias(n) for n in medians.values()]
     )
-    left, right = long.alias("x"), bracket.alias("b")
-    same = [F.col(f"x.{k}").eqNullSafe(F.col(f"b.{k}")) for k in by]
-    side = F.when(F.col("v") < F.col("_b")[0], -1).when(F.col("v") > F.col("_b")[1], 1).otherwise(0)
+
+
+def _ranked_medians(df: DataFrame, large: DataFrame, keys: list[str], medians: dict[str, str]) -> DataFrame:
+    """Medians of the large groups as `_m_<name>`, ranked within the bracket of their sketch.
+
+    The counts below and above the bracket come from the same rows in the same pass, so the rank
+    of every candidate is exact whatever the sketch returned; a middle outside it is an error.
+    """
+
+    def stacked(source: DataFrame, entries: list[Column]) -> DataFrame:
+        return source.select(*keys, F.explode(F.array(*entries)).alias("m")).select(*keys, "m.*")
+
+    values = stacked(
+        df, [F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("v")) for c, n in medians.items()]
+    ).where(F.col("v").isNotNull())
+    brackets = stacked(
+        large,
+        [
+            F.struct(
+                F.lit(n).alias("metric"),
+                F.col(f"_n_{n}").alias("n"),
+                F.col(f"_q_{n}")[LOW].alias("low"),
+                F.col(f"_q_{n}")[HIGH].alias("high"),
+            )
+            for n in medians.values()
+        ],
+    ).where(F.col("n") > SMALL_GROUP)
+    by = [*keys, "metric"]
+    side = F.when(F.col("v") < F.col("low"), -1).when(F.col("v") > F.col("high"), 1).otherwise(0)
     counted = (
-        left.join(right, same, "inner")
-        .select(*[F.col(f"x.{k}") for k in by], side.alias("_side"), F.when(side == 0, F.col("v")).alias("v"))
+        null_safe_join(values, brackets.drop("n"), by, "inner")
+        .select(*by, side.alias("_side"), F.when(side == 0, F.col("v")).alias("v"))
         .groupBy(*by, "_side", "v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    missed = (F.col("_low") != 0) | (F.col("_high") != 0)
     group = Window.partitionBy(*by)
     upto = group.orderBy("_side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    low, high = F.col("_upto") * 2 >= F.col("_total"), F.col("_upto") * 2 > F.col("_total")
+    missed = (F.col("_low_side") != 0) | (F.col("_high_side") != 0)
+    outside = F.raise_error(F.lit("median outside its bracket"))
     return (
         counted.withColumns({"_total": F.sum("_n").over(group), "_upto": F.sum("_n").over(upto)})
         .groupBy(*by)
         .agg(
-            profile_median("v").alias("median"),
-            F.min(F.when(F.col("_upto") * 2 >= F.col("_total"), F.col("_side"))).alias("_low"),
-            F.min(F.when(F.col("_upto") * 2 > F.col("_total"), F.col("_side"))).alias("_high"),
+            ((F.min(F.when(low, F.col("v"))) + F.min(F.when(high, F.col("v")))) / 2).alias("median"),
+            F.min(F.when(low, F.col("_side"))).alias("_low_side"),
+            F.min(F.when(high, F.col("_side"))).alias("_high_side"),
         )
-        .select(*by, F.when(missed, F.raise_error(F.lit("median outside its bracket"))).otherwise(F.col("median")).alias("median"))
+        .select(*by, F.when(missed, outside).otherwise(F.col("median")).alias("median"))
         .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("metric") == c, F.col("median"))).alias(c) for c in columns])
+        .agg(*[F.max(F.when(F.col("metric") == n, F.col("median"))).alias(f"_m_{n}") for n in medians.values()])
     )
 
 
-def ensure_checkpoint_dir(df: DataFrame) -> None:
-    """Uses the session's shared checkpoint folder; sets a scratch one only where none is named."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="stockledger-checkpoint-"))
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes the rows to the checkpoint folder and reads from there on.
-
-    For frames that are read several times and must be the same each time, or are too dear to
-    compute again; the files outlive lost executors.
-    """
-    ensure_checkpoint_dir(df)
-    return df.checkpoint()
+def with_group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """Adds the median of `value` (never NULL) over each group to the group's rows."""
+    group = Window.partitionBy(*keys)
+    ranked = df.withColumns({"_total": F.count(value).over(group), "_upto": F.row_number().over(group.orderBy(value))})
+    low = F.min(F.when(F.col("_upto") * 2 >= F.col("_total"), F.col(value))).over(group)
+    high = F.min(F.when(F.col("_upto") * 2 > F.col("_total"), F.col(value))).over(group)
+    return ranked.withColumn(out, (low + high) / 2).drop("_total", "_upto")
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, total: str, partitions: int | None = None) -> DataFrame:

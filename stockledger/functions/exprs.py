@@ -83,3 +83,15 @@ def spread_null_key(key: str, side: str, over: list[str]) -> Column:
 def zero_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """NULL to 0 in numeric columns, key columns too; text columns keep their NULLs."""
     return df.fillna(0, subset=columns)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Joins on equal keys, NULL keys matching each other; the left keys stay."""
+    renamed = right.withColumnsRenamed({k: f"_{k}_r" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}_r")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_{k}_r" for k in keys])
+
+
+def n_unique_small(c: str) -> Column:
+    """`n_unique` for a column with few values per group, kept as a set in the same aggregation."""
+    return F.size(F.collect_set(F.struct(c))).cast("bigint")

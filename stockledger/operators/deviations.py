@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.distributed import (
-    profile_mean,
-    profile_mode,
-    profile_std,
-    value_profile,
-)
+from stockledger.functions.distributed import frequency_profile
 from stockledger.schemas import DEVIATION_COLUMNS
 
 THRESHOLD = 1e-6
@@ -23,17 +18,13 @@ def quantity_deviations(df: DataFrame, key: str = "CodigoGenerico", x: str = "Ca
     a product that holds much of the data is one small row on its side of the join.
     """
     keyed = df.where(F.col(key).isNotNull())
-    stats = value_profile(
-        keyed,
-        [key],
-        x,
-        {
-            f"{x}_moda": profile_mode(x),
-            f"{x}_maximo": F.max(x),
-            f"{x}_media": profile_mean(),
-            f"{x}_std": F.coalesce(profile_std(x), F.lit(0.0)),
-            f"{x}_minimo": F.min(x),
-        },
+    stats = frequency_profile(keyed, [key], x).select(
+        key,
+        F.col("mode").alias(f"{x}_moda"),
+        F.col("highest").alias(f"{x}_maximo"),
+        F.col("mean").alias(f"{x}_media"),
+        F.coalesce("std", F.lit(0.0)).alias(f"{x}_std"),
+        F.col("lowest").alias(f"{x}_minimo"),
     )
     names = ["moda", "media", "std", "maximo", "minimo"]
     lines = keyed.join(stats, key).withColumns(

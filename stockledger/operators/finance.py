@@ -9,25 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.distributed import (
-    exact_medians,
-    materialize,
-    profile_mean,
-    profile_median,
-    profile_mode,
-    profile_std,
-    value_histogram,
-    value_profile,
-    with_group_median,
-    with_value_ranks,
-)
+from stockledger.functions.distributed import grouped_medians, materialize, with_group_median
 from stockledger.functions.exprs import (
     first_match,
     mean,
     n_unique,
+    n_unique_small,
+    null_safe_join,
     ratio,
     ratio_if_positive,
     sum0,
@@ -40,13 +31,6 @@ GAP_KEYS = ["idadmision", "CodigoGenerico", "Nombre"]
 SITE_PRODUCT = ["CodigoGenerico", "Nombre", "Municipio", "Servicio"]
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Joins two frames with one row per group, NULL keys matching each other."""
-    renamed = right.withColumnsRenamed({k: f"_{k}_r" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}_r")) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_{k}_r" for k in keys])
-
-
 def _outer_aggregate(
     left: DataFrame, right: DataFrame, keys: list[str], left_aggs: list[Column], right_aggs: list[Column], mode: str
 ) -> DataFrame:
@@ -93,22 +77,19 @@ def supplier_price_variance(consumption: DataFrame) -> DataFrame:
     """
     price = "ValorUnitario"
     priced = consumption.where(F.col("Proveedor").isNotNull() & (F.col("Proveedor") != "") & (F.col(price) > 0))
-    groups = value_profile(
+    groups = grouped_medians(
         priced,
         SUPPLIER_KEYS,
-        price,
-        {
-            "Costo_Mediano": profile_median(price),
-            "Costo_Promedio": profile_mean(),
-            "Desv_Estandar": profile_std(price),
-            "Costo_Minimo": F.min(price).cast("double"),
-            "Costo_Maximo": F.max(price).cast("double"),
-            "Volumen_Total": sum0("_qty"),
-            "Valor_Total_Comprado": sum0("_value"),
-            "Num_Transacciones": n_unique("Comprobante"),
-        },
-        aggs={"_qty": F.sum("Cantidad"), "_value": F.sum("ValorTotal")},
-        by=["Comprobante"],
+        {price: "Costo_Mediano"},
+        [
+            mean(price).alias("Costo_Promedio"),
+            F.stddev_samp(price).alias("Desv_Estandar"),
+            F.min(price).cast("double").alias("Costo_Minimo"),
+            F.max(price).cast("double").alias("Costo_Maximo"),
+            sum0("Cantidad").alias("Volumen_Total"),
+            sum0("ValorTotal").alias("Valor_Total_Comprado"),
+            n_unique_small("Comprobante").alias("Num_Transacciones"),
+        ],
     )
     median, market = F.col("Costo_Mediano"), F.col("Mediana_Mercado")
     spread = F.col("Costo_Maximo") - F.col("Costo_Minimo")
@@ -343,12 +324,12 @@ def billing_gap_summary(detail: DataFrame) -> DataFrame:
         F.count_if(F.col("Estado_Facturacion") == "SIN_FACTURAR").alias("Productos_Sin_Facturar"),
         F.count_if(F.col("Alerta_Spread") == "SPREAD_ANOMALO").alias("Spreads_Anomalos"),
     )
-    medians = exact_medians(detail, keys, ["Ratio_Fact_Consumo", "Margen_Porcentual"]).withColumnsRenamed(
-        {"Ratio_Fact_Consumo": "Ratio_Mediano", "Margen_Porcentual": "Margen_Mediano_Pct"}
+    medians = grouped_medians(
+        detail, keys, {"Ratio_Fact_Consumo": "Ratio_Mediano", "Margen_Porcentual": "Margen_Mediano_Pct"}
     )
     overall = F.col("Ratio_Global")
     return (
-        _null_safe_join(totals, medians, keys)
+        null_safe_join(totals, medians, keys)
         .withColumn("Ratio_Global", ratio_if_positive("Total_Facturado", "Total_Consumido"))
         .withColumn(
             "Alerta_Servicio",
@@ -384,45 +365,46 @@ def detect_purchases(receipts: DataFrame) -> DataFrame:
 
 
 def _purchase_figures(purchases: DataFrame) -> DataFrame:
-    """Prices, totals and suppliers per product and site from one histogram of price and supplier."""
+    """Prices, totals and suppliers per product and site.
+
+    The most frequent supplier is the first by name among equals; a missing one counts as a
+    supplier. The suppliers of one product at one site are few, so they are kept as a map.
+    """
     price, supplier = "ValorUnitario", "Proveedor"
-    hist = value_histogram(
-        purchases, SITE_PRODUCT, price, {"_qty": F.sum("Cantidad"), "_value": F.sum("ValorTotal")}, by=[supplier]
-    )
-    per_supplier = Window.partitionBy(*SITE_PRODUCT, supplier)
-    ranked = with_value_ranks(
-        hist.withColumn("_supplier_rows", F.sum("_rows").over(per_supplier)), SITE_PRODUCT, price
-    ).withColumn("_supplier_top", F.max("_supplier_rows").over(Window.partitionBy(*SITE_PRODUCT)))
-    return ranked.groupBy(*SITE_PRODUCT).agg(
-        profile_mean().alias("Precio_Compra_Prom"),
-        profile_median(price).alias("Precio_Compra_Mediana"),
-        F.min(price).cast("double").alias("Precio_Compra_Min"),
-        F.max(price).cast("double").alias("Precio_Compra_Max"),
-        sum0("_qty").alias("Compras_Cantidad"),
-        sum0("_value").alias("Compras_Valor"),
-        n_unique(supplier).alias("Num_Proveedores"),
-        profile_mode(supplier, "_supplier_rows", "_supplier_top").alias("Proveedor_Principal"),
+    # names get a mark in front, so that a missing one is a text of its own, the lowest
+    marked = F.mode(F.coalesce(F.concat(F.lit("="), F.col(supplier)), F.lit("")), True)
+    return grouped_medians(
+        purchases,
+        SITE_PRODUCT,
+        {price: "Precio_Compra_Mediana"},
+        [
+            mean(price).alias("Precio_Compra_Prom"),
+            F.min(price).cast("double").alias("Precio_Compra_Min"),
+            F.max(price).cast("double").alias("Precio_Compra_Max"),
+            sum0("Cantidad").alias("Compras_Cantidad"),
+            sum0("ValorTotal").alias("Compras_Valor"),
+            n_unique_small(supplier).alias("Num_Proveedores"),
+            F.substr(F.nullif(marked, F.lit("")), F.lit(2)).alias("Proveedor_Principal"),
+        ],
     )
 
 
 def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption: DataFrame) -> DataFrame:
     """Purchase price, sale price and consumption per product and site, with margins and alerts.
 
-    All three sides are aggregated on the same keys first, so the joins need no further shuffle.
+    All three sides are aggregated on the same keys before they are joined.
     """
     if "ValorUnitario" not in purchases.columns and "PrecioCompra" in purchases.columns:
         purchases = purchases.withColumnRenamed("PrecioCompra", "ValorUnitario")
-    sold = value_profile(
+    sold = grouped_medians(
         billing,
         SITE_PRODUCT,
-        "billed_unit_price",
-        {
-            "Precio_Venta_Prom": profile_mean(),
-            "Precio_Venta_Mediana": profile_median("billed_unit_price"),
-            "Facturacion_Valor": sum0("_value"),
-            "Facturacion_Cantidad": sum0("_qty"),
-        },
-        aggs={"_value": F.sum("billed_value"), "_qty": F.sum("billed_qty")},
+        {"billed_unit_price": "Precio_Venta_Mediana"},
+        [
+            mean("billed_unit_price").alias("Precio_Venta_Prom"),
+            sum0("billed_value").alias("Facturacion_Valor"),
+            sum0("billed_qty").alias("Facturacion_Cantidad"),
+        ],
     )
     used = consumption.groupBy(*SITE_PRODUCT).agg(
         mean("ValorUnitario").alias("Costo_Consumo_Prom"),
@@ -499,10 +481,10 @@ def purchase_summary_by_service(detail: DataFrame) -> DataFrame:
         ),
         n_unique("CodigoGenerico").alias("Num_Productos"),
     )
-    medians = exact_medians(detail, keys, ["Margen_Porcentual_Prom", "Ratio_Consumo_Compra"]).withColumnsRenamed(
-        {"Margen_Porcentual_Prom": "Margen_Mediano_Pct", "Ratio_Consumo_Compra": "Eficiencia_Mediana"}
+    medians = grouped_medians(
+        detail, keys, {"Margen_Porcentual_Prom": "Margen_Mediano_Pct", "Ratio_Consumo_Compra": "Eficiencia_Mediana"}
     )
-    return _null_safe_join(totals, medians, keys).withColumns(
+    return null_safe_join(totals, medians, keys).withColumns(
         {
             "Ratio_Venta_Compra_Servicio": ratio_if_positive("Total_Facturacion", "Total_Compras"),
             "Ratio_Consumo_Compra_Servicio": ratio_if_positive("Total_Consumo", "Total_Compras"),

@@ -7,16 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from stockledger.functions.distributed import (
-    exact_medians,
-    profile_mean,
-    profile_median,
-    profile_mode,
-    profile_std,
-    running_total,
-    value_profile,
-    with_group_median,
-)
+from stockledger.functions import distributed
+from stockledger.functions.distributed import frequency_profile, grouped_medians, running_total, with_group_median
 
 
 def sample(seed, size, values):
@@ -32,52 +24,71 @@ def by_group(data):
     return groups
 
 
-def test_value_profile_matches_brute_force(spark):
-    data = sample(3, 4000, lambda r: None if r.random() < 0.05 else r.randint(-20, 20) / 4)
-    stats = {
-        "mean": profile_mean(), "std": profile_std("v"), "median": profile_median("v"),
-        "mode": profile_mode("v"), "low": F.min("v"),
-    }
-    found = value_profile(spark.createDataFrame(data, "k string, v double"), ["k"], "v", stats)
+def check_frequencies(spark, data, kind):
+    found = frequency_profile(spark.createDataFrame(data, f"k string, v {kind}"), ["k"], "v")
     expected = []
     for k, values in by_group(data).items():
         known = [v for v in values if v is not None]
         top = max(values.count(v) for v in set(values))
         modes = [v for v in set(values) if values.count(v) == top]
         mode = None if None in modes else min(modes)
-        expected.append(
-            (k, statistics.fmean(known), statistics.stdev(known), statistics.median(known), mode, min(known))
-        )
-    want = spark.createDataFrame(expected, "k string, mean double, std double, median double, mode double, low double")
+        expected.append((k, mode, max(known), statistics.fmean(known), statistics.stdev(known), min(known)))
+    want = spark.createDataFrame(expected, f"k string, mode {kind}, hi {kind}, mean double, std double, lo {kind}")
     assert rows_of(found) == rows_of(want)
 
 
+def test_frequency_profile_matches_brute_force(spark):
+    check_frequencies(spark, sample(3, 4000, lambda r: None if r.random() < 0.05 else r.randint(-20, 20)), "bigint")
+    check_frequencies(spark, sample(4, 4000, lambda r: None if r.random() < 0.05 else r.randint(-20, 20) / 4), "double")
+
+
+def test_deviation_of_large_whole_numbers_is_exact(spark):
+    base = 10**9
+    df = spark.createDataFrame([("a", base + d) for d in (0, 1, 2)] + [("b", base)] * 3, "k string, v bigint")
+    assert rows_of(frequency_profile(df, ["k"], "v"), "k", "std") == [("a", 1.0), ("b", 0.0)]
+
+
 def test_profile_of_small_groups(spark):
     df = spark.createDataFrame([("one", 4.0), ("none", None), ("two", 1.0), ("two", 2.0)], "k string, v double")
-    stats = {"std": profile_std("v"), "median": profile_median("v"), "mean": profile_mean()}
-    assert rows_of(value_profile(df, ["k"], "v", stats)) == [
-        ("none", None, None, None), ("one", None, 4.0, 4.0), ("two", 0.707107, 1.5, 1.5)
+    assert rows_of(frequency_profile(df, ["k"], "v"), "k", "mode", "mean", "std") == [
+        ("none", None, None, None), ("one", 4.0, 4.0, None), ("two", 1.0, 1.5, 0.707107)
     ]
 
 
 def check_medians(spark, data, partitions):
     df = spark.createDataFrame([(k, v, None if v is None else -v) for k, v in data], "k string, v double, w double")
-    found = {r.k: (r.v, r.w) for r in exact_medians(df.repartition(partitions), ["k"], ["v", "w"]).collect()}
+    medians = grouped_medians(df.repartition(partitions), ["k"], {"v": "mv", "w": "mw"}, [F.count("*").alias("rows")])
+    found = {r.k: (r.mv, r.mw) for r in medians.collect()}
+    assert sum(r.rows for r in medians.collect()) == len(data)
     for k, values in by_group(data).items():
         known = [v for v in values if v is not None]
         middle = statistics.median(known)
         assert found[k] == (middle, -middle), k
 
 
-def test_exact_medians_of_continuous_values(spark):
-    check_medians(spark, sample(5, 30001, lambda r: r.gauss(0, 1)), 7)
+def test_medians_of_continuous_values(spark):
+    check_medians(spark, sample(5, 60001, lambda r: r.gauss(0, 1)), 7)
+
+
+def test_medians_around_the_size_of_a_small_group(spark):
+    rng = random.Random(11)
+    limit = distributed.SMALL_GROUP
+    data = [(f"{n}", rng.random()) for n in (limit - 1, limit, limit + 1, limit + 2) for _ in range(n)]
+    rng.shuffle(data)
+    check_medians(spark, data, 9)
+
+
+def test_no_second_pass_without_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(distributed, "_ranked_medians", None)
+    check_medians(spark, sample(8, 3000, lambda r: r.random()), 3)
 
 
-def test_exact_medians_with_heavy_ties_and_nulls(spark):
+def test_medians_with_heavy_ties_and_nulls(spark):
     check_medians(spark, sample(6, 9000, lambda r: r.choice([0.0, 0.0, 0.0, 1.0, r.random(), None])), 5)
+    check_medians(spark, sample(7, 40000, lambda r: r.choice([0.0, 0.0, 1.0, r.random(), None])), 5)
 
 
-def test_exact_medians_of_tiny_groups(spark):
+def test_medians_of_tiny_groups(spark):
     check_medians(spark, [("a", 1.0), ("b", 1.0), ("b", 2.0), ("c", 1.0), ("c", 5.0), ("c", 2.0), (None, 7.0)], 3)
 
 
