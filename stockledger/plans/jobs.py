@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from contextlib import ExitStack, contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger import vocab
@@ -25,6 +25,7 @@ from stockledger.operators import (
     reconcile,
     report,
 )
+from stockledger.sources import landing
 from stockledger.sources.sinks import report_path, write_report, write_table
 
 log = logging.getLogger(__name__)
@@ -39,22 +40,30 @@ def _asc(*names: str) -> list[Column]:
 
 
 def report_orders() -> dict[str, list[Column]]:
-    """The order each report table is written in. Sorting is for readers, so only sinks do it."""
-    by_site = _asc("Municipio", "Servicio")
+    """The order each report table is written in. Sorting is for readers, so only sinks do it.
+
+    Every order ends in the table's keys: rows that tie on the first columns then still spread
+    over the range partitions of the sort.
+    """
+    product, supplier = _asc(*vocab.PRODUCT), _asc(*finance.SUPPLIER_KEYS)
+    site = _asc("Municipio", "Servicio")
+    stock, gap = finance.STOCK_KEYS, finance.GAP_KEYS
+    patient = _asc("idadmision", "Municipio", "Servicio_Corregido", "Especialidad", "MedicoRealiza")
     return {
-        "Mayor_compra": _desc("valor_total_comprado_neto"),
-        "producto_mas_comprado": _desc("cantidad_comprada_neta"),
-        "Clasificacion_ABC_Pareto": _desc("Valor_Total_Consumido") + _asc(*vocab.PRODUCT),
-        **{name: by_site for name in report.TABLES},
-        "varianza_proveedor": _desc("Nivel_Riesgo_Variabilidad", "Volumen_Total"),
-        "eficiencia_stock_detalle": _desc("Estado_Inventario", "Valor_Stock_Muerto"),
-        "eficiencia_stock_resumen": _desc("Total_Stock_Muerto_Valor"),
-        "gap_fact_consumo_detalle": _asc("Estado_Facturacion", "Margen_Bruto"),
-        "gap_fact_consumo_resumen": _asc("Margen_Total"),
-        "alertas_pacientes_criticos": _asc("Margen_Perdido_Total"),
-        "compras_ventas_consumo_detalle": _desc("Alerta_Margen", "Margen_Total"),
-        "compras_ventas_resumen_servicio": _desc("Total_Stock_Muerto"),
-        "top_stock_muerto_estimado": _desc("Valor_Stock_Muerto_Estimado"),
+        "Mayor_compra": _desc("valor_total_comprado_neto") + product + _asc("Tercero"),
+        "producto_mas_comprado": _desc("cantidad_comprada_neta") + product,
+        "Clasificacion_ABC_Pareto": _desc("Valor_Total_Consumido") + product,
+        **{name: site for name in report.TABLES},
+        "varianza_proveedor": _desc("Nivel_Riesgo_Variabilidad", "Volumen_Total") + supplier,
+        "eficiencia_stock_detalle": _desc("Estado_Inventario", "Valor_Stock_Muerto")
+        + _asc(*stock, *[f"{k}_right" for k in stock]),
+        "eficiencia_stock_resumen": _desc("Total_Stock_Muerto_Valor") + site + _asc("Clasificacion_consumo"),
+        "gap_fact_consumo_detalle": _asc("Estado_Facturacion", "Margen_Bruto", *gap, *[f"{k}_right" for k in gap]),
+        "gap_fact_consumo_resumen": _asc("Margen_Total", "Municipio", "Servicio_Corregido", "Especialidad"),
+        "alertas_pacientes_criticos": _asc("Margen_Perdido_Total") + patient,
+        "compras_ventas_consumo_detalle": _desc("Alerta_Margen", "Margen_Total") + _asc(*finance.SITE_PRODUCT),
+        "compras_ventas_resumen_servicio": _desc("Total_Stock_Muerto") + site,
+        "top_stock_muerto_estimado": _desc("Valor_Stock_Muerto_Estimado") + _asc(*finance.SITE_PRODUCT),
     }
 
 
@@ -211,3 +220,33 @@ def run_consumption_job(
         if with_finance:
             steps.append(("analisis_financiero", financial))
         return _run(steps)
+
+
+def _after_reading(read: Callable[[], object], job: Callable[[object], dict], step: str) -> dict:
+    """Reads the inputs as the job's first step, so that a missing source is in the result too."""
+    inputs: list = []
+    status = _run([(step, lambda: inputs.append(read()))])
+    if not status["exitoso"]:
+        return status
+    result = job(inputs[0])
+    return {**result, "pasos": {**status["pasos"], **result["pasos"]}}
+
+
+def run_inventory_from_folder(spark: SparkSession, folder: str, out: str, day: str, fmt: str = "parquet", **job) -> dict:
+    """`run_inventory_job` over the ledger files of a folder."""
+    return _after_reading(
+        lambda: landing.ingest_ledger(spark, folder, fmt),
+        lambda raw: run_inventory_job(raw, out, day, **job),
+        "consolidacion",
+    )
+
+
+def run_consumption_from_files(
+    spark: SparkSession, paths: Mapping[str, str], entities: str, out: str, start: str, end: str, fmt: str = "parquet", **job
+) -> dict:
+    """`run_consumption_job` over the four extract files and the list of external entities."""
+    return _after_reading(
+        lambda: (landing.ingest_extracts(spark, paths, fmt), landing.read_entities(spark, entities)),
+        lambda inputs: run_consumption_job(*inputs, out, start, end, **job),
+        "lectura",
+    )

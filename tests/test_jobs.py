@@ -1,8 +1,9 @@
 """Both jobs end to end on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from stockledger.operators import report
+from stockledger.operators import ledger, report
 from stockledger.plans import jobs
 from stockledger.sources import demo
 
@@ -53,3 +54,21 @@ def test_a_failing_step_ends_the_job(spark, tmp_path):
 
     status = jobs._run([("one", lambda: ran.append(1) or {}), ("two", fail), ("three", lambda: ran.append(3) or {})])
     assert ran == [1] and not status["exitoso"] and status["error"] == "two: broken"
+
+
+def test_jobs_from_landed_files(spark, tmp_path):
+    ledger_dir = f"{tmp_path}/ledger"
+    demo.ledger_lines(spark, SMALL).withColumn("CodigoGenerico", F.col("CodigoGenerico").cast("string")).withColumn(
+        "ValorTotal", F.col("ValorTotal").cast("double")
+    ).write.parquet(ledger_dir)
+    status = jobs.run_inventory_from_folder(spark, ledger_dir, f"{tmp_path}/out", "2024-01-31")
+    assert status["exitoso"], status["error"]
+    assert list(status["pasos"])[:2] == ["consolidacion", "clasificacion"]
+    moved = spark.read.parquet(status["pasos"]["movimientos"]["Movimiento_agrupado"])
+    direct = jobs.movement_tables(ledger.classified_ledger(demo.ledger_lines(spark, SMALL), "decimal(18,2)"))
+    assert moved.count() == direct["Movimiento_agrupado"].count()
+
+    empty = jobs.run_inventory_from_folder(spark, f"{tmp_path}/none", f"{tmp_path}/out2", "2024-01-31")
+    assert empty["exitoso"], empty["error"]
+    missing = jobs.run_consumption_from_files(spark, {"out": "x"}, "e", f"{tmp_path}/out3", "1", "2")
+    assert not missing["exitoso"] and "no path given" in missing["error"]
