@@ -14,12 +14,15 @@ THRESHOLD = 1e-6
 def quantity_deviations(df: DataFrame, key: str = "CodigoGenerico", x: str = "Cantidad", threshold: float = THRESHOLD) -> DataFrame:
     """Lines that differ from the smallest mode of their product, with all deviations and flags.
 
-    The statistics come from the histogram of quantities per product and join back to the lines;
-    a product that holds much of the data is one small row on its side of the join.
+    The statistics come from the histogram of quantities per product and join back to the lines.
+    The hash in the join key makes the join shuffle both sides itself: straight from the
+    aggregation, adaptive execution could not split a product that holds much of the lines.
     """
     keyed = df.where(F.col(key).isNotNull())
+    split = F.xxhash64(key).alias("_split")
     stats = frequency_profile(keyed, [key], x).select(
         key,
+        split,
         F.col("mode").alias(f"{x}_moda"),
         F.col("highest").alias(f"{x}_maximo"),
         F.col("mean").alias(f"{x}_media"),
@@ -27,7 +30,7 @@ def quantity_deviations(df: DataFrame, key: str = "CodigoGenerico", x: str = "Ca
         F.col("lowest").alias(f"{x}_minimo"),
     )
     names = ["moda", "media", "std", "maximo", "minimo"]
-    lines = keyed.join(stats, key).withColumns(
+    lines = keyed.withColumn("_split", split).join(stats, [key, "_split"]).withColumns(
         {f"Desviacion_{n}": F.abs(F.col(x) - F.col(f"{x}_{n}")) for n in names}
     )
     flags = {

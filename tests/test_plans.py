@@ -4,9 +4,13 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockledger.catalog.queries import all_queries
-from stockledger.operators import ledger
+from stockledger.functions.exprs import spread_null_key
+from stockledger.operators import consumption, ledger
+from stockledger.operators.deviations import quantity_deviations
+from stockledger.schemas import DEVIATION_COLUMNS
 from stockledger.sources import demo
 
 SMALL = "/root/testdata/sf0.001"
@@ -50,3 +54,59 @@ def test_sides_meet_in_one_aggregation(spark):
 def test_sums_run_in_generated_code(spark):
     text = plan(all_queries()["movement_by_product"](spark, SMALL))
     assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+}
+
+
+@pytest.fixture
+def eager_to_split(spark):
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in SKEW:
+        spark.conf.unset(key)
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_product_is_split_in_the_deviation_join(eager_to_split):
+    spark = eager_to_split
+    names = [c for c in DEVIATION_COLUMNS if "_" not in c]
+    text = [F.lit("x").alias(c) for c in names if c not in ("CodigoGenerico", "Cantidad", "ValorTotal", "NoDocumento")]
+    code = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    lines = spark.range(0, 40000, 1, 8).select(
+        code.alias("CodigoGenerico"), (F.col("id") % 10).alias("Cantidad"), F.col("id").alias("ValorTotal"),
+        F.col("id").cast("string").alias("NoDocumento"), *text,
+    )
+    assert "skew=true" in executed(quantity_deviations(lines))
+
+
+def test_a_hot_admission_is_split_when_billing_is_joined(eager_to_split):
+    spark = eager_to_split
+    lines = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "0-7").otherwise(F.concat(F.col("id").cast("string"), F.lit("-1"))).alias("ADM-CodGen"),
+        F.col("id").cast("string").alias("NoDocumento"), F.lit("n").alias("Nombre"), F.lit("c").alias("CentroCosto"),
+    )
+    billing = spark.range(0, 9000).select(
+        F.concat(F.col("id").cast("string"), F.lit("-1")).alias("ADM-CodGen"), F.lit("d").alias("MedicoRealiza")
+    )
+    assert "skew=true" in executed(consumption.consumption_with_billing(lines, billing))
+
+
+def test_missing_keys_do_not_share_a_partition(eager_to_split):
+    spark = eager_to_split
+    df = spark.range(0, 40000, 1, 8).select(F.lit(None).cast("string").alias("k"), F.col("id"))
+    spread = df.select(spread_null_key("k", "lines", ["id"]).alias("j")).repartition(8, "j")
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
