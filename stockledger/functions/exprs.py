@@ -80,6 +80,16 @@ def spread_null_key(key: str, side: str, over: list[str]) -> Column:
     return F.coalesce(F.col(key), filler)
 
 
+def split_key(key: str) -> Column:
+    """A second join key that follows the first.
+
+    A side that was just aggregated on the key would join without a shuffle of its own, and
+    adaptive execution splits a hot key only between two fresh shuffles. Joining on key and hash
+    gives both sides one.
+    """
+    return F.xxhash64(key)
+
+
 def zero_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """NULL to 0 in numeric columns, key columns too; text columns keep their NULLs."""
     return df.fillna(0, subset=columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger import vocab
-from stockledger.functions.exprs import first_match, joined_key, mean, spread_null_key, strip, sum0
+from stockledger.functions.exprs import first_match, joined_key, mean, split_key, spread_null_key, strip, sum0
 from stockledger.schemas import BILLING_GRAIN, GRAIN, UNCLOSED_COLUMNS
 
 KEY = "ADM-CodGen"
@@ -113,7 +113,7 @@ def enrich_and_grain(lines: DataFrame, listing: DataFrame) -> DataFrame:
 
 def _left_join_on_key(lines: DataFrame, billing: DataFrame) -> DataFrame:
     """Billing to the lines of the same admission and product; several invoices repeat the line."""
-    left = lines.withColumn("_k", spread_null_key(KEY, "lines", ["NoDocumento", "Nombre", "CentroCosto"]))
+    left = lines.withColumn("_k", spread_null_key(KEY, "lines", lines.columns))
     right = billing.where(F.col(KEY).isNotNull()).withColumnRenamed(KEY, "_k")
     return left.join(right, "_k", "left").drop("_k")
 
@@ -125,14 +125,16 @@ def consumption_with_billing(dispensed: DataFrame, billing: DataFrame) -> DataFr
 def _known_entities(entities: DataFrame) -> DataFrame:
     """The names as they stand, blanks included, once each."""
     name = entities.columns[0]
-    return entities.where(F.col(name).isNotNull()).select(F.col(name).alias("_entity")).distinct()
+    names = entities.where(F.col(name).isNotNull()).select(F.col(name).alias("_entity")).distinct()
+    return names.withColumn("_entity_split", split_key("_entity"))
 
 
 def flag_entities(df: DataFrame, entities: DataFrame) -> DataFrame:
     """Adds whether the doctor is an external entity; NULL for a NULL doctor."""
-    joined = df.join(_known_entities(entities), F.col("MedicoRealiza") == F.col("_entity"), "left")
+    same = (F.col("MedicoRealiza") == F.col("_entity")) & (split_key("MedicoRealiza") == F.col("_entity_split"))
+    joined = df.join(_known_entities(entities), same, "left")
     flag = F.when(F.col("MedicoRealiza").isNotNull(), F.col("_entity").isNotNull())
-    return joined.withColumn(ENTITY, flag).drop("_entity")
+    return joined.withColumn(ENTITY, flag).drop("_entity", "_entity_split")
 
 
 def corrected_service(df: DataFrame, entities: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import frequency_profile
+from stockledger.functions.exprs import split_key
 from stockledger.schemas import DEVIATION_COLUMNS
 
 THRESHOLD = 1e-6
@@ -14,12 +15,11 @@ THRESHOLD = 1e-6
 def quantity_deviations(df: DataFrame, key: str = "CodigoGenerico", x: str = "Cantidad", threshold: float = THRESHOLD) -> DataFrame:
     """Lines that differ from the smallest mode of their product, with all deviations and flags.
 
-    The statistics come from the histogram of quantities per product and join back to the lines.
-    The hash in the join key makes the join shuffle both sides itself: straight from the
-    aggregation, adaptive execution could not split a product that holds much of the lines.
+    The statistics come from the histogram of quantities per product and join back to the lines;
+    a product that holds much of them can be split there.
     """
     keyed = df.where(F.col(key).isNotNull())
-    split = F.xxhash64(key).alias("_split")
+    split = split_key(key).alias("_split")
     stats = frequency_profile(keyed, [key], x).select(
         key,
         split,

@@ -76,6 +76,8 @@ def ingest_ledger(
     Self-describing formats are read by column name in one scan. Text files may differ in their
     headers, so they are grouped by header and united by name; columns the schema does not know
     stay as text. A missing or empty folder gives an empty frame of the declared schema.
+
+    Unreadable files are left out; `files_without_rows` names them.
     """
     schema = _declared(ddl)
     empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())]))
@@ -100,6 +102,13 @@ def ingest_ledger(
     return united
 
 
+def files_without_rows(spark: SparkSession, path: str, ledger: DataFrame) -> DataFrame:
+    """The files of the folder no ledger line came from: empty ones and those left out."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", NOT_A_LOCK_FILE).load(path)
+    names = listed.select(F.col("_metadata.file_name").alias(SOURCE_FILE))
+    return names.join(ledger.select(SOURCE_FILE).distinct(), SOURCE_FILE, "left_anti")
+
+
 def rename_billing(billing: DataFrame) -> DataFrame:
     """Gives the billing columns that clash with the ledger's by case names of their own."""
     return billing.select(*[F.col(c).alias(schemas.BILLING_NAMES.get(c, c)) for c in billing.columns])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stockledger.operators import ledger, report
 from stockledger.plans import jobs
+from stockledger.schemas import BILLING_NAMES
 from stockledger.sources import demo
 
 SMALL = "/root/testdata/sf0.001"
@@ -72,3 +73,24 @@ def test_jobs_from_landed_files(spark, tmp_path):
     assert empty["exitoso"], empty["error"]
     missing = jobs.run_consumption_from_files(spark, {"out": "x"}, "e", f"{tmp_path}/out3", "1", "2")
     assert not missing["exitoso"] and "no path given" in missing["error"]
+
+
+def test_consumption_job_from_landed_files(spark, tmp_path):
+    names = {new: old for old, new in BILLING_NAMES.items()}
+    doubles = ["ValorUnitario", "TotalBruto", "ValorIVA", "ValorDescuento", "ValorTotal", "vrunitario", "vrtotal"]
+    landed = {
+        "out": demo.movement_extract(spark, SMALL),
+        "in": demo.movement_extract(spark, SMALL),
+        "billing": demo.billing_lines(spark, SMALL).withColumnsRenamed(names),
+        "listing": demo.listing(spark, SMALL),
+    }
+    paths = {}
+    for role, df in landed.items():
+        paths[role] = f"{tmp_path}/{role}"
+        df.withColumns({c: F.col(c).cast("double") for c in doubles if c in df.columns}).write.parquet(paths[role])
+    demo.entities(spark, SMALL).write.parquet(f"{tmp_path}/entities")
+    status = jobs.run_consumption_from_files(
+        spark, paths, f"{tmp_path}/entities", f"{tmp_path}/out", "01/01/2024", "31/01/2024"
+    )
+    assert status["exitoso"], status["error"]
+    assert list(status["pasos"])[0] == "lectura" and status["pasos"]["carga"]["totales"]["billed"]["filas"] > 0

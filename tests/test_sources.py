@@ -44,6 +44,7 @@ def test_parquet_files_with_missing_columns_and_a_broken_file(spark, tmp_path):
     put(landing_dir, "broken.parquet", "not parquet")
     found = landing.ingest_ledger(spark, str(landing_dir))
     assert rows_of(found, "Comprobante", "Cantidad", "ArchivoOrigen") == [("DC", None, "y.parquet"), ("RMC", 5, "x.parquet")]
+    assert rows_of(landing.files_without_rows(spark, str(landing_dir), found)) == [("broken.parquet",)]
     each = landing.ingest_ledger(spark, str(landing_dir), per_file_layout=True)
     assert rows_of(each, "Comprobante", "Cantidad") == [("DC", None), ("RMC", 5)]
 
@@ -103,8 +104,7 @@ def test_reports_are_written_one_dataset_per_table(spark, tmp_path):
 
 
 def test_sorted_csv_report(spark, tmp_path):
-    df = spark.createDataFrame([(1,), (None,), (3,)], "n bigint")
+    df = spark.createDataFrame([(1, "b"), (None, "a"), (3, "c")], "n bigint, t string")
     path = sinks.write_table(df, f"{tmp_path}/t", "csv", [F.col("n").desc_nulls_first()])
-    parts = sorted(p.read_text().splitlines() for p in (tmp_path / "t").glob("part-*"))
-    values = [v for lines in parts for v in lines if v != "n"]
-    assert path == f"{tmp_path}/t" and values == ['""', "3", "1"]
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "t").glob("part-*"))]
+    assert path == f"{tmp_path}/t" and [line for lines in parts for line in lines if line != "n,t"] == [",a", "3,c", "1,b"]
