@@ -36,14 +36,10 @@ def present_months(df: DataFrame) -> list[int]:
     return sorted(r.Mes for r in df.select("Mes").distinct().collect() if r.Mes is not None)
 
 
-def _by_month(lines: DataFrame, keys: list[str], measure: str) -> DataFrame:
-    return lines.groupBy(*keys, "Mes").agg(sum0(measure).alias("x"))
-
-
-def _month_columns(by_month: DataFrame, keys: list[str], months: list[int], *aggs: Column) -> DataFrame:
-    """Months as columns named by their number, absent ones 0."""
-    cells = [sum0(F.when(F.col("Mes") == m, F.col("x"))).alias(str(m)) for m in months]
-    return by_month.groupBy(*keys).agg(*cells, *aggs)
+def _month_columns(df: DataFrame, keys: list[str], measure: str, months: list[int], *aggs: Column) -> DataFrame:
+    """Sums with months as columns named by their number, absent ones 0, in one aggregation."""
+    cells = [sum0(F.when(F.col("Mes") == m, F.col(measure))).alias(str(m)) for m in months]
+    return df.groupBy(*keys).agg(*cells, *aggs)
 
 
 def _total(months: list[int]) -> Column:
@@ -62,7 +58,7 @@ def _extreme(months: list[int], pick) -> Column:
 
 def _monthly(lines: DataFrame, measure: str, months: list[int] | None, total: str, suffix: str) -> DataFrame:
     months = present_months(lines) if months is None else months
-    wide = _month_columns(_by_month(lines, vocab.PRODUCT, measure), vocab.PRODUCT, months)
+    wide = _month_columns(lines, vocab.PRODUCT, measure, months)
     return wide.select(
         "*",
         _total(months).alias(total),
@@ -112,8 +108,8 @@ def demand_variability(lines: DataFrame, months: list[int] | None = None) -> Dat
     The deviation looks at the months in which the product moved, the mean at all months.
     """
     months = present_months(lines) if months is None else months
-    by_month = _by_month(lines, WAREHOUSE_PRODUCT, "Cantidad_Total")
-    wide = _month_columns(by_month, WAREHOUSE_PRODUCT, months, F.stddev_samp("x").alias("_std"))
+    by_month = lines.groupBy(*WAREHOUSE_PRODUCT, "Mes").agg(sum0("Cantidad_Total").alias("x"))
+    wide = _month_columns(by_month, WAREHOUSE_PRODUCT, "x", months, F.stddev_samp("x").alias("_std"))
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in WAREHOUSE_PRODUCT])
     average, std, cv = F.col("Promedio_Mensual"), F.col("Desviacion_Estandar"), F.col("Coeficiente_Variacion")
     return (
@@ -136,5 +132,5 @@ def demand_variability(lines: DataFrame, months: list[int] | None = None) -> Dat
 def consumption_by_warehouse(lines: DataFrame, months: list[int] | None = None) -> DataFrame:
     """Quantity per warehouse, product and month with total and mean."""
     months = present_months(lines) if months is None else months
-    wide = _month_columns(_by_month(lines, WAREHOUSE_PRODUCT, "Cantidad_Total"), WAREHOUSE_PRODUCT, months)
+    wide = _month_columns(lines, WAREHOUSE_PRODUCT, "Cantidad_Total", months)
     return wide.select("*", _total(months).alias("Total_Cantidad"), _mean(months).alias("Promedio_Mensual"))
