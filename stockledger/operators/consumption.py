@@ -113,7 +113,9 @@ def enrich_and_grain(lines: DataFrame, listing: DataFrame) -> DataFrame:
 
 def _left_join_on_key(lines: DataFrame, billing: DataFrame) -> DataFrame:
     """Billing to the lines of the same admission and product; several invoices repeat the line."""
-    left = lines.withColumn("_k", spread_null_key(KEY, "lines", lines.columns))
+    # few columns, because those the hash reads cannot be pruned
+    spread = [c for c in ("NoDocumento", "Fecha", "Proveedor") if c in lines.columns] or lines.columns
+    left = lines.withColumn("_k", spread_null_key(KEY, "lines", spread))
     right = billing.where(F.col(KEY).isNotNull()).withColumnRenamed(KEY, "_k")
     return left.join(right, "_k", "left").drop("_k")
 

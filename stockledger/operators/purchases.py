@@ -14,11 +14,16 @@ GRAIN = ["Fecha", "Bodega", *vocab.PRODUCT, "Tercero", "Mes"]
 PRODUCT_ORDER = ["GrupoInventario", "CodigoGenerico", "Generico"]
 
 
-def net_purchases(ledger: DataFrame) -> DataFrame:
-    """Purchases less purchase returns per day, warehouse, product and supplier, with unit price."""
+def net_purchases(ledger: DataFrame, year_month: bool = False) -> DataFrame:
+    """Purchases less purchase returns per day, warehouse, product and supplier, with unit price.
+
+    Months carry no year unless `year_month`, which makes them numbers like 202403.
+    """
     lines = ledger.where(
         F.col("Comprobante_corregido").isin(vocab.PURCHASE_VOUCHER, vocab.PURCHASE_RETURN_VOUCHER)
     )
+    if year_month:
+        lines = lines.withColumn("Mes", F.year("Fecha") * 100 + F.month("Fecha"))
     sign = F.when(F.col("Comprobante_corregido") == vocab.PURCHASE_VOUCHER, 1).otherwise(-1)
     netted = (
         zero_nulls(lines, GRAIN)

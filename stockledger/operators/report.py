@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockledger import vocab
 from stockledger.functions.exprs import first_match, joined_key, sum0
+from stockledger.operators.consumption import override_specialty
 
 # Report table -> article class and the sources that go into it.
 TABLES = {
@@ -33,12 +34,24 @@ def corrected_specialty() -> Column:
     )
 
 
-def class_totals(billed: DataFrame, returns: DataFrame, internal_out: DataFrame, internal_in: DataFrame) -> DataFrame:
+def class_totals(
+    billed: DataFrame,
+    returns: DataFrame,
+    internal_out: DataFrame,
+    internal_in: DataFrame,
+    symmetric: bool = False,
+) -> DataFrame:
     """Value per source, direction, class, site and service, each total cut to whole units.
 
     All four inputs go through one aggregation. `signo` is 1 for what goes out, -1 for what
     comes back; cutting before netting keeps the rounding of the single totals.
+
+    Billed rows come with the specialty their service has overridden, returns with their own, so
+    outside consultations the two can land under different names. `symmetric` treats returns
+    like billed rows.
     """
+    if symmetric:
+        returns = override_specialty(returns)
 
     def side(df: DataFrame, source: str, sign: int, service: Column) -> DataFrame:
         return df.where(F.col("Clasificacion_consumo").isin(CLASSES)).select(

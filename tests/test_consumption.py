@@ -206,6 +206,19 @@ def test_totals_are_cut_before_netting(spark):
     assert rows_of(tables["consumos_suministros"]) == []
 
 
+def test_returns_can_be_filed_like_what_they_return(spark):
+    row = (vocab.MEDICINES, "001", "x", "urgencias")
+    billed_lines, returned = side(spark, (*row, "urgencias", 9.0)), side(spark, (*row, "CARDIOLOGIA", 4.0))
+    none = side(spark, (*row, None, 0.0)).limit(0)
+
+    def medicines(**options):
+        net = report.net_report(report.class_totals(billed_lines, returned, none, none, **options))
+        return rows_of(report.report_table(net, "consumos_medicamentos"), "Servicio", "ValorNeto")
+
+    assert medicines() == [("CARDIOLOGIA", -4), ("urgencias", 9)]
+    assert medicines(symmetric=True) == [("urgencias", 5)]
+
+
 # --- profitability and reconciliation --------------------------------------------------------
 
 CONSUMED = (

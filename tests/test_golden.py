@@ -239,6 +239,20 @@ def test_modal_supplier_and_supplier_count(spark):
     assert (figures.Precio_Compra_Mediana, figures.Precio_Compra_Min, figures.Precio_Compra_Max) == (5.0, 1.0, 9.0)
 
 
+def test_purchase_price_may_have_its_own_name(spark):
+    ddl = "CodigoGenerico bigint, Nombre string, Municipio string, Servicio string, Cantidad bigint, ValorTotal bigint"
+    bought = spark.createDataFrame([(1, "n", "m", "s", 2, 10, "P", 5)], f"{ddl}, Proveedor string, PrecioCompra bigint")
+    used = spark.createDataFrame([(1, "n", "m", "s", 3, 12, 4)], f"{ddl}, ValorUnitario bigint")
+    sold = spark.createDataFrame(
+        [(1, "n", "m", "s", 1, 8, 8)],
+        "CodigoGenerico bigint, Nombre string, Municipio string, Servicio string, billed_qty bigint, "
+        "billed_unit_price bigint, billed_value bigint",
+    )
+    row = finance.purchase_sale_detail(bought, sold, used).first()
+    assert (row.Precio_Compra_Prom, row.Margen_Porcentual_Prom, row.Alerta_Margen) == (5.0, 60.0, "MARGEN_ALTO")
+    assert (row.Alerta_Eficiencia_Compra, row.Valor_Stock_Muerto_Estimado) == ("DESABASTECIMIENTO", 0.0)
+
+
 def test_no_purchases_gives_empty_tables(spark, tables):
     receipts = spark.createDataFrame([("DEVOLUCION",), ("Registro de COMPRA",), (None,)], "Comprobante string")
     assert finance.detect_purchases(receipts).count() == 1

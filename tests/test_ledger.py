@@ -106,6 +106,11 @@ def test_purchases(lines):
     assert rows_of(months, "3", "Cantidad_neta_3", "3_cant_registros") == [(4.625, 11, 4)]
 
 
+def test_purchase_months_of_different_years(lines):
+    net = purchases.net_purchases(lines(entry(RMC, 1, 1.0), entry(RMC, 1, 1.0, day="05/03/2025")), year_month=True)
+    assert monthly.present_months(net) == [202403, 202503]
+
+
 def test_monthly_purchases_leave_out_missing_text_keys(lines):
     net = purchases.net_purchases(lines(entry(RMC, 1, 1.0, name=None), entry(RMC, 1, 1.0), entry(RMC, 1, 1.0, code=None)))
     assert rows_of(purchases.monthly_purchase_behaviour(net, [3, 4]), "CodigoGenerico", "4") == [(0, 0.0), (1, 0.0)]
