@@ -85,8 +85,8 @@ LOW, MIDDLE, NEXT, HIGH = range(4)
 def grouped_medians(df: DataFrame, keys: list[str], medians: dict[str, str], aggs: list[Column] | None = None) -> DataFrame:
     """`aggs` and the interpolated median of each column of `medians` (column -> name) per group.
 
-    The first pass is written out, so that it runs once and so that the second can be left out
-    when no group is large, which is the common case.
+    Both passes are written out, so that each runs once, and the second is left out when no
+    group is large, which is the common case.
     """
     quantiles = [0.5 - BRACKET, 0.5, JUST_ABOVE_HALF, 0.5 + BRACKET]
     sketches = [
@@ -102,7 +102,7 @@ def grouped_medians(df: DataFrame, keys: list[str], medians: dict[str, str], agg
     any_large = groups.where(reduce(lambda a, b: a | b, large.values()))
     exact = {name: F.lit(None).cast("double") for name in medians.values()}
     if not any_large.isEmpty():
-        groups = null_safe_join(groups, _ranked_medians(df, any_large, keys, medians), keys)
+        groups = null_safe_join(groups, materialize(_ranked_medians(df, any_large, keys, medians)), keys)
         exact = {name: F.col(f"_m_{name}") for name in medians.values()}
     kept = [c for c in groups.columns if not c.startswith(("_n_", "_q_", "_m_"))]
     sketched = {name: (F.col(f"_q_{name}")[MIDDLE] + F.col(f"_q_{name}")[NEXT]) / 2 for name in medians.values()}
@@ -163,15 +163,6 @@ def _ranked_medians(df: DataFrame, large: DataFrame, keys: list[str], medians: d
     )
 
 
-def with_group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Adds the median of `value` (never NULL) over each group to the group's rows."""
-    group = Window.partitionBy(*keys)
-    ranked = df.withColumns({"_total": F.count(value).over(group), "_upto": F.row_number().over(group.orderBy(value))})
-    low = F.min(F.when(F.col("_upto") * 2 >= F.col("_total"), F.col(value))).over(group)
-    high = F.min(F.when(F.col("_upto") * 2 > F.col("_total"), F.col(value))).over(group)
-    return ranked.withColumn(out, (low + high) / 2).drop("_total", "_upto")
-
-
 def running_total(df: DataFrame, order: list[Column], value: str, out: str, total: str, partitions: int | None = None) -> DataFrame:
     """Adds the running sum of `value` over the global `order` and the sum of all rows.
 

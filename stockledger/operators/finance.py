@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.distributed import grouped_medians, materialize, with_group_median
+from stockledger.functions.distributed import grouped_medians, materialize
 from stockledger.functions.exprs import (
     first_match,
     mean,
@@ -21,6 +21,7 @@ from stockledger.functions.exprs import (
     null_safe_join,
     ratio,
     ratio_if_positive,
+    split_key,
     sum0,
     zero_nulls,
 )
@@ -91,24 +92,29 @@ def supplier_price_variance(consumption: DataFrame) -> DataFrame:
             n_unique_small("Comprobante").alias("Num_Transacciones"),
         ],
     )
+    product = ["CodigoGenerico", "Nombre"]
+    markets = grouped_medians(groups.select(*product, "Costo_Mediano"), product, {"Costo_Mediano": "Mediana_Mercado"})
     median, market = F.col("Costo_Mediano"), F.col("Mediana_Mercado")
     spread = F.col("Costo_Maximo") - F.col("Costo_Minimo")
-    compared = with_group_median(groups, ["CodigoGenerico", "Nombre"], "Costo_Mediano", "_market").withColumns(
-        {
-            "CV_Costo": ratio("Desv_Estandar", median),
-            "Rango_Porcentual": ratio(spread, median),
-            "Diferencia_Absoluta": spread,
-            "Precio_Promedio_Proveedor": F.col("Costo_Promedio"),
-            # a product without code or name has no market to compare with
-            "Mediana_Mercado": F.when(F.col("CodigoGenerico").isNotNull() & F.col("Nombre").isNotNull(), F.col("_market")),
-        }
+    # a product without code or name finds no market to compare with
+    compared = (
+        groups.withColumn("_split", split_key("Nombre"))
+        .join(markets.withColumn("_split", split_key("Nombre")), [*product, "_split"], "left")
+        .drop("_split")
+        .withColumns(
+            {
+                "CV_Costo": ratio("Desv_Estandar", median),
+                "Rango_Porcentual": ratio(spread, median),
+                "Diferencia_Absoluta": spread,
+                "Precio_Promedio_Proveedor": F.col("Costo_Promedio"),
+            }
+        )
     )
     off_market = F.col("Costo_Promedio") - market
     away = F.abs(F.col("Desviacion_Vs_Mercado_Pct"))
     cv, volume = F.col("CV_Costo"), F.col("Volumen_Total")
     return (
-        compared.drop("_market")
-        .withColumns({"Desviacion_Vs_Mercado_Pct": ratio(off_market, market), "Desviacion_Vs_Mercado_Abs": off_market})
+        compared.withColumns({"Desviacion_Vs_Mercado_Pct": ratio(off_market, market), "Desviacion_Vs_Mercado_Abs": off_market})
         .withColumns(
             {
                 "Nivel_Riesgo_Variabilidad": first_match([(cv > 0.3, "ALTO_RIESGO"), (cv > 0.15, "MEDIO_RIESGO")], "NORMAL"),
@@ -368,12 +374,10 @@ def _purchase_figures(purchases: DataFrame) -> DataFrame:
     """Prices, totals and suppliers per product and site.
 
     The most frequent supplier is the first by name among equals; a missing one counts as a
-    supplier. The suppliers of one product at one site are few, so they are kept as a map.
+    supplier and comes first.
     """
     price, supplier = "ValorUnitario", "Proveedor"
-    # names get a mark in front, so that a missing one is a text of its own, the lowest
-    marked = F.mode(F.coalesce(F.concat(F.lit("="), F.col(supplier)), F.lit("")), True)
-    return grouped_medians(
+    figures = grouped_medians(
         purchases,
         SITE_PRODUCT,
         {price: "Precio_Compra_Mediana"},
@@ -383,10 +387,14 @@ def _purchase_figures(purchases: DataFrame) -> DataFrame:
             F.max(price).cast("double").alias("Precio_Compra_Max"),
             sum0("Cantidad").alias("Compras_Cantidad"),
             sum0("ValorTotal").alias("Compras_Valor"),
-            n_unique_small(supplier).alias("Num_Proveedores"),
-            F.substr(F.nullif(marked, F.lit("")), F.lit(2)).alias("Proveedor_Principal"),
         ],
     )
+    lines = purchases.groupBy(*SITE_PRODUCT, supplier).agg(F.count(F.lit(1)).alias("_lines"))
+    suppliers = lines.groupBy(*SITE_PRODUCT).agg(
+        F.count(F.lit(1)).alias("Num_Proveedores"),
+        F.min(F.struct(-F.col("_lines"), supplier)).getField(supplier).alias("Proveedor_Principal"),
+    )
+    return null_safe_join(figures, suppliers, SITE_PRODUCT)
 
 
 def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption: DataFrame) -> DataFrame:

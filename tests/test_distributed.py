@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from stockledger.functions import distributed
-from stockledger.functions.distributed import frequency_profile, grouped_medians, running_total, with_group_median
+from stockledger.functions.distributed import frequency_profile, grouped_medians, running_total
 
 
 def sample(seed, size, values):
@@ -92,11 +92,6 @@ def test_medians_of_tiny_groups(spark):
     check_medians(spark, [("a", 1.0), ("b", 1.0), ("b", 2.0), ("c", 1.0), ("c", 5.0), ("c", 2.0), (None, 7.0)], 3)
 
 
-def test_group_median_on_every_row(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 10.0), ("b", 1.0), ("b", 4.0)], "k string, v double")
-    assert rows_of(with_group_median(df, ["k"], "v", "m"), "k", "m") == [("a", 2.0)] * 3 + [("b", 2.5)] * 2
-
-
 def test_running_total_equals_one_global_window(spark):
     rng = random.Random(9)
     # two thirds of the rows share one value

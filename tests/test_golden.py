@@ -129,6 +129,25 @@ def test_supplier_prices(tables):
     )
 
 
+def test_a_product_without_code_has_no_market(spark):
+    rows = [(None, "x", "P", "m", "s", 5.0, 1, 5.0, "v"), (1, "x", "P", "m", "s", 5.0, 1, 5.0, "v"), (1, "x", "Q", "m", "s", 8.0, 200, 5.0, None),
+            (1, "x", "Q", "m", "s", 2.0, 0, 5.0, "v"), (1, "x", "", "m", "s", 9.0, 1, 5.0, "v"), (1, "x", "R", "m", "s", 0.0, 1, 5.0, "v")]
+    found = finance.supplier_price_variance(
+        spark.createDataFrame(
+            rows,
+            "CodigoGenerico bigint, Nombre string, Proveedor string, Municipio string, Servicio string, "
+            "ValorUnitario double, Cantidad bigint, ValorTotal double, Comprobante string",
+        )
+    )
+    columns = ["CodigoGenerico", "Proveedor", "Mediana_Mercado", "CV_Costo", "Nivel_Riesgo_Variabilidad",
+               "Alerta_Precio_Mercado", "Clasificacion_Volumen", "Num_Transacciones"]
+    assert rows_of(found, *columns) == [
+        (None, "P", None, None, "NORMAL", "PRECIO_NORMAL", "BAJO_VOLUMEN", 1),
+        (1, "P", 5.0, None, "NORMAL", "PRECIO_NORMAL", "BAJO_VOLUMEN", 1),
+        (1, "Q", 5.0, 0.848528, "ALTO_RIESGO", "PRECIO_NORMAL", "ALTO_VOLUMEN", 2),
+    ]
+
+
 def test_stock_efficiency(tables):
     columns = ["CodigoGenerico", "Municipio", "Consumo_Valor", "Entradas_Valor", "Consumo_Cantidad", "Entradas_Cantidad",
                "Ratio_Eficiencia_Valor", "Estado_Inventario", "Diff_Costo_Unitario", "Alerta_Costo_Unitario",
