@@ -11,35 +11,37 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockledger.functions.exprs import null_safe_join
 
 
-def ensure_checkpoint_dir(df: DataFrame) -> None:
-    """Uses the session's shared checkpoint folder; sets a scratch one only where none is named."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a scratch one only in local mode where none is named."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="stockledger-checkpoint-"))
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="stockledger-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Writes the rows to the checkpoint folder and reads from there on.
+    """Writes the rows as a table in the shared folder and reads them from there on.
 
     For frames that are read several times and must be the same each time, or are too dear to
-    compute again; the files outlive lost executors.
+    compute again; the files outlive lost executors, and readers take only the columns they need.
     """
-    ensure_checkpoint_dir(df)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stockledger-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def frequency_profile(df: DataFrame, keys: list[str], value: str) -> DataFrame:

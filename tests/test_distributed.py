@@ -3,6 +3,7 @@
 import random
 import statistics
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -108,3 +109,21 @@ def test_running_total_equals_one_global_window(spark):
 def test_running_total_of_nothing(spark):
     df = spark.createDataFrame([], "k bigint, v bigint")
     assert running_total(df, [F.col("k")], "v", "upto", "whole", 3).count() == 0
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    folder = distributed.shared_folder(spark)
+    assert folder == spark.sparkContext.getCheckpointDir()
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        distributed.shared_folder(Session())
