@@ -34,3 +34,7 @@ def all_queries() -> dict[str, Query]:
         f.__name__: f
         for f in (op2_exact_top_k, op5_sharding, op8_mixing, op10_secret_scan)
     }
+
+
+def all_sql() -> dict[str, str]:
+    return {}
