@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import mixing, secrets, sharding, topk
+from stockledger.llm import mixing, ngram_join, secrets, sharding, topk
 from stockledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
@@ -32,7 +36,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op2_exact_top_k, op5_sharding, op8_mixing, op10_secret_scan)
+        for f in (op1_ngram_join, op2_exact_top_k, op5_sharding, op8_mixing, op10_secret_scan)
     }
 
 
