@@ -14,10 +14,11 @@ chance or a shared passage seldom make equal. The number of parts doubles with t
 sets; a set near the upper end of its size range gives signatures for the next range as well. Sets
 below `SMALL_SET` tokens have one part per token. Shingles, parts and sets are known by 64-bit hashes.
 
-Similar documents are found in two steps: each class is compared with the smallest class of every
-signature it has, which joins most of a family of any size in as many comparisons as it has
-members; what such a family's other signatures have in common with it is then looked up group by
-group in the matrix. Links only ever join components, so comparisons inside one are left out.
+Similar documents are found in two steps. First each class is compared with one class of every
+signature it has, the smallest, then the one with most links, which joins most of a family of
+any size in about as many comparisons as it has members. What components still share signatures is
+then looked up group by group in the matrix. Links only ever join components, so comparisons inside
+one are left out.
 
 A text without words, or NULL, has no set and links with nothing. Rows with the same text are one
 class, whatever their ids; a component's id is the smallest id in it that is not NULL.
@@ -41,6 +42,7 @@ ship(__name__)
 SMALL_SET = 16
 MATRIX_WORDS = 8
 GROUP_ROWS = 48
+LEADER_ROUNDS = 1
 FILTER_BITS = 24
 CACHED_WORDS = 1 << 20
 BITS = [f"bits{i}" for i in range(MATRIX_WORDS)]
@@ -150,6 +152,15 @@ def _absent(a: str, b: str) -> Column:
                F.bit_count(F.col(f"{a}.{BITS[0]}").bitwiseAND(F.bitwise_not(f"{b}.{BITS[0]}"))))
 
 
+def _led(at_issue: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs of each signature's best linked class with its classes in other components."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    ranked = at_issue.join(ends, "cls", "left").select("sig", "cls", "component", F.coalesce("links", F.lit(0)).alias("links"))
+    lead = ranked.groupBy("sig").agg(F.max_by(F.struct("cls", "component"), F.struct("links", F.xxhash64("cls"))).alias("lead"))
+    met = at_issue.join(lead, "sig").where(F.col("component") != F.col("lead.component"))
+    return met.select(F.col("lead.cls").alias("a"), F.col("cls").alias("b"))
+
+
 class NgramJoin:
     """The join over one table of documents; `members` and `links` are its results."""
 
@@ -215,45 +226,53 @@ class NgramJoin:
         """`cls`, `component` of the classes that link with another one."""
         shared = self._shared()
         nodes = self.classes.select("cls", "n", *BITS)
-        star = shared.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-        known = star.join(nodes.select(F.struct("*").alias("x")), F.col("a") == F.col("x.cls"))
-        known = known.join(nodes.select(F.struct("*").alias("y")), F.col("b") == F.col("y.cls"))
-        star = materialize(known.where(self._pair_may_link("x", "y")).select("a", "b"))
         sets = self._sets(shared.select("cls").distinct())
-        links = materialize(self._verified(star, sets))
-        first = connected_components(links)
-        opened = materialize(self._opened(shared, nodes, first))
-        more = materialize(self._verified(opened, sets))
-        if more.isEmpty():
-            return first.select(F.col("node").alias("cls"), "component")
-        whole = connected_components(links.unionByName(more))
-        return whole.select(F.col("node").alias("cls"), "component")
-
-    def _opened(self, shared: DataFrame, nodes: DataFrame, components: DataFrame) -> DataFrame:
-        """Pairs (`a`, `b`) of a query and a member of a group it opens, for signatures that several components share."""
-        placed = (
-            shared.select("cls").distinct().join(components.withColumnRenamed("node", "cls"), "cls", "left")
-            .withColumn("component", F.coalesce("component", "cls"))
-        )
+        star = shared.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b"))
+        links = materialize(self._verified(self._possible(star, nodes), sets))
+        found = connected_components(links)
+        for _ in range(LEADER_ROUNDS):
+            at_issue = self._at_issue(shared, found)
+            links = materialize(links.unionByName(self._verified(self._possible(_led(at_issue, links), nodes), sets)))
+            found = connected_components(links)
+        opened = materialize(self._opened(self._at_issue(shared, found), nodes))
+        links = links.unionByName(materialize(self._verified(opened, sets)))
+        return connected_components(links).select(F.col("node").alias("cls"), "component")
+
+    def _possible(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs that the matrix does not rule out."""
+        known = pairs.distinct().join(nodes.select(F.struct("*").alias("x")), F.col("a") == F.col("x.cls"))
+        known = known.join(nodes.select(F.struct("*").alias("y")), F.col("b") == F.col("y.cls"))
+        return materialize(known.where(self._pair_may_link("x", "y")).select("a", "b"))
+
+    def _at_issue(self, shared: DataFrame, components: DataFrame) -> DataFrame:
+        """(`sig`, `cls`, `component`) for the signatures that several components share."""
+        of_class = shared.select("cls").distinct().join(components.withColumnRenamed("node", "cls"), "cls", "left")
+        signed = shared.select("sig", "cls").join(of_class, "cls").withColumn("component", F.coalesce("component", "cls"))
+        signed = materialize(signed)
+        split = signed.groupBy("sig").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y")
+        return materialize(signed.join(split.select("sig"), "sig"))
+
+    def _opened(self, at_issue: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Pairs (`a`, `b`) of a query and a member of a group it opens."""
+        placed = at_issue.select("cls", "component").distinct()
         counts = placed.groupBy("component").agg(F.count(F.lit(1)).alias("many"))
-        placed = placed.join(counts, "component").withColumn(
-            "grp", F.xxhash64("component", F.pmod(F.xxhash64("cls"), F.ceil(F.col("many") / GROUP_ROWS)))
-        )
-        members = materialize(placed.join(nodes, "cls"))
-        signed = shared.select("sig", "cls").join(members.select("cls", "component"), "cls")
-        split = signed.groupBy("sig").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("sig")
-        at_issue = materialize(signed.join(split, "sig").drop("component"))
+        grp = F.xxhash64("component", F.pmod(F.xxhash64("cls"), F.ceil(F.col("many") / GROUP_ROWS)))
+        members = materialize(placed.join(counts, "component").withColumn("grp", grp).join(nodes, "cls"))
         matrix = members.groupBy("grp").agg(
             F.first("component").alias("component"), F.first("many").alias("many"),
             F.min("n").alias("least"), F.max("n").alias("most"), *[F.bit_or(c).alias(c) for c in BITS],
+            F.struct(*[F.bit_and(c).alias(c) for c in BITS]).alias("all"),
         )
         cells = at_issue.join(members.select("cls", "grp"), "cls").select("sig", "grp").distinct()
-        groups = cells.join(matrix, "grp").select("sig", F.struct(*matrix.columns).alias("g"))
-        queries = at_issue.join(members, "cls").select("sig", F.struct(*members.columns).alias("q"))
+        groups = cells.join(matrix, "grp").select("sig", F.struct(*[c for c in matrix.columns if c != "all"]).alias("g"), "all")
+        queries = at_issue.select("sig", "cls").join(members, "cls").select("sig", F.struct(*members.columns).alias("q"))
         n, p = F.col("q.n"), self.percent
         smaller = F.struct("q.many", "q.component") < F.struct("g.many", "g.component")
         in_reach = (n * 100 >= F.col("g.least") * p) & (F.col("g.most") * 100 >= n * p)
-        bound = _absent("q", "g") * 100 <= n * (100 - p)
+        # what the query has and no member, and what every member has and the query not
+        bound = (_absent("q", "g") * 100 <= n * (100 - p)) & (
+            (_absent("q", "g") + _absent("all", "q")) * (100 + p) <= (n + F.col("g.most")) * (100 - p)
+        )
         cells = queries.join(groups, "sig").where(smaller & in_reach & bound).select(F.col("q.cls").alias("a"), F.col("g.grp").alias("grp")).distinct()
         pairs = (
             cells.join(members.select("grp", F.struct("cls", "n", *BITS).alias("y")), "grp")
