@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import mixing, ngram_join, secrets, sharding, topk
+from stockledger.llm import mixing, ngram_join, secrets, sharding, suffix_dedup, topk
 from stockledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_ngram_join, op2_exact_top_k, op5_sharding, op8_mixing, op10_secret_scan)
+        for f in (op1_ngram_join, op2_exact_top_k, op5_sharding, op6_suffix_dedup, op8_mixing, op10_secret_scan)
     }
 
 
