@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import mixing, ngram_join, secrets, sharding, suffix_dedup, topk
+from stockledger.llm import decontam, html, langid, mixing, ngram_join, secrets, sharding, suffix_dedup, topk
 from stockledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
@@ -40,7 +52,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_ngram_join, op2_exact_top_k, op5_sharding, op6_suffix_dedup, op8_mixing, op10_secret_scan)
+        for f in (op1_ngram_join, op2_exact_top_k, op3_language_id, op4_decontamination, op5_sharding, op6_suffix_dedup, op7_html_extraction, op8_mixing, op10_secret_scan)
     }
 
 

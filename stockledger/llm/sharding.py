@@ -49,9 +49,9 @@ def shard_by_bytes(
     ranged = _with_range(records, _splitters(records, total, ranges, ranges * sample_per_range))
     fair = max(1.0, total / ranges)
     full = ranged.groupBy("_range").agg(F.sum("size").alias("_bytes"))
-    # as many rows as there are ranges at most; the limit of Spark's own check decides how to join
+    # one row per range, and their number is a parameter; so is that of the units below, give or take the pieces
     pieces = full.select("_range", F.ceil(F.col("_bytes") / (2 * fair)).alias("_pieces"))
-    units = ranged.join(pieces, "_range").withColumn(
+    units = ranged.join(F.broadcast(pieces), "_range").withColumn(
         "_piece", F.when(F.col("_pieces") > 1, F.pmod("_tie", F.col("_pieces"))).otherwise(F.lit(0))
     )
     in_order = Window.orderBy("_range", "_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,7 +71,7 @@ def shard_by_bytes(
     in_unit = Window.partitionBy("_range", "_piece").orderBy("_key", "_tie", "doc_id")
     return (
         units.withColumn("_nth", F.row_number().over(in_unit))
-        .join(first, ["_range", "_piece"])
+        .join(F.broadcast(first), ["_range", "_piece"])
         .select(
             "doc_id",
             "size",
