@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockledger.llm.common import row_hash, ship, unit_interval
 
@@ -191,7 +192,7 @@ def labelled(batches, network: ByteNetwork):
     known = WordScores(network)
     for batch in batches:
         pooled = np.zeros((batch.num_rows, len(network.languages) + 1))
-        texts, lettered = batch.column("text"), batch.column("lettered").to_numpy(zero_copy_only=False)
+        texts, lettered = batch.column("_bytes"), batch.column("_lettered").to_numpy(zero_copy_only=False)
         waiting: list[tuple[int, np.ndarray]] = []
 
         def settle():
@@ -219,9 +220,10 @@ def labelled(batches, network: ByteNetwork):
         best = means.argmax(axis=1)
         names = [network.languages[b] if k else UNKNOWN for b, k in zip(best, lettered)]
         score = np.where(lettered, means[np.arange(len(best)), best], 0.0).clip(0, 1)
-        kept = [batch.column(c) for c in batch.schema.names if c not in ("text", "lettered")]
-        columns = [c for c in batch.schema.names if c not in ("text", "lettered")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*columns, "lang_pred", "score"])
+        kept = batch.schema.names[:-2]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-2], pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"]
+        )
 
 
 def held_out(id_col: Column) -> Column:
@@ -267,9 +269,17 @@ def predict(docs: DataFrame, network: ByteNetwork, columns: list[str], text_col:
     """`columns` of every row with `lang_pred` and `score`."""
     text = F.col(text_col)
     known = F.lit(bool(network.languages))
-    rows = docs.select(*columns, text.cast("binary").alias("text"), (known & F.coalesce(text.rlike(r"\p{L}"), F.lit(False))).alias("lettered"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
-    return rows.mapInArrow(lambda it: labelled(it, network), f"{fields}, lang_pred string, score double")
+    lettered = F.lit(bool(network.languages)) & F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    rows = docs.select(*columns, text.cast("binary").alias("_bytes"), lettered.alias("_lettered"))
+    schema = T.StructType(rows.schema.fields[:-2]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(lambda it: labelled(it, network), schema)
+
+
+def recognised(docs: DataFrame, network: ByteNetwork, least_score: float = 0.28, text_col: str = "text") -> DataFrame:
+    """The documents, with all columns, in which a language is recognised: a letter, and a score above chance."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
+    found = predict(rows, network, ["_row"], "_text")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_row.*")
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **training) -> DataFrame:

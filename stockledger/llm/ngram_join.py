@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import materialize
-from stockledger.llm.common import ship
+from stockledger.llm.common import row_hash, ship
 from stockledger.llm.graph import connected_components
 
 ship(__name__)
@@ -124,10 +124,10 @@ def describe(batches, words: int, percent: int):
             signed.append(signatures(tokens, percent).view(np.int64))
         matrix = np.array(bits, np.int64).reshape(len(bits), MATRIX_WORDS)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())]
+            [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())]
             + [pa.array(matrix[:, i]) for i in range(MATRIX_WORDS)]
             + [pa.array(signed, pa.list_(pa.int64()))],
-            names=["doc_id", "n", "cls", *BITS, "signed"],
+            names=["doc_id", "row_key", "n", "cls", *BITS, "signed"],
         )
 
 
@@ -168,11 +168,11 @@ class NgramJoin:
         if not 80 <= percent <= 100:
             raise ValueError("signatures are laid out for thresholds from 80 to 100 percent")
         self.words, self.percent = words, percent
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), row_hash(id_col, text_col).alias("row_key"))
         bits = ", ".join(f"{c} long" for c in BITS)
         self.rows = materialize(
             self.docs.mapInArrow(
-                lambda it: describe(it, words, percent), f"doc_id long, n long, cls long, {bits}, signed array<long>"
+                lambda it: describe(it, words, percent), f"doc_id long, row_key long, n long, cls long, {bits}, signed array<long>"
             )
         )
         described = [F.first(c).alias(c) for c in ("n", *BITS)]
@@ -205,7 +205,7 @@ class NgramJoin:
         for r in words.toLocalIterator():  # 2 MB in all, whatever the number of classes
             wanted[r["w"]] = r["b"]
         n = self.words
-        sets = self.docs.withColumn("place", place).mapInArrow(
+        sets = self.docs.drop("row_key").withColumn("place", place).mapInArrow(
             lambda it: whole_sets(it, n, wanted), "doc_id long, tokens array<long>"
         )
         kept = reps.where("doc_id is not null").join(sets, "doc_id").groupBy("cls").agg(F.first("tokens").alias("tokens"))
@@ -293,6 +293,22 @@ class NgramJoin:
         )
 
 
+    def representatives(self) -> DataFrame:
+        """`row_key` of one document per component, the one with the smallest id, and of those without words."""
+        first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "row_key"))
+        of_class = self.rows.where("cls is not null").groupBy("cls").agg(first.alias("first"))
+        named = of_class.join(self.components(), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        kept = named.groupBy("component").agg(F.min("first").alias("first")).select("first.row_key")
+        return kept.unionByName(self.rows.where("cls is null").select("row_key").distinct())
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component, with all its columns; equal rows stay once."""
+    kept = NgramJoin(docs, words, percent, id_col, text_col).representatives()
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_hash(id_col, text_col).alias("row_key"))
+    return keyed.join(kept, "row_key").dropDuplicates(["row_key"]).select("_row.*")
+
+
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles` and `component_id` (the smallest id reachable by links) of every document."""
     return NgramJoin(docs, words, percent, id_col, text_col).members()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontam, html, langid, mixing, ngram_join, secrets, sharding, suffix_dedup, topk
+from stockledger.llm import chat, decontam, html, langid, mixing, ngram_join, secrets, sharding, suffix_dedup, topk
 from stockledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_words(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_ngram_join, op2_exact_top_k, op3_language_id, op4_decontamination, op5_sharding, op6_suffix_dedup, op7_html_extraction, op8_mixing, op10_secret_scan)
+        for f in (op1_ngram_join, op2_exact_top_k, op3_language_id, op4_decontamination, op5_sharding, op6_suffix_dedup, op7_html_extraction, op8_mixing, op9_chat_formatting, op10_secret_scan)
     }
 
 
