@@ -17,7 +17,7 @@ Tasks drop what they know to be a repeat of their own rows before anything is sh
 or line that a third of all documents hold is one row per task. Identifiers have 64 bits.
 
 NULL text is empty; rows without id come after all others; rows that share an id are told apart by
-their text, and equal rows with equal ids are one document, which all of them report.
+24 bits of their text's hash, and equal rows with equal ids are one document, which all of them report.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ ship(__name__)
 
 LENGTH = 100
 GRAM = 24
-PIECE = 1 << 19  # bytes handled at a time; a longer text is cut, and its runs with it
+PIECE = 1 << 17  # bytes handled at a time; a longer text is cut, and its runs with it
+SPANS = 1 << 10
 PLACE = np.uint64((1 << 24) - 1)  # room for places in a group of pieces
 LAST = (1 << 63) - 1
 
@@ -132,8 +133,7 @@ RUNS = "doc long, twin long, at int, many int, bucket long, run long, repeats bo
 def runs(batches, length: int):
     """Runs of strings that share their smallest q-gram; `repeats` where the same run came before in the batch."""
     for batch in batches:
-        texts = [t or b"" for t in batch.column("text").to_pylist()]
-        docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
+        texts, docs, twins = _in_order(batch, "text")
         rows = []
         for group in pieces(texts, length):
             part, offset, bucket, place, own = strings_of(group, length)
@@ -147,8 +147,6 @@ def runs(batches, length: int):
             continue
         row, at, many, bucket, run = (np.concatenate(c) for c in zip(*rows))
         doc, twin = docs[row], twins[row]
-        order = np.lexsort((at, twin, doc))
-        row, at, many, bucket, run, doc, twin = (c[order] for c in (row, at, many, bucket, run, doc, twin))
         repeats = ~_first_seen(bucket, run)
         # known repeats need no bucket: they are dealt out anywhere
         bucket = np.where(repeats, mixed(run + at.astype(np.uint64) + doc.view(np.uint64)), bucket)
@@ -159,27 +157,45 @@ def runs(batches, length: int):
         )
 
 
+def _in_order(batch, *columns: str):
+    """The columns' values, ids and twins by id, twin: what comes first in a batch then comes first."""
+    docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
+    order = np.lexsort((twins, docs))
+    batch = batch.take(pa.array(order))
+    return *(batch.column(c).to_pylist() for c in columns), docs[order], twins[order]
+
+
+def _all_strings(parts: list[bytes], length: int) -> np.ndarray:
+    """Identifiers of all whole strings of the parts, one after the other."""
+    if not parts:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    gram = min(GRAM, length)
+    ids = refined(refined(BYTE_IDS[data], 1, gram), gram, length)
+    ends = np.cumsum([len(p) for p in parts])
+    inside = np.ones(len(data), bool)
+    for back in range(1, length):
+        inside[ends - back] = False
+    return ids[inside[: len(ids)]]
+
+
 def single_strings(batches, length: int):
     """The strings of the runs listed with each text, with their identifiers."""
     for batch in batches:
-        docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
-        texts, listed = batch.column("text").to_pylist(), batch.column("runs").to_pylist()
-        doc, twin, at, own = [], [], [], []
-        for i, (text, spans) in enumerate(zip(texts, listed)):
-            data = np.frombuffer(text, np.uint8)
-            for span in spans or ():
-                if span["refine"]:
-                    part = data[span["at"] : span["at"] + span["many"] + length - 1]
-                    ids = refined(refined(BYTE_IDS[part], 1, min(GRAM, length)), min(GRAM, length), length)
-                    doc.append(np.full(len(ids), docs[i]))
-                    twin.append(np.full(len(ids), twins[i]))
-                    at.append(span["at"] + np.arange(len(ids)))
-                    own.append(ids)
-        if not doc:
+        texts, listed, docs, twins = _in_order(batch, "text", "runs")
+        spans = [(i, x["at"], x["many"]) for i, found in enumerate(listed) for x in sorted(found, key=lambda x: x["at"])]
+        if not spans:
             continue
-        doc, twin, at, own = (np.concatenate(c) for c in (doc, twin, at, own))
-        order = np.lexsort((at, twin, doc))
-        doc, twin, at, own = doc[order], twin[order], at[order], own[order]
+        which, first, many = np.array(spans, np.int64).T
+        own, chunk = [], []
+        for i, at, n in spans:
+            chunk.append(texts[i][at : at + n + length - 1])
+            if len(chunk) == SPANS:
+                own.append(_all_strings(chunk, length))
+                chunk = []
+        own = np.concatenate([*own, _all_strings(chunk, length)])
+        doc, twin = np.repeat(docs[which], many), np.repeat(twins[which], many)
+        at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(len(own))
         repeats = ~_first_seen(own)
         own = np.where(repeats, mixed(own + at.astype(np.uint64) + doc.view(np.uint64)), own)
         yield pa.RecordBatch.from_arrays(
@@ -223,7 +239,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """One row per document: `doc_id`, `n_bytes`, `n_removed`, `n_spans`, `kept_sha256`, `removed` (byte spans)."""
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(data).alias("twin"), data.alias("text")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.pmod(F.xxhash64(data), F.lit(1 << 24)).alias("twin"), data.alias("text")
     )
     # once through the texts: runs, the only large shuffle
     found = texts.mapInArrow(lambda it: runs(it, length), RUNS)
@@ -240,9 +256,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     def by_text(runs_of: DataFrame) -> DataFrame:
         # as many entries as the text's own length allows
-        return runs_of.groupBy("doc", "twin").agg(F.collect_set(F.struct("at", "many", *[c for c in runs_of.columns if c == "refine"])).alias("runs"))
+        return runs_of.groupBy("doc", "twin").agg(F.collect_set(F.struct("at", "many")).alias("runs"))
 
-    to_refine = by_text(judged.where("refine"))
+    to_refine = by_text(judged.where("refine").drop("refine"))
     strings = texts.join(to_refine, ["doc", "twin"]).mapInArrow(
         lambda it: single_strings(it, length), "doc long, twin long, at int, own long, repeats boolean"
     )
