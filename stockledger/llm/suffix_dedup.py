@@ -35,7 +35,7 @@ from stockledger.llm.common import ship
 ship(__name__)
 
 LENGTH = 100
-GRAM = 24
+GRAM = 40  # longer ones make more runs, but fewer that meet a differing one
 PIECE = 1 << 17  # bytes handled at a time; a longer text is cut, and its runs with it
 SPANS = 1 << 10
 PLACE = np.uint64((1 << 24) - 1)  # room for places in a group of pieces
