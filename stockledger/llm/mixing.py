@@ -163,7 +163,10 @@ class Mix:
         )
 
     def uses(self) -> DataFrame:
-        """How often the mix holds each block it holds: `source_nth`, `block`, `uses`."""
+        """How often the mix holds each block it holds: `source_nth`, `block`, `uses`.
+
+        Spark takes the exploded slots for as small as the sources; joins must be told not to send them.
+        """
         return self.slots().groupBy("source_nth", "block").agg(F.count(F.lit(1)).alias("uses"))
 
     def taken(self) -> DataFrame:
@@ -176,7 +179,7 @@ class Mix:
         overlap = F.least(end, (F.col("block") + 1) * n) - F.greatest(F.col("start"), F.col("block") * n)
         return (
             self.rows.withColumn("block", F.explode(over))
-            .join(self.uses(), ["source_nth", "block"], "left")
+            .join(self.uses().hint("merge"), ["source_nth", "block"], "left")
             .groupBy("doc_id", "row_key", "source", "source_nth", "start", "size", "source_size", "target")
             .agg(F.coalesce(F.sum(overlap * F.coalesce("uses", F.lit(0))), F.lit(0)).cast("long").alias("taken"))
             .drop("source_nth", "start", "row_key")
@@ -190,7 +193,7 @@ class Mix:
         """
         return (
             self.rows.withColumn("block", F.floor(F.col("start") / F.lit(self.block_words)))
-            .join(self.uses(), ["source_nth", "block"], "left")
+            .join(self.uses().hint("merge"), ["source_nth", "block"], "left")
             .select("doc_id", "row_key", F.when(F.col("size") == 0, 1).otherwise(F.coalesce("uses", F.lit(0))).alias("copies"))
         )
 
