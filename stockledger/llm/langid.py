@@ -236,8 +236,12 @@ def training_words(docs: DataFrame, sample_docs: int, excerpt: int, id_col: str,
     rows = docs.where(
         F.col(id_col).isNotNull() & ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
     ).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), unit_interval(key).alias("u"), F.xxhash64(key).alias("v"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("many"))
-    near = rows.join(counts, "lang").where(F.col("u") * F.col("many") < 2 * sample_docs + 50)
+    # one entry per language, as in the network itself
+    counts = {r["lang"]: r["many"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("many")).collect()}
+    if not counts:
+        return []
+    many = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("lang")]
+    near = rows.where(F.col("u") * many < 2 * sample_docs + 50)
     place = (unit_interval(F.col("v")) * F.greatest(F.length("text") - excerpt, F.lit(0))).cast("int") + 1
     near = near.select("lang", "u", "v", F.substring("text", place, F.lit(excerpt)).alias("text"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("u", "v", "text"))
