@@ -46,6 +46,19 @@ def _file_paths(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return sorted(row.path for row in listed.collect())
 
 
+def _with_source(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())])
+
+
+def _reads_to_its_end(spark: SparkSession, fmt: str, path: str, options: Mapping[str, str]) -> bool:
+    try:
+        spark.read.format(fmt).options(**options).load(path).write.format("noop").mode("overwrite").save()
+        return True
+    except Exception as error:  # whatever the reader says of a damaged file
+        log.warning("skipping %s: %s", path, error)
+        return False
+
+
 def _read_layouts(spark: SparkSession, fmt: str, paths: list[str], options: Mapping[str, str]) -> list[DataFrame]:
     """One frame per distinct layout; files sharing a header are read together.
 
@@ -70,14 +83,18 @@ def ingest_ledger(
     ddl: str = schemas.LEDGER_DDL,
     per_file_layout: bool | None = None,
     options: Mapping[str, str] | None = None,
+    skip_damaged: bool = False,
 ) -> DataFrame:
     """All ledger files of a folder as one frame with the declared schema and `ArchivoOrigen`.
 
-    Self-describing formats are read by column name in one scan. Text files may differ in their
-    headers, so they are grouped by header and united by name; columns the schema does not know
-    stay as text. A missing or empty folder gives an empty frame of the declared schema.
+    Self-describing formats are read by column name in one scan, in the merged schema of the files
+    themselves, and then cast. Text files may differ in their headers, so they are grouped by header
+    and united by name. Columns the schema does not know stay as text, in every format. A missing
+    or empty folder gives an empty frame of the declared schema.
 
-    Unreadable files are left out; `files_without_rows` names them.
+    A damaged file, or files whose types do not go together, are errors. With `skip_damaged` each
+    file is read on its own beforehand, and one that cannot be read to its end is left out as a
+    whole; `files_without_rows` names it.
     """
     schema = _declared(ddl)
     empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())]))
@@ -89,11 +106,17 @@ def ingest_ledger(
         options.setdefault("header", "true")
     try:
         if not per_file_layout:
-            options["ignoreCorruptFiles"] = "true"
-            whole = spark.read.format(fmt).schema(schema).option("pathGlobFilter", pattern).options(**options).load(path)
-            return with_source_file(whole)
+            reader = spark.read.format(fmt).options(**options)
+            if fmt in ("parquet", "orc"):
+                reader = reader.option("mergeSchema", "true")
+            if not skip_damaged:
+                return conform(with_source_file(reader.option("pathGlobFilter", pattern).load(path)), _with_source(schema))
+            whole = [p for p in _file_paths(spark, path, pattern) if _reads_to_its_end(spark, fmt, p, options)]
+            return conform(with_source_file(reader.load(whole)), _with_source(schema)) if whole else empty
         paths = _file_paths(spark, path, pattern)
     except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         log.warning("no ledger files in %s: %s", path, error)
         return empty
     united = empty

@@ -42,13 +42,42 @@ def test_parquet_files_with_missing_columns_and_a_broken_file(spark, tmp_path):
         file = next((tmp_path / part).glob("*.parquet"))
         (landing_dir / f"{part}.parquet").write_bytes(file.read_bytes())
     put(landing_dir, "broken.parquet", "not parquet")
-    found = landing.ingest_ledger(spark, str(landing_dir))
+    with pytest.raises(Exception, match="broken.parquet"):
+        landing.ingest_ledger(spark, str(landing_dir)).count()
+    found = landing.ingest_ledger(spark, str(landing_dir), skip_damaged=True)
     assert rows_of(found, "Comprobante", "Cantidad", "ArchivoOrigen") == [("DC", None, "y.parquet"), ("RMC", 5, "x.parquet")]
     assert rows_of(landing.files_without_rows(spark, str(landing_dir), found)) == [("broken.parquet",)]
     each = landing.ingest_ledger(spark, str(landing_dir), per_file_layout=True)
     assert rows_of(each, "Comprobante", "Cantidad") == [("DC", None), ("RMC", 5)]
 
 
+def test_files_of_other_types_lose_no_line(spark, tmp_path):
+    rows = [("RMC", 5, "7.50", "x"), ("DC", 6, "8.25", "y")]
+    typed = spark.createDataFrame(rows, "Comprobante string, Cantidad long, ValorTotal string, Extra string")
+    for money in ("string", "decimal(18,2)", "double"):
+        path = f"{tmp_path}/{money[:3]}"
+        typed.selectExpr("Comprobante", "cast(Cantidad as int) Cantidad", "5L AS CodigoGenerico", f"cast(ValorTotal AS {money}) ValorTotal", "Extra").write.parquet(path)
+        found = landing.ingest_ledger(spark, path)
+        assert rows_of(found.selectExpr("Comprobante", "Cantidad", "cast(ValorTotal AS double) v", "Extra")) == [("DC", 6, 8.25, "y"), ("RMC", 5, 7.5, "x")]
+        assert found.where("CodigoGenerico IS NULL").count() == 0
+
+
+def test_a_file_damaged_inside_is_an_error_or_left_out_whole(spark, tmp_path):
+    spark.range(50000).selectExpr("cast(uuid() AS string) Comprobante", "id AS Cantidad").coalesce(1).write.parquet(f"{tmp_path}/x")
+    spark.createDataFrame([("RMC", 5)], "Comprobante string, Cantidad bigint").coalesce(1).write.parquet(f"{tmp_path}/y")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    bad = bytearray(next((tmp_path / "x").glob("*.parquet")).read_bytes())
+    bad[len(bad) // 4 : len(bad) // 2] = b"\0" * (len(bad) // 2 - len(bad) // 4)
+    (folder / "bad.parquet").write_bytes(bad)
+    (folder / "good.parquet").write_bytes(next((tmp_path / "y").glob("*.parquet")).read_bytes())
+    with pytest.raises(Exception, match="bad.parquet"):
+        landing.ingest_ledger(spark, str(folder)).collect()
+    found = landing.ingest_ledger(spark, str(folder), skip_damaged=True)
+    assert rows_of(found, "Comprobante", "Cantidad") == [("RMC", 5)]
+    assert rows_of(landing.files_without_rows(spark, str(folder), found)) == [("bad.parquet",)]
+
+
 def test_extracts_must_all_exist_and_billing_is_renamed(spark, tmp_path):
     paths = {}
     for role, ddl in (("billing", schemas.BILLING_DDL), ("out", schemas.EXTRACT_DDL), ("in", schemas.EXTRACT_DDL), ("listing", schemas.LISTING_DDL)):
