@@ -5,8 +5,8 @@ every group. Within a group each dimension is a sorted list. For a query the lis
 sequentially and in parallel, from the end that the query's weight favours. What has been read
 gives each candidate a lower and an upper bound: dimensions not yet read lie between the list's
 last entry and the next one. Reading stops when few candidates have an upper bound that reaches the
-k-th best lower bound or the k-th best score of earlier lists; their final scores are then
-resolved. Ties are never cut off, so the smaller id wins them.
+k-th best lower bound or, once known, the k-th best score of earlier lists; their final scores are
+then resolved. Ties are never cut off, so the smaller id wins them.
 
 Vectors that are NULL or hold NULL or non-finite components, and rows without id, take no part;
 vectors of other lengths than the query's are not compared with it. Rows that share the query's id
@@ -80,10 +80,12 @@ class SortedLists:
             read = order[:, :depth].ravel()
             following = parts[:, depth]
             upper = sums + (following.sum() - np.bincount(read, np.repeat(following, depth), n))
-            lower = sums + (last.sum() - np.bincount(read, np.repeat(last, depth), n))
-            bound = max(floor, np.partition(lower, n - k)[n - k])
-            alive = np.flatnonzero(upper >= bound)
-            if len(alive) <= max(4 * k, n // 16):
+            if floor == -np.inf:  # scores known from earlier lists are seldom below these
+                lower = sums + (last.sum() - np.bincount(read, np.repeat(last, depth), n))
+                alive = np.flatnonzero(upper >= np.partition(lower, n - k)[n - k])
+            else:
+                alive = np.flatnonzero(upper >= floor)
+            if len(alive) <= max(4 * k, n // 4):
                 return alive
         return alive
 
@@ -93,13 +95,13 @@ def _top_of_group(query_ids, queries, ids, vectors, k: int):
     for own, query in zip(query_ids, queries):
         best: list[tuple[float, int]] = []  # scores with negated ids, the worst first
         for part in lists:
-            # one more than k, as the query's own row may be among the best
+            # the query's own rows may be among the best
             floor = best[0][0] if len(best) == k else -np.inf
-            at = part.candidates(query, k + 1, floor)
+            at = part.candidates(query, k + int((part.ids == own).sum()), floor)
             scores = part.vectors[at] @ query
-            for score, i in sorted(zip(scores, part.ids[at]), key=lambda x: (-x[0], x[1]))[: k + int((part.ids == own).sum())]:
-                if i == own:
-                    continue
+            at, scores = (x[(scores >= floor) & (part.ids[at] != own)] for x in (at, scores))
+            for nth in np.lexsort((part.ids[at], -scores))[:k]:
+                score, i = scores[nth], part.ids[at[nth]]
                 entry = (score, -int(i))
                 if len(best) < k:
                     heapq.heappush(best, entry)
