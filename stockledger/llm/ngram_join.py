@@ -274,9 +274,10 @@ class NgramJoin:
             (_absent("q", "g") + _absent("all", "q")) * (100 + p) <= (n + F.col("g.most")) * (100 - p)
         )
         cells = queries.join(groups, "sig").where(smaller & in_reach & bound).select(F.col("q.cls").alias("a"), F.col("g.grp").alias("grp")).distinct()
+        # the query's columns come first, so that the bound is part of the join with the members
         pairs = (
-            cells.join(members.select("grp", F.struct("cls", "n", *BITS).alias("y")), "grp")
-            .join(nodes.select(F.col("cls").alias("a"), F.struct("n", *BITS).alias("x")), "a")
+            cells.join(nodes.select(F.col("cls").alias("a"), F.struct("n", *BITS).alias("x")), "a")
+            .join(members.select("grp", F.struct("cls", "n", *BITS).alias("y")), "grp")
             .where(self._pair_may_link("x", "y"))
         )
         return pairs.select("a", F.col("y.cls").alias("b"))
