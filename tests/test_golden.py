@@ -63,51 +63,53 @@ def test_threshold_and_column_parameters(spark):
 
 # --- financial tables ------------------------------------------------------------------------
 
-CODES = [1001, 2001, 3001, 1001, 2002, 3002]
-SITES = ["001", "001", "001", "002", "002", "002"]
-SERVICES = ["FAR", "FAR", "ALM", "FAR", "FAR", "ALM"]
-CLASSES = ["Medicamentos", "Dispositivos Medicos", "Suministros"]
-NAMES = {1001: "Paracetamol 500mg", 2001: "Jeringa 10ml", 3001: "Guantes Latex", 2002: "Cateter Foley", 3002: "Algodon 50g"}
 LINE_DDL = (
     "Municipio string, Servicio string, Clasificacion_consumo string, CodigoGenerico bigint, Nombre string, "
     "Proveedor string, ValorUnitario bigint, Cantidad bigint, ValorTotal bigint, Comprobante string"
 )
-
-
-def line(i, prices, quantities, values, voucher):
-    j = i % 6
-    return (
-        SITES[j], SERVICES[j], CLASSES[i % 3], CODES[j], NAMES[CODES[j]], f"PROV_{'ABC'[i % 3]}",
-        prices[j], quantities[j], values[j], voucher,
-    )
+BILLING_DDL = (
+    "idadmision bigint, CodigoGenerico bigint, Nombre string, vrtotal bigint, cantidad bigint, vrunitario bigint, "
+    "Especialidad string, Servicio_Corregido string, Municipio string, Servicio string, MedicoRealiza string, "
+    "nofactura string"
+)
+SERUM = ("N1", "URG", "Medicamentos", 71, "Suero oral")
+BANDAGE = ("N2", "HOS", "Dispositivos Medicos", 72, "Venda elastica")
+GAUZE = ("N2", "HOS", "Suministros", 73, "Gasa esteril")
+NEEDLE = ("N2", "HOS", "Suministros", 74, "Aguja")
+USED = [
+    (*SERUM, "Andina", 40, 6, 240, "dispensado", 501),
+    (*SERUM, "Andina", 60, 4, 240, "interno", 502),
+    (*SERUM, "Boreal", 100, 150, 15000, "dispensado", 501),
+    (*BANDAGE, "Boreal", 90, 10, 900, "interno", 503),
+    (*GAUZE, "Cima", 5, 20, 100, "dispensado", 504),
+]
+BOUGHT = [
+    (*SERUM, "Andina", 50, 8, 400, "Entrada de almacen"),
+    (*SERUM, "Cima", 70, 12, 840, "Entrada de almacen"),
+    (*BANDAGE, "Boreal", 80, 40, 3200, "COMPRA directa"),
+    (*NEEDLE, "Cima", 3, 100, 300, "COMPRA directa"),
+]
+GIVEN_BACK = [(*GAUZE, "Cima", 4, 25, 100, "Devuelto")]
+BILLED = [
+    (501, 71, "Suero oral", 12000, 150, 80, "URGENCIAS", "farmacia", "N1", "URG", "Ada", "F-20"),
+    (501, 71, "Suero oral", 2000, 10, 200, "URGENCIAS", "farmacia", "N1", "URG", "Bea", "F-10"),
+    (502, 71, "Suero oral", 130, 2, 65, "URGENCIAS", "farmacia", "N1", "URG", "Ada", "F-30"),
+    (505, 72, "Venda elastica", 600, 6, 100, "CIRUGIA", "farmacia", "N2", "HOS", "Cleo", "F-40"),
+    (504, 73, "Gasa esteril", 160, 20, 8, "CIRUGIA", "farmacia", "N2", "HOS", "Cleo", "F-50"),
+]
+
+
+def financial_tables(spark, receipts):
+    return finance.financial_report(
+        spark.createDataFrame(USED, LINE_DDL + ", field_1 bigint"),
+        spark.createDataFrame(receipts, LINE_DDL),
+        rename_billing(spark.createDataFrame(BILLED, BILLING_DDL)),
+    )
 
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    used = (1000, 500, 200, 1100, 550, 220), (10, 5, 20, 8, 3, 15), (10000, 2500, 4000, 8800, 1650, 3300)
-    got = (1050, 480, 190, 1150, 520, 210), (15, 8, 30, 12, 5, 25), (15750, 3840, 5700, 13800, 2600, 5250)
-    vouchers = ["SISTEMA DISPENSACION FARMACIA"] * 15 + ["SALIDAS INTERNAS FARMACIA"] * 15
-    consumption = spark.createDataFrame(
-        [(*line(i, *used, vouchers[i]), 1001 + i % 3) for i in range(30)], LINE_DDL + ", field_1 bigint"
-    )
-    receipts = spark.createDataFrame([line(i, *got, "ENTRADAS INTERNAS FARMACIA") for i in range(25)], LINE_DDL)
-    codes = [1001, 2001, 3001, 1001, 2002]
-    billed = [
-        (
-            1001 + i % 5, codes[i % 5], NAMES[codes[i % 5]], (12000, 3000, 5000, 10000, 4000)[i % 5],
-            (10, 5, 20, 8, 3)[i % 5], (1200, 600, 250, 1250, 1333)[i % 5],
-            ("FARMACIA", "FARMACIA", "ENFERMERIA", "FARMACIA", "UROLOGIA")[i % 5], "servicio farmaceutico",
-            ("001", "001", "001", "002", "002")[i % 5], SERVICES[i % 6], f"Dr. {'ABCDE'[i % 5]}", f"FAC-{i + 1:04d}",
-        )
-        for i in range(20)
-    ]
-    billing = spark.createDataFrame(
-        billed,
-        "idadmision bigint, CodigoGenerico bigint, Nombre string, vrtotal bigint, cantidad bigint, vrunitario bigint, "
-        "Especialidad string, Servicio_Corregido string, Municipio string, Servicio string, MedicoRealiza string, "
-        "nofactura string",
-    )
-    return finance.financial_report(consumption, receipts, rename_billing(billing))
+    return financial_tables(spark, BOUGHT + GIVEN_BACK)
 
 
 def test_report_has_nine_tables(tables):
@@ -115,18 +117,15 @@ def test_report_has_nine_tables(tables):
 
 
 def test_supplier_prices(tables):
-    found = tables["varianza_proveedor"]
-    assert rows_of(found, "Nivel_Riesgo_Variabilidad", "Alerta_Precio_Mercado") == [("NORMAL", "PRECIO_NORMAL")] * 6
-    paracetamol = found.where("CodigoGenerico = 1001")
-    assert rows_of(paracetamol, "Mediana_Mercado", "Desviacion_Vs_Mercado_Pct", "CV_Costo", "Num_Transacciones") == [
-        (1050.0, -0.047619, 0.0, 2),
-        (1050.0, 0.047619, 0.0, 2),
+    columns = ["CodigoGenerico", "Proveedor", "Costo_Mediano", "Mediana_Mercado", "CV_Costo", "Nivel_Riesgo_Variabilidad",
+               "Desviacion_Vs_Mercado_Pct", "Alerta_Precio_Mercado", "Volumen_Total", "Clasificacion_Volumen",
+               "Num_Transacciones"]
+    assert rows_of(tables["varianza_proveedor"], *columns) == [
+        (71, "Andina", 50.0, 75.0, 0.282843, "MEDIO_RIESGO", -0.333333, "PRECIO_ANOMALO", 10, "VOLUMEN_MEDIO", 2),
+        (71, "Boreal", 100.0, 75.0, None, "NORMAL", 0.333333, "PRECIO_ANOMALO", 150, "ALTO_VOLUMEN", 1),
+        (72, "Boreal", 90.0, 90.0, None, "NORMAL", 0.0, "PRECIO_NORMAL", 10, "VOLUMEN_MEDIO", 1),
+        (73, "Cima", 5.0, 5.0, None, "NORMAL", 0.0, "PRECIO_NORMAL", 20, "VOLUMEN_MEDIO", 1),
     ]
-    assert rows_of(found, "Volumen_Total", "Clasificacion_Volumen") == sorted(
-        [(50, "VOLUMEN_MEDIO"), (40, "VOLUMEN_MEDIO"), (25, "VOLUMEN_MEDIO"), (15, "VOLUMEN_MEDIO"),
-         (100, "ALTO_VOLUMEN"), (75, "VOLUMEN_MEDIO")],
-        key=lambda r: [(True, str(v)) for v in r],
-    )
 
 
 def test_a_product_without_code_has_no_market(spark):
@@ -153,12 +152,10 @@ def test_stock_efficiency(tables):
                "Ratio_Eficiencia_Valor", "Estado_Inventario", "Diff_Costo_Unitario", "Alerta_Costo_Unitario",
                "Valor_Stock_Muerto"]
     assert rows_of(tables["eficiencia_stock_detalle"], *columns) == [
-        (1001, "001", 50000, 78750, 50, 75, 0.634921, "SOBRE_STOCK", -50.0, "COMPRA_CARA", 28750),
-        (1001, "002", 44000, 55200, 40, 48, 0.797101, "STOCK_ELEVADO", -50.0, "COMPRA_CARA", 11200),
-        (2001, "001", 12500, 15360, 25, 32, 0.813802, "STOCK_ELEVADO", 20.0, "CONSUMO_CARO", 2860),
-        (2002, "002", 8250, 10400, 15, 20, 0.793269, "STOCK_ELEVADO", 30.0, "CONSUMO_CARO", 2150),
-        (3001, "001", 20000, 22800, 100, 120, 0.877193, "STOCK_ELEVADO", 10.0, "CONSUMO_CARO", 2800),
-        (3002, "002", 16500, 21000, 75, 100, 0.785714, "STOCK_ELEVADO", 10.0, "CONSUMO_CARO", 4500),
+        (0, None, 0, 300, 0, 100, 0.0, "SOBRE_STOCK_CRITICO", -3.0, "COMPRA_CARA", 300),
+        (71, "N1", 15480, 1240, 160, 20, 12.483871, "DESABASTECIMIENTO", 6.666667, "CONSUMO_CARO", 0),
+        (72, "N2", 900, 3200, 10, 40, 0.28125, "SOBRE_STOCK_CRITICO", 10.0, "CONSUMO_CARO", 2300),
+        (73, "N2", 100, 100, 20, 25, 1.0, "OPTIMO", 1.0, "CONSUMO_CARO", 0),
     ]
 
 
@@ -166,21 +163,23 @@ def test_billing_gap(tables):
     columns = ["idadmision", "CodigoGenerico", "Facturado_Valor", "Consumido_Valor", "Ratio_Fact_Consumo",
                "Estado_Facturacion", "Alerta_Spread"]
     assert rows_of(tables["gap_fact_consumo_detalle"], *columns) == [
-        (0, 0, 0, 16500, 0.0, "SIN_FACTURAR", "SPREAD_ANOMALO"),
-        (0, 0, 0, 8250, 0.0, "SIN_FACTURAR", "SPREAD_ANOMALO"),
-        (1001, 1001, 48000, 94000, 0.510638, "SUB_FACTURACION_CRITICA", "NORMAL"),
-        (1002, 2001, 12000, 12500, 0.96, "EQUILIBRADO", "NORMAL"),
-        (1003, 3001, 20000, 20000, 1.0, "EQUILIBRADO", "NORMAL"),
-        (1004, 1001, 40000, 0, None, "FACTURADO_SIN_CONSUMO", "SPREAD_ANOMALO"),
-        (1005, 2002, 16000, 0, None, "FACTURADO_SIN_CONSUMO", "SPREAD_ANOMALO"),
+        (0, 0, 0, 900, 0.0, "SIN_FACTURAR", "SPREAD_ANOMALO"),
+        (501, 71, 14000, 15240, 0.918635, "EQUILIBRADO", "SPREAD_ANOMALO"),
+        (502, 71, 130, 240, 0.541667, "SUB_FACTURACION_CRITICA", "NORMAL"),
+        (504, 73, 160, 100, 1.6, "SOBRE_FACTURACION_CRITICA", "SPREAD_ANOMALO"),
+        (505, 72, 600, 0, None, "FACTURADO_SIN_CONSUMO", "SPREAD_ANOMALO"),
     ]
-    first = tables["gap_fact_consumo_detalle"].where("idadmision = 1004")
-    assert rows_of(first, "No_Factura", "MedicoRealiza") == [("FAC-0004", "Dr. D")]
+    first = tables["gap_fact_consumo_detalle"].where("idadmision = 501")
+    assert rows_of(first, "No_Factura", "MedicoRealiza") == [("F-10", "Bea")]
 
 
-def test_critical_alerts_in_both_key_modes(tables):
+def test_critical_alerts_in_both_key_modes(spark, tables):
     alerts = tables["alertas_pacientes_criticos"]
-    assert rows_of(alerts, "idadmision", "Margen_Perdido_Total") == [(0, -24750), (1001, -46000)]
+    assert rows_of(alerts, "idadmision", "Margen_Perdido_Total") == [(0, -900), (502, -110)]
+    billing = rename_billing(spark.createDataFrame(BILLED, BILLING_DDL))
+    whole = finance.billing_gap_detail(billing, spark.createDataFrame(USED, LINE_DDL + ", field_1 bigint"), finance.COALESCED)
+    found = finance.critical_patient_alerts(whole)
+    assert rows_of(found, "idadmision", "Margen_Perdido_Total") == [(502, -110), (503, -900)]
 
 
 def test_gap_keys_can_be_coalesced(spark):
@@ -230,20 +229,16 @@ def test_purchase_margins(tables):
     columns = ["CodigoGenerico", "Municipio", "Precio_Compra_Prom", "Compras_Cantidad", "Facturacion_Cantidad",
                "Consumo_Cantidad", "Margen_Porcentual_Prom", "Alerta_Margen", "Alerta_Eficiencia_Compra",
                "Alerta_Rotacion_Venta", "Valor_Stock_Muerto_Estimado"]
-    low = "BAJA_ROTACION_VENTA"
     assert rows_of(tables["compras_ventas_consumo_detalle"], *columns) == [
-        (1001, "001", 1050.0, 75, 30, 50, 14.285714, "MARGEN_NORMAL", "SOBRE_COMPRA", low, 26250.0),
-        (1001, "002", 1150.0, 48, 24, 40, 8.695652, "MARGEN_BAJO", "OPTIMO", low, 9200.0),
-        (2001, "001", 480.0, 32, 15, 25, 25.0, "MARGEN_NORMAL", "SOBRE_COMPRA", low, 3360.0),
-        (2002, "002", 520.0, 20, 9, 15, 156.346154, "MARGEN_ALTO", "SOBRE_COMPRA", low, 2600.0),
-        (3001, "001", 190.0, 120, 40, 100, 31.578947, "MARGEN_ALTO", "OPTIMO", low, 3800.0),
-        (3002, "002", 210.0, 100, 0, 75, -100.0, "PERDIDA", "SOBRE_COMPRA", low, 5250.0),
+        (71, "N1", 60.0, 20, 162, 160, 91.666667, "MARGEN_ALTO", "DESABASTECIMIENTO", "VENTA_SUPERIOR_COMPRA", 0.0),
+        (72, "N2", 80.0, 40, 6, 10, 25.0, "MARGEN_NORMAL", "SOBRE_COMPRA_CRITICA", "BAJA_ROTACION_VENTA", 2400.0),
+        (74, "N2", 3.0, 100, 0, 0, -100.0, "PERDIDA", "SOBRE_COMPRA_CRITICA", "BAJA_ROTACION_VENTA", 300.0),
     ]
 
 
 def test_top_dead_stock_order(tables):
     top = [r.Valor_Stock_Muerto_Estimado for r in tables["top_stock_muerto_estimado"].collect()]
-    assert top == [26250, 9200, 5250, 3800, 3360, 2600]
+    assert top == [2400, 300]
 
 
 def test_modal_supplier_and_supplier_count(spark):
@@ -272,9 +267,13 @@ def test_purchase_price_may_have_its_own_name(spark):
     assert (row.Alerta_Eficiencia_Compra, row.Valor_Stock_Muerto_Estimado) == ("DESABASTECIMIENTO", 0.0)
 
 
-def test_no_purchases_gives_empty_tables(spark, tables):
+def test_no_purchases_gives_empty_tables(spark):
     receipts = spark.createDataFrame([("DEVOLUCION",), ("Registro de COMPRA",), (None,)], "Comprobante string")
     assert finance.detect_purchases(receipts).count() == 1
+    found = financial_tables(spark, GIVEN_BACK)
+    for name in ("compras_ventas_consumo_detalle", "compras_ventas_resumen_servicio", "top_stock_muerto_estimado"):
+        assert found[name].columns and found[name].count() == 0
+    assert found["eficiencia_stock_detalle"].count() == 3
 
 
 def test_share_of_purchases_of_zero_is_null(spark):
