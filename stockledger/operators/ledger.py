@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockledger import vocab
 from stockledger.functions.exprs import first_match, sum0, zero_nulls
 
+BUILT_IN = "built_in_vouchers"
 INDEX = ["Fecha", "Bodega", *vocab.PRODUCT, "Tercero", "Comprobante_corregido"]
 
 
@@ -69,19 +70,40 @@ def classify_vouchers(df: DataFrame, vouchers: DataFrame | None = None) -> DataF
     hint, so Spark broadcasts it only when its size allows.
     """
     dim = F.broadcast(voucher_dimension(df.sparkSession)) if vouchers is None else vouchers
-    return df.join(dim, F.col("Comprobante_corregido") == F.col("voucher"), "left").drop("voucher")
+    joined = df.join(dim, F.col("Comprobante_corregido") == F.col("voucher"), "left").drop("voucher")
+    return joined.withMetadata("family", {BUILT_IN: vouchers is None})
 
 
 def classified_ledger(df: DataFrame, money: str = "double", vouchers: DataFrame | None = None) -> DataFrame:
     """Raw ledger to the frame all purchase, loan, movement and monthly operators read.
 
-    Missing numeric product codes become 0, as they do in every netted table.
+    Missing numeric codes stay NULL here: the netted tables group them apart from 0 and then make
+    them 0, and what adds netted rows up again takes both as 0 (`filled_keys`).
     """
-    return zero_nulls(classify_vouchers(prepare_ledger(df, money), vouchers), [*vocab.PRODUCT, "Bodega", "Tercero"])
+    return classify_vouchers(prepare_ledger(df, money), vouchers)
+
+
+def filled_keys(ledger: DataFrame) -> DataFrame:
+    """The lines with missing numeric codes as 0."""
+    return zero_nulls(ledger, [*vocab.PRODUCT, "Bodega", "Tercero"])
+
+
+def landed_vouchers(family: str) -> list[str]:
+    """The vouchers of a family as the input has them, transfers under both of their names."""
+    names = vocab.family_vouchers(family)
+    return [*names, vocab.TRANSFER_VOUCHER] if {vocab.TRANSFER_IN, vocab.TRANSFER_OUT} & set(names) else names
 
 
 def of_family(ledger: DataFrame, family: str) -> DataFrame:
-    return ledger.where(F.col("family") == family)
+    """The lines of one family.
+
+    With the built-in vouchers the landed voucher is filtered too, which reaches the scan, where
+    the family is known only after the join.
+    """
+    lines = ledger.where(F.col("family") == family)
+    if ledger.schema["family"].metadata.get(BUILT_IN) and "Comprobante" in ledger.columns:
+        lines = lines.where(F.col("Comprobante").isin(landed_vouchers(family)))
+    return lines
 
 
 def family_counts(ledger: DataFrame) -> DataFrame:
@@ -113,4 +135,4 @@ def net_by_voucher(ledger: DataFrame, family: str) -> DataFrame:
             for v in vouchers
         ]
 
-    return netted.select(*INDEX, *cells("Cantidad", "_q"), *cells("ValorTotal", "_v"))
+    return zero_nulls(netted.select(*INDEX, *cells("Cantidad", "_q"), *cells("ValorTotal", "_v")), INDEX)

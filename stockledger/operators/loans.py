@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stockledger import vocab
 from stockledger.functions.exprs import signed, sum0
-from stockledger.operators.ledger import of_family
+from stockledger.operators.ledger import filled_keys, of_family
 
 KEYS = ["Bodega", *vocab.PRODUCT, "Tercero"]
 
@@ -13,7 +13,7 @@ KEYS = ["Bodega", *vocab.PRODUCT, "Tercero"]
 def _balance(ledger: DataFrame, family: str, quantity: str, value: str) -> DataFrame:
     sign = F.col("sign")
     return (
-        of_family(ledger, family)
+        filled_keys(of_family(ledger, family))
         .groupBy(*KEYS)
         .agg(sum0(signed("Cantidad", sign)).alias(quantity), sum0(signed("ValorTotal", sign)).alias(value))
     )

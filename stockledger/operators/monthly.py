@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stockledger import vocab
 from stockledger.functions.distributed import running_total
 from stockledger.functions.exprs import first_match, ratio, signed, sum0
-from stockledger.operators.ledger import of_family
+from stockledger.operators.ledger import filled_keys, of_family
 
 WAREHOUSE_PRODUCT = ["Bodega", *vocab.PRODUCT]
 A_LIMIT, B_LIMIT = 0.80, 0.95
@@ -23,7 +23,7 @@ def monthly_lines(ledger: DataFrame, year_month: bool = False) -> DataFrame:
     Months carry no year unless `year_month`, which makes them numbers like 202403.
     """
     sign = F.col("monthly_sign")
-    lines = of_family(ledger, "consumption").withColumns(
+    lines = filled_keys(of_family(ledger, "consumption")).withColumns(
         {"Cantidad_Total": signed("Cantidad", sign), "Valor_Total": signed("ValorTotal", sign)}
     )
     if year_month:

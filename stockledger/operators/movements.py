@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockledger import vocab
 from stockledger.functions.exprs import signed, sum0
+from stockledger.operators.ledger import filled_keys
 
 BY_PRODUCT = [f for f in vocab.FAMILIES if f != "transfers"]
 
@@ -23,7 +24,7 @@ def signed_totals(family: str) -> list[Column]:
 
 def _movement(ledger: DataFrame, keys: list[str], families: list[str]) -> DataFrame:
     columns = [c for f in families for c in signed_totals(f)]
-    return ledger.where(F.col("family").isin(families)).groupBy(*keys).agg(*columns)
+    return filled_keys(ledger.where(F.col("family").isin(families))).groupBy(*keys).agg(*columns)
 
 
 def movement_by_product(ledger: DataFrame) -> DataFrame:

@@ -26,8 +26,7 @@ def net_purchases(ledger: DataFrame, year_month: bool = False) -> DataFrame:
         lines = lines.withColumn("Mes", F.year("Fecha") * 100 + F.month("Fecha"))
     sign = F.when(F.col("Comprobante_corregido") == vocab.PURCHASE_VOUCHER, 1).otherwise(-1)
     netted = (
-        zero_nulls(lines, GRAIN)
-        .groupBy(*GRAIN)
+        lines.groupBy(*GRAIN)
         .agg(
             sum0(signed("Cantidad", sign)).alias("Cantidad_neta"),
             sum0(signed("ValorTotal", sign)).alias("ValorTotal_neto"),
@@ -36,7 +35,7 @@ def net_purchases(ledger: DataFrame, year_month: bool = False) -> DataFrame:
     price = F.when(F.col("Cantidad_neta") == 0, F.lit(0.0)).otherwise(
         round_cents(ratio("ValorTotal_neto", "Cantidad_neta"))
     )
-    return netted.withColumn(PRICE, price)
+    return zero_nulls(netted, GRAIN).withColumn(PRICE, price)
 
 
 def _mean_price() -> Column:

@@ -77,6 +77,20 @@ def test_missing_numeric_code_becomes_zero(lines):
     assert rows_of(found, "CodigoGenerico", "Cantidad_total_compras") == [(0, 7)]
 
 
+def test_missing_code_and_code_zero_are_two_netted_rows(lines):
+    both = lines(entry(RMC, 3, 30, code=None), entry(RMC, 4, 40, code=0), entry(RMC, 5, 50, code=None))
+    found = ledger.net_by_voucher(both, "purchases")
+    assert rows_of(found, "CodigoGenerico", f"Cantidad_{RMC}") == [(0, 4), (0, 8)]
+    net = purchases.net_purchases(both)
+    assert rows_of(net, "CodigoGenerico", "Cantidad_neta") == [(0, 4), (0, 8)]
+
+
+def test_own_vouchers_are_not_filtered_by_the_built_in_ones(spark):
+    dim = spark.createDataFrame([("X - NEW", "lent", 1, None)], "voucher string, family string, sign int, monthly_sign int")
+    found = ledger.classified_ledger(spark.createDataFrame([entry("X - NEW", 2, 4)], DDL), vouchers=dim)
+    assert ledger.of_family(found, "lent").count() == 1
+
+
 def test_own_voucher_table(spark):
     dim = spark.createDataFrame([("X - NEW", "purchases", 1, None)], "voucher string, family string, sign int, monthly_sign int")
     found = ledger.classified_ledger(spark.createDataFrame([entry("X - NEW", 2, 4)], DDL), vouchers=dim)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stockledger.catalog.queries import all_queries
 from stockledger.functions.exprs import spread_null_key
-from stockledger.operators import consumption, ledger
+from stockledger.operators import consumption, ledger, loans, monthly
 from stockledger.operators.deviations import quantity_deviations
 from stockledger.schemas import DEVIATION_COLUMNS
 from stockledger.sources import demo
@@ -43,6 +43,8 @@ def test_confirmed_filter_and_columns_reach_the_files(spark, tmp_path):
     lines = ledger.classified_ledger(spark.read.parquet(path))
     text = plan(ledger.net_by_voucher(lines, "lent"))
     assert "EqualTo(Estado,CONFIRMADO)" in text
+    for report in (text, plan(loans.borrowed_balance(lines)), plan(monthly.monthly_qty(monthly.monthly_lines(lines), [1, 2]))):
+        assert "In(Comprobante, [" in report
     assert "BroadcastHashJoin" in text
 
 
