@@ -31,14 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line items, spread over all cores when their file has too few splits for that.
-
-    The small test files are one row group each, which one task reads alone. Large tables have
-    more splits than there are cores and are left as they are, without a shuffle.
-    """
-    lines = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return lines if lines.rdd.getNumPartitions() >= cores else lines.repartition(cores, "l_orderkey")
+    return table(spark, sf_dir, "lineitem")
 
 
 def _pick(options: list[str], index: Column) -> Column:
