@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger import vocab
+from stockledger import schemas, vocab
 from stockledger.operators import (
     audit,
     consumption,
@@ -135,6 +135,7 @@ def run_inventory_job(raw: DataFrame, out: str, day: str, money: str = "decimal(
     The classified ledger is read from its source once and kept for all reports.
     """
     orders = report_orders()
+    landing.require_columns(raw, schemas.LEDGER_NEEDED, "the ledger")
     with _persisted(ledger.classified_ledger(raw, money)) as lines:
 
         def write(name: str, tables: Mapping[str, DataFrame]) -> dict[str, str]:
@@ -162,12 +163,19 @@ def run_consumption_job(
     out: str,
     start: str,
     end: str,
-    money: str = "double",
+    money: str = "decimal(18,2)",
     fmt: str = "parquet",
     with_finance: bool = False,
 ) -> dict:
-    """Extracts (`billing`, `out`, `in`, `listing`) to the consumption reports below `out`."""
+    """Extracts (`billing`, `out`, `in`, `listing`) to the consumption reports below `out`.
+
+    Prices and values become `money` first. As decimals their sums do not depend on row order, so
+    neither does the net report, which cuts them to whole units.
+    """
     orders = report_orders()
+    measures = ("ValorUnitario", "TotalBruto", "ValorIVA", "ValorDescuento", "ValorTotal")
+    typed = {role: extracts[role].withColumns({c: F.col(c).cast(money) for c in measures}) for role in ("out", "in")}
+    extracts = {**extracts, **typed}
     with ExitStack() as kept:
         data = consumption.prepare_consumption(
             extracts["out"], extracts["in"], extracts["billing"], extracts["listing"], entities, money
@@ -233,9 +241,20 @@ def _after_reading(read: Callable[[], object], job: Callable[[object], dict], st
 
 
 def run_inventory_from_folder(spark: SparkSession, folder: str, out: str, day: str, fmt: str = "parquet", **job) -> dict:
-    """`run_inventory_job` over the ledger files of a folder."""
+    """`run_inventory_job` over the ledger files of a folder.
+
+    A folder without ledger lines, or a ledger without a column the reports need, ends the run
+    before anything is written.
+    """
+
+    def read() -> DataFrame:
+        raw = landing.ingest_ledger(spark, folder, fmt, needed=schemas.LEDGER_NEEDED)
+        if raw.isEmpty():
+            raise ValueError(f"no ledger lines in {folder}")
+        return raw
+
     return _after_reading(
-        lambda: landing.ingest_ledger(spark, folder, fmt),
+        read,
         lambda raw: run_inventory_job(raw, out, day, **job),
         "consolidacion",
     )
@@ -246,7 +265,7 @@ def run_consumption_from_files(
 ) -> dict:
     """`run_consumption_job` over the four extract files and the list of external entities."""
     return _after_reading(
-        lambda: (landing.ingest_extracts(spark, paths, fmt), landing.read_entities(spark, entities)),
+        lambda: (landing.ingest_extracts(spark, paths, fmt, needed=schemas.NEEDED_OF_EXTRACTS), landing.read_entities(spark, entities)),
         lambda inputs: run_consumption_job(*inputs, out, start, end, **job),
         "lectura",
     )

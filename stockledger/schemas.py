@@ -1,4 +1,7 @@
-"""Schemas of the input entities and the names the billing columns take at ingest."""
+"""Schemas of the input entities and the names the billing columns take at ingest.
+
+Column names and lists are fixed values: they must equal those of the input files and reports.
+"""
 
 LEDGER_DDL = (
     "Fecha string, TipoMovimiento string, Comprobante string, Estado string, Bodega string, "
@@ -6,6 +9,11 @@ LEDGER_DDL = (
     "Cantidad bigint, Costo double, ValorBruto double, ValorTotal double, ValorIva double, "
     "ValorDescuento double"
 )
+# What the inventory reports cannot do without.
+LEDGER_NEEDED = [
+    "Fecha", "TipoMovimiento", "Comprobante", "Estado", "Bodega", "CodigoGenerico", "GrupoInventario", "Generico",
+    "Tercero", "Cantidad", "ValorTotal",
+]
 EXTRACT_DDL = (
     "Comprobante string, Numero bigint, Fecha string, NoDocumento string, Proveedor string, "
     "CentroCosto string, Dependencia string, Bodega string, CodGrupo string, Grupo string, "
@@ -21,6 +29,19 @@ BILLING_DDL = (
 LISTING_DDL = "Codigo string, Nombre string, CodigoGenerico string, EstadoArticulo string"
 ENTITIES_DDL = "entidad string"
 
+# What the consumption reports cannot do without, by extract.
+MOVEMENT_NEEDED = [
+    "Comprobante", "Fecha", "NoDocumento", "Proveedor", "CentroCosto", "Dependencia", "Bodega", "CodGrupo", "Grupo",
+    "CodArticulo", "Cantidad", "ValorUnitario", "TotalBruto", "ValorIVA", "ValorDescuento", "ValorTotal", "Unidad",
+    "User", "FechaDigitacion",
+]
+NEEDED_OF_EXTRACTS = {
+    "billing": [field.split()[0] for field in BILLING_DDL.split(", ")],
+    "out": MOVEMENT_NEEDED,
+    "in": MOVEMENT_NEEDED,
+    "listing": [field.split()[0] for field in LISTING_DDL.split(", ")],
+}
+
 # The billing report tells `cantidad` and `nombre` from the ledger's `Cantidad` and
 # `Nombre` by case alone, which Spark does not; they get names of their own on reading.
 BILLING_NAMES = {

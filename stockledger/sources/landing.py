@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,22 +61,23 @@ def _reads_to_its_end(spark: SparkSession, fmt: str, path: str, options: Mapping
 
 
 def _read_layouts(spark: SparkSession, fmt: str, paths: list[str], options: Mapping[str, str]) -> list[DataFrame]:
-    """One frame per distinct layout; files sharing a header are read together.
-
-    A file whose header cannot be read is reported and left out.
-    """
+    """One frame per distinct layout; files sharing a header are read together."""
     layouts: dict[tuple, list[str]] = {}
     for path in paths:
-        try:
-            seen = spark.read.format(fmt).options(**options).load(path).schema
-        except Exception as error:  # any unreadable file is skipped, whatever the reader says
-            log.warning("skipping %s: %s", path, error)
-            continue
+        seen = spark.read.format(fmt).options(**options).load(path).schema
         if seen.fields:
             layouts.setdefault(tuple((f.name, f.dataType.simpleString()) for f in seen), []).append(path)
     return [spark.read.format(fmt).options(**options).load(same) for same in layouts.values()]
 
 
+def require_columns(df: DataFrame, needed: Iterable[str], what: str) -> DataFrame:
+    """The frame itself; an error that names the columns it lacks."""
+    absent = [c for c in needed if c not in df.columns]
+    if absent:
+        raise KeyError(f"{what} has no column {', '.join(absent)}; it has {', '.join(df.columns) or 'none'}")
+    return df
+
+
 def ingest_ledger(
     spark: SparkSession,
     path: str,
@@ -84,6 +86,7 @@ def ingest_ledger(
     per_file_layout: bool | None = None,
     options: Mapping[str, str] | None = None,
     skip_damaged: bool = False,
+    needed: Iterable[str] = (),
 ) -> DataFrame:
     """All ledger files of a folder as one frame with the declared schema and `ArchivoOrigen`.
 
@@ -94,7 +97,8 @@ def ingest_ledger(
 
     A damaged file, or files whose types do not go together, are errors. With `skip_damaged` each
     file is read on its own beforehand, and one that cannot be read to its end is left out as a
-    whole; `files_without_rows` names it.
+    whole; `files_without_rows` names it. Columns in `needed` that no file has are an error; one
+    that only some files lack is NULL in their lines.
     """
     schema = _declared(ddl)
     empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())]))
@@ -110,17 +114,27 @@ def ingest_ledger(
             if fmt in ("parquet", "orc"):
                 reader = reader.option("mergeSchema", "true")
             if not skip_damaged:
-                return conform(with_source_file(reader.option("pathGlobFilter", pattern).load(path)), _with_source(schema))
-            whole = [p for p in _file_paths(spark, path, pattern) if _reads_to_its_end(spark, fmt, p, options)]
-            return conform(with_source_file(reader.load(whole)), _with_source(schema)) if whole else empty
+                found = reader.option("pathGlobFilter", pattern).load(path)
+            else:
+                whole = [p for p in _file_paths(spark, path, pattern) if _reads_to_its_end(spark, fmt, p, options)]
+                if not whole:
+                    return empty
+                found = reader.load(whole)
+            return conform(with_source_file(require_columns(found, needed, path)), _with_source(schema))
         paths = _file_paths(spark, path, pattern)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         log.warning("no ledger files in %s: %s", path, error)
         return empty
+    if skip_damaged:
+        paths = [p for p in paths if _reads_to_its_end(spark, fmt, p, options)]
+    layouts = _read_layouts(spark, fmt, paths, options)
+    if layouts:
+        everywhere = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [x.limit(0) for x in layouts])
+        require_columns(everywhere, needed, path)
     united = empty
-    for layout in _read_layouts(spark, fmt, paths, options):
+    for layout in layouts:
         united = united.unionByName(conform(with_source_file(layout), schema), allowMissingColumns=True)
     return united
 
@@ -137,8 +151,18 @@ def rename_billing(billing: DataFrame) -> DataFrame:
     return billing.select(*[F.col(c).alias(schemas.BILLING_NAMES.get(c, c)) for c in billing.columns])
 
 
-def ingest_extracts(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-    """The four extracts by role: `billing`, `out`, `in`, `listing`. Each path must exist."""
+def ingest_extracts(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    needed: Mapping[str, Iterable[str]] | None = None,
+) -> dict[str, DataFrame]:
+    """The four extracts by role: `billing`, `out`, `in`, `listing`. Each path must exist.
+
+    Every format is read in its files' own schema and cast; undeclared columns stay as text. A
+    role's columns in `needed` are an error where they are absent, other declared ones are NULL then.
+    """
     ddls = {
         "billing": schemas.BILLING_DDL,
         "out": schemas.EXTRACT_DDL,
@@ -153,14 +177,17 @@ def ingest_extracts(spark: SparkSession, paths: Mapping[str, str], fmt: str = "p
         reader = spark.read.format(fmt).options(**(options or {}))
         if fmt == "csv":
             reader = reader.option("header", "true")
-        else:
-            reader = reader.schema(_declared(ddl))
+        elif fmt in ("parquet", "orc"):
+            reader = reader.option("mergeSchema", "true")
         try:
             frame = reader.load(paths[role])
         except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise FileNotFoundError(f"{role} extract not found: {paths[role]}") from error
-        if fmt == "csv":
-            frame = conform(frame, _declared(ddl))
+        schema = _declared(ddl)
+        require_columns(frame, (needed or {}).get(role, ()), f"{role} extract {paths[role]}")
+        frame = conform(frame, schema)
         frames[role] = rename_billing(frame) if role == "billing" else frame
     return frames
 

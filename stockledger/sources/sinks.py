@@ -7,8 +7,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 
-TABLE_NAME_LIMIT = 31
-
 
 def safe_text(text: str) -> str:
     """Replaces what a path must not contain."""
@@ -21,10 +19,6 @@ def report_path(base: str, report: str, start: str, end: str | None = None) -> s
     return f"{base.rstrip('/')}/{report}/period={period}"
 
 
-def table_name(name: str) -> str:
-    return name[:TABLE_NAME_LIMIT]
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: list[Column] | None = None) -> str:
     """Writes one table; an empty one keeps its schema. `order` sorts the whole dataset."""
     out = df.orderBy(*order) if order else df
@@ -39,10 +33,5 @@ def write_report(
     tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet", orders: Mapping[str, list[Column]] | None = None
 ) -> dict[str, str]:
     """Writes every table of a report below `path`; returns table name -> dataset path."""
-    names = [table_name(n) for n in tables]
-    if len(set(names)) != len(names):
-        raise ValueError(f"table names are equal in their first {TABLE_NAME_LIMIT} characters: {list(tables)}")
     orders = orders or {}
-    return {
-        name: write_table(df, f"{path}/{table_name(name)}", fmt, orders.get(name)) for name, df in tables.items()
-    }
+    return {name: write_table(df, f"{path}/{name}", fmt, orders.get(name)) for name, df in tables.items()}

@@ -59,9 +59,7 @@ def test_a_failing_step_ends_the_job(spark, tmp_path):
 
 def test_jobs_from_landed_files(spark, tmp_path):
     ledger_dir = f"{tmp_path}/ledger"
-    demo.ledger_lines(spark, SMALL).withColumn("CodigoGenerico", F.col("CodigoGenerico").cast("string")).withColumn(
-        "ValorTotal", F.col("ValorTotal").cast("double")
-    ).write.parquet(ledger_dir)
+    demo.ledger_lines(spark, SMALL).write.parquet(ledger_dir)  # numbers as codes, decimals as money
     status = jobs.run_inventory_from_folder(spark, ledger_dir, f"{tmp_path}/out", "2024-01-31")
     assert status["exitoso"], status["error"]
     assert list(status["pasos"])[:2] == ["consolidacion", "clasificacion"]
@@ -70,7 +68,11 @@ def test_jobs_from_landed_files(spark, tmp_path):
     assert moved.count() == direct["Movimiento_agrupado"].count()
 
     empty = jobs.run_inventory_from_folder(spark, f"{tmp_path}/none", f"{tmp_path}/out2", "2024-01-31")
-    assert empty["exitoso"], empty["error"]
+    assert not empty["exitoso"] and "no ledger lines" in empty["error"]
+    assert not (tmp_path / "out2").exists()
+    demo.ledger_lines(spark, SMALL).withColumnRenamed("Estado", "Estdo").write.parquet(f"{tmp_path}/misnamed")
+    misnamed = jobs.run_inventory_from_folder(spark, f"{tmp_path}/misnamed", f"{tmp_path}/out2", "2024-01-31")
+    assert not misnamed["exitoso"] and "Estado" in misnamed["error"] and not (tmp_path / "out2").exists()
     missing = jobs.run_consumption_from_files(spark, {"out": "x"}, "e", f"{tmp_path}/out3", "1", "2")
     assert not missing["exitoso"] and "no path given" in missing["error"]
 
@@ -93,4 +95,10 @@ def test_consumption_job_from_landed_files(spark, tmp_path):
         spark, paths, f"{tmp_path}/entities", f"{tmp_path}/out", "01/01/2024", "31/01/2024"
     )
     assert status["exitoso"], status["error"]
+    lame = demo.movement_extract(spark, SMALL).drop("NoDocumento")
+    lame.write.parquet(f"{tmp_path}/lame")
+    refused = jobs.run_consumption_from_files(
+        spark, {**paths, "out": f"{tmp_path}/lame"}, f"{tmp_path}/entities", f"{tmp_path}/out4", "01/01/2024", "31/01/2024"
+    )
+    assert not refused["exitoso"] and "NoDocumento" in refused["error"]
     assert list(status["pasos"])[0] == "lectura" and status["pasos"]["carga"]["totales"]["billed"]["filas"] > 0

@@ -47,7 +47,9 @@ def test_parquet_files_with_missing_columns_and_a_broken_file(spark, tmp_path):
     found = landing.ingest_ledger(spark, str(landing_dir), skip_damaged=True)
     assert rows_of(found, "Comprobante", "Cantidad", "ArchivoOrigen") == [("DC", None, "y.parquet"), ("RMC", 5, "x.parquet")]
     assert rows_of(landing.files_without_rows(spark, str(landing_dir), found)) == [("broken.parquet",)]
-    each = landing.ingest_ledger(spark, str(landing_dir), per_file_layout=True)
+    with pytest.raises(Exception, match="broken.parquet"):
+        landing.ingest_ledger(spark, str(landing_dir), per_file_layout=True)
+    each = landing.ingest_ledger(spark, str(landing_dir), per_file_layout=True, skip_damaged=True)
     assert rows_of(each, "Comprobante", "Cantidad") == [("DC", None), ("RMC", 5)]
 
 
@@ -124,12 +126,12 @@ def test_reports_are_written_one_dataset_per_table(spark, tmp_path):
     assert path.endswith("compras/period=01-02-2024_28-02-2024")
     order = {"x" * 40: [F.col("Cantidad Registros").desc_nulls_first()]}
     written = sinks.write_report({"x" * 40: df, "empty": df.limit(0)}, path, orders=order)
-    assert written["x" * 40].endswith("/" + "x" * 31)
+    assert written["x" * 40].endswith("/" + "x" * 40)
     assert rows_of(spark.read.parquet(written["x" * 40])) == [(None, "a"), (1, "b"), (3, "c")]
     empty = spark.read.parquet(written["empty"])
     assert empty.count() == 0 and empty.dtypes == df.dtypes
-    with pytest.raises(ValueError):
-        sinks.write_report({"x" * 40: df, "x" * 41: df}, path)
+    longer = sinks.write_report({"x" * 40: df, "x" * 41: df.limit(0)}, path)
+    assert spark.read.parquet(longer["x" * 40]).count() == 3 and spark.read.parquet(longer["x" * 41]).count() == 0
 
 
 def test_sorted_csv_report(spark, tmp_path):
