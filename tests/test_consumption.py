@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from row_values import rows_of
 from stockledger import vocab
 from stockledger.operators import audit, consumption, profit, reconcile, report
 from stockledger.schemas import UNCLOSED_COLUMNS

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from row_values import rows_of
 from stockledger.functions import distributed
 from stockledger.functions.distributed import frequency_profile, grouped_medians, running_total
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows_of
+from row_values import rows_of
 from stockledger.operators import finance
 from stockledger.operators.deviations import dropped_null_keys, quantity_deviations
 from stockledger.sources.landing import rename_billing

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from row_values import rows_of
 from stockledger import schemas
 from stockledger.sources import landing, sinks
 
