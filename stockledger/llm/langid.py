@@ -6,7 +6,10 @@ and a document's probabilities are the means over all bytes of its words. A word
 wherever it stands, so a task computes each distinct word once.
 
 It is trained in numpy by backpropagation through time on a bounded sample: `sample_docs` documents
-per language, of each an excerpt of `excerpt` characters at a place chosen by hash.
+per language, of each an excerpt of `excerpt` characters at a place chosen by hash. All words of the
+sample are learned from; batches draw them so that each language comes up alike. A score is above
+chance if it is more than a quarter of the way from 1 / languages to the scores of the sample's documents,
+of which the lowest hundredth is left aside; one language alone is never rejected.
 
 NULL text and text without a letter are `und` with score 0; so is everything if there is nothing
 to learn from. Rows without id are not learned from. Repeated rows get the same result each.
@@ -85,6 +88,7 @@ class ByteNetwork:
     def __init__(self, languages: list[str], hidden: int = HIDDEN, embedded: int = EMBEDDED, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.languages, self.rng = languages, rng
+        self.least_score = 1 / len(languages) if len(languages) > 1 else 0.0
         self.embedding = rng.normal(0, 0.5, (256, embedded)).astype(np.float32)
         self.sides = [Direction(rng, embedded, hidden) for _ in range(2)]
         self.out = rng.normal(0, 0.1, (2 * hidden, len(languages))).astype(np.float32)
@@ -103,19 +107,21 @@ class ByteNetwork:
         return scores / scores.sum(axis=2, keepdims=True)
 
     def train(self, words: list[bytes], labels: np.ndarray, steps: int = STEPS, rate: float = 0.01) -> None:
-        """Adam on the mean cross entropy of all positions, on batches of words of one length."""
+        """Adam on the mean cross entropy of all positions, on batches of words of one length; languages are drawn alike."""
+        weight = 1 / np.bincount(labels, minlength=len(self.languages))[labels]
         by_length: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by_length.setdefault(len(w), []).append(i)
         lengths = sorted(by_length)
         codes = {n: np.frombuffer(b"".join(words[i] for i in by_length[n]), np.uint8).reshape(-1, n).T for n in lengths}
         answers = {n: labels[by_length[n]] for n in lengths}
-        odds = np.array([n * len(by_length[n]) for n in lengths], float)
+        drawn = {n: np.cumsum(weight[by_length[n]]) for n in lengths}
+        odds = np.array([n * drawn[n][-1] for n in lengths])
         parameters = [self.embedding, self.out, self.bias] + [p for d in self.sides for p in (d.w, d.u, d.b)]
         first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
         for step in range(1, steps + 1):
             n = lengths[self.rng.choice(len(lengths), p=odds / odds.sum())]
-            pick = self.rng.integers(0, codes[n].shape[1], BATCH)
+            pick = np.searchsorted(drawn[n][:-1], self.rng.random(BATCH) * drawn[n][-1], side="right")
             grads = self._gradients(codes[n][:, pick], answers[n][pick])
             pace = rate * min(1.0, 2 * (1 - step / (steps + 1)))
             for p, g, a, b in zip(parameters, grads, first, second):
@@ -260,15 +266,22 @@ def fit(docs: DataFrame, sample_docs: int = 300, excerpt: int = 2000, steps: int
             words += pieces
             labels += [place[lang]] * len(pieces)
     if len(network.languages) > 1 and words:
-        # languages count alike, however long their documents are
-        labels = np.array(labels)
-        share = np.bincount(labels, minlength=len(place))
-        rng = np.random.default_rng(1)
-        keep = rng.random(len(labels)) < share.min() / share[labels] if share.min() else np.ones(len(labels), bool)
-        network.train([w for w, k in zip(words, keep) if k], labels[keep], steps)
+        network.train(words, np.array(labels), steps)
+        network.least_score = rejection_level(network, sample)
     return network
 
 
+def rejection_level(network: ByteNetwork, sample: list[tuple[str, str]]) -> float:
+    """A quarter of the way from chance to the scores of documents whose language is found."""
+    known = WordScores(network)
+    rows = [[known[w] for w in text.encode().split()] for _, text in sample]
+    sums = known.settle()
+    means = np.array([sums[r, :-1].sum(axis=0) / sums[r, -1].sum() for r in rows])
+    found = means.argmax(axis=1) == [network.languages.index(lang) for lang, _ in sample]
+    chance = 1 / len(network.languages)
+    return float(chance + (np.quantile(means[found].max(axis=1), 0.01) - chance) / 4) if found.any() else chance
+
+
 def predict(docs: DataFrame, network: ByteNetwork, columns: list[str], text_col: str = "text") -> DataFrame:
     """`columns` of every row with `lang_pred` and `score`."""
     text = F.col(text_col)
@@ -279,8 +292,9 @@ def predict(docs: DataFrame, network: ByteNetwork, columns: list[str], text_col:
     return rows.mapInArrow(lambda it: labelled(it, network), schema)
 
 
-def recognised(docs: DataFrame, network: ByteNetwork, least_score: float = 0.28, text_col: str = "text") -> DataFrame:
-    """The documents, with all columns, in which a language is recognised: a letter, and a score above chance."""
+def recognised(docs: DataFrame, network: ByteNetwork, least_score: float | None = None, text_col: str = "text") -> DataFrame:
+    """The documents, with all columns, in which a language is recognised: a letter, and a score above chance, or of `least_score`."""
+    least_score = network.least_score if least_score is None else least_score
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
     found = predict(rows, network, ["_row"], "_text")
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_row.*")

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 from llm_cases import EDGE_ROWS
+from pyspark.sql import functions as F
 
 from stockledger.llm import langid, queries
 
@@ -55,3 +56,27 @@ def test_edges(spark, edge_docs, no_docs):
     assert langid.identify_languages(no_docs).collect() == []
     untaught = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.identify_languages(untaught).collect()] == [("und", 0)]
+
+
+def test_a_rare_label_takes_no_words_from_the_others(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(10**9 + i, "zqx wvk jjq xzz qkw", "typo") for i in range(10**3)], docs.schema).where(
+        ~langid.held_out(F.col("doc_id"))
+    )
+    rows = langid.identify_languages(docs.unionByName(odd.limit(1))).collect()
+    want = {r.doc_id: r.lang for r in docs.collect()}
+    fresh = [r for r in rows if r.held_out and r.doc_id in want]
+    assert np.mean([r.lang_pred == want[r.doc_id] for r in fresh]) >= 0.97
+
+
+def test_rejection_with_two_languages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("lang in ('en', 'de')")
+    network = langid.fit(docs)
+    assert network.least_score > 0.5
+    labelled = docs.where("text rlike '[a-z]{3}'")
+    kept = langid.recognised(docs, network)
+    assert kept.columns == docs.columns and kept.count() >= 0.97 * labelled.count()
+    unsure = langid.ByteNetwork(["a", "b"])
+    unsure.out[:] = 0
+    unsure.least_score = network.least_score
+    assert langid.recognised(docs, unsure).count() == 0
