@@ -17,7 +17,8 @@ Tasks drop what they know to be a repeat of their own rows before anything is sh
 or line that a third of all documents hold is one row per task. Identifiers have 64 bits.
 
 NULL text is empty; rows without id come after all others; rows that share an id are told apart by
-24 bits of their text's hash, and equal rows with equal ids are one document, which all of them report.
+24 bits of their text's hash, those without id by 64 bits. Equal rows with equal ids are one document,
+which all of them report: what a row shares with its equals at the same place is no repeat.
 """
 
 from __future__ import annotations
@@ -158,9 +159,11 @@ def runs(batches, length: int):
 
 
 def _in_order(batch, *columns: str):
-    """The columns' values, ids and twins by id, twin: what comes first in a batch then comes first."""
+    """The columns' values, ids and twins by id, twin: what comes first in a batch then comes first. Equal rows stay once."""
     docs, twins = batch.column("doc").to_numpy(), batch.column("twin").to_numpy()
     order = np.lexsort((twins, docs))
+    again = np.r_[False, (docs[order][1:] == docs[order][:-1]) & (twins[order][1:] == twins[order][:-1])][: len(order)]
+    order = order[~again]
     batch = batch.take(pa.array(order))
     return *(batch.column(c).to_pylist() for c in columns), docs[order], twins[order]
 
@@ -238,17 +241,21 @@ def cut(batches, length: int):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: `doc_id`, `n_bytes`, `n_removed`, `n_spans`, `kept_sha256`, `removed` (byte spans)."""
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.pmod(F.xxhash64(data), F.lit(1 << 24)).alias("twin"), data.alias("text")
-    )
+    # any number of rows may lack an id: their twins have all bits
+    known = F.col(id_col).cast("long").isNotNull()
+    twin = F.when(known, F.pmod(F.xxhash64(data), F.lit(1 << 24))).otherwise(F.xxhash64(data))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), twin.alias("twin"), data.alias("text"))
     # once through the texts: runs, the only large shuffle
     found = texts.mapInArrow(lambda it: runs(it, length), RUNS)
     in_bucket = Window.partitionBy("bucket")
-    sorted_runs = in_bucket.orderBy("run", "doc", "twin", "at")
+    place = F.struct("doc", "twin", "at")
+    of_run = Window.partitionBy("bucket", "run").orderBy("doc", "twin", "at")
     judged = (
-        found.withColumn("_before", F.lag("run").over(sorted_runs))
+        # dealt by bucket, rows serve both windows without another shuffle
+        found.repartition("bucket")
+        .withColumn("_first", F.first(place).over(of_run))
         .withColumn("_differ", F.min("run").over(in_bucket) != F.max("run").over(in_bucket))
-        .withColumn("repeats", F.col("repeats") | F.coalesce(F.col("_before") == F.col("run"), F.lit(False)))
+        .withColumn("repeats", F.col("repeats") | (F.col("_first") != place))
         .where("repeats or _differ")
         .select("doc", "twin", "at", "many", (~F.col("repeats")).alias("refine"))
     )
@@ -263,7 +270,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         lambda it: single_strings(it, length), "doc long, twin long, at int, own long, repeats boolean"
     )
     in_order = Window.partitionBy("own").orderBy("doc", "twin", "at")
-    repeated = strings.withColumn("_nth", F.row_number().over(in_order)).where("repeats or _nth > 1")
+    repeated = strings.withColumn("_first", F.first(place).over(in_order)).where(F.col("repeats") | (F.col("_first") != place))
     singles = materialize(repeated.select("doc", "twin", "at", F.lit(1).alias("many")))
     gone = by_text(judged.where("not refine").select("doc", "twin", "at", "many").unionByName(singles))
     whole = texts.join(gone, ["doc", "twin"])

@@ -67,3 +67,18 @@ def test_edges(edge_docs, no_docs):
     docs = [(r[0], r[1]) for r in EDGE_ROWS]
     assert got(suffix_dedup.remove_repeats(edge_docs)) == brute(docs, 100)
     assert got(suffix_dedup.remove_repeats(no_docs)) == {}
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_equal_rows_are_one_document(spark, partitions):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, lone, unnamed = text(300), text(250), text(400)
+    inner = text(150)
+    docs = [(1, shared), (1, shared), (2, shared), (2, shared), (3, lone), (3, lone), (3, lone), (None, unnamed), (None, unnamed)]
+    # a run that differs from another one in its bucket is looked at string by string
+    docs += [(4, text(60) + inner + text(70))] * 2 + [(5, text(80) + inner + text(50))] * 2 + [(6, inner + inner)] * 2
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(partitions)
+    want = brute(docs, 100)
+    assert want[None, 400, 0, 0, hashlib.sha256(unnamed.encode()).hexdigest()] == 2
+    assert got(suffix_dedup.remove_repeats(frame)) == want
