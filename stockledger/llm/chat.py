@@ -8,6 +8,11 @@ result after its call; calls that wait for each other are `cyclic` and have no l
 checked against a table of parameters: JSON that is no object, unknown names, wrong types and
 missing required ones are errors. Canonical JSON has sorted keys and no white space.
 
+Plain dialogue is calls of `reply`. A message of another role than user or assistant (a system prompt,
+a tool's turn, a turn without role) is the context of the user's turn right after it, with role and
+text in that call's JSON. Without such a turn, or beside another one that is the context already, it
+is a row of its own with the status `context`. The text holds tagged bodies as well.
+
 Nothing is gathered per conversation, so one that holds a third of all turns is rows like any other.
 NULL conversations or identifiers link with nothing and stay single rows; NULL text holds no calls.
 """
@@ -109,14 +114,15 @@ def call_levels(calls: DataFrame) -> DataFrame:
     return waiting.join(settled, "call", "left")
 
 
-def link_calls(calls: DataFrame, results: DataFrame, parameters: DataFrame) -> DataFrame:
-    """One row per identifier: `conv`, `id`, `turn`, `level`, `status`, `errors`, repeats and `json`."""
+def link_calls(calls: DataFrame, results: DataFrame, parameters: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
+    """One row per identifier: `conv`, `id`, `turn`, `level`, `status`, `errors`, repeats and `json`; `contexts`: `conv`, `id`, `context`."""
     asked = _first(calls, ["name", "arguments", "after"], "repeated_calls").withColumn("call", row_hash("conv", "id", "lone"))
     asked = materialize(asked)
     answered = _first(results, ["content"], "repeated_results")
     answered = answered.select("conv", "id", F.col("lone").alias("result_lone"), F.col("turn").alias("result_turn"), "content", "repeated_results")
     both = asked.join(answered, ["conv", "id"], "full").join(call_levels(asked).withColumn("waits", F.lit(True)), "call", "left")
     both = both.join(argument_errors(asked, parameters), "call", "left")
+    both = both.withColumn("context", F.lit(None).cast("string")) if contexts is None else both.join(contexts, ["conv", "id"], "left")
     is_call, is_result = F.col("call").isNotNull(), F.col("repeated_results").isNotNull()
     cyclic = F.coalesce("waits", F.lit(False)) & F.col("level").isNull()
     status = F.when(~is_call, "orphan").when(cyclic, "cyclic").when(~is_result, "unanswered").otherwise("linked")
@@ -126,7 +132,7 @@ def link_calls(calls: DataFrame, results: DataFrame, parameters: DataFrame) -> D
         "conv", "id", F.coalesce("turn", "result_turn").alias("turn"), "result_turn", "name", level.alias("level"), status.alias("status"),
         F.coalesce("errors", F.array().cast("array<string>")).alias("errors"),
         F.coalesce("repeated_calls", zero).alias("repeated_calls"), F.coalesce("repeated_results", zero).alias("repeated_results"),
-        F.to_json(F.struct(_canonical(F.col("arguments")).alias("arguments"), F.col("id").alias("id"), F.col("name").alias("name"), F.col("content").alias("result"))).alias("json"),
+        F.to_json(F.struct(_canonical(F.col("arguments")).alias("arguments"), F.col("context").alias("context"), F.col("id").alias("id"), F.col("name").alias("name"), F.col("content").alias("result"))).alias("json"),
     )
 
 
@@ -157,10 +163,41 @@ def exchanges(messages: DataFrame, conv_col="conv_id", turn_col="turn", role_col
     return asked, answered
 
 
+def contexts(messages: DataFrame, asked: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text") -> tuple[DataFrame, DataFrame]:
+    """Messages of other roles than user or assistant: (`conv`, `id`, `context`) of the calls of `reply` right after one,
+    and (`conv`, `turn`, `context`) of all others. `asked`: the calls of `reply`."""
+    role, turn = F.col(role_col), F.col(turn_col).cast("long")
+    said = F.struct(role.alias("role"), F.col(text_col).alias("text"))
+    other = messages.where(~F.coalesce(role.isin("user", "assistant"), F.lit(False)))
+    # equal messages are one row with their number, so that exactly one of them can go
+    alike = materialize(other.select(F.col(conv_col).alias("conv"), turn.alias("turn"), said.alias("context")).groupBy("conv", "turn", "context").agg(F.count(F.lit(1)).alias("many")))
+    first = alike.where("turn is not null").groupBy("conv", "turn").agg(F.min("context").alias("context"))
+    calls = asked.select("conv", "id", (F.col("turn") - 1).alias("turn")).where("id is not null").distinct()
+    joined = materialize(first.join(calls, ["conv", "turn"]))
+    gone = joined.select(F.col("conv").alias("_conv"), F.col("turn").alias("_turn"), F.col("context").alias("_context"))
+    same_turn = (F.col("conv") == F.col("_conv")) & (F.col("turn") == F.col("_turn"))
+    taken = F.coalesce(F.col("context").eqNullSafe(F.col("_context")) & F.col("_conv").isNotNull(), F.lit(False))
+    rest = alike.join(gone, same_turn, "left").withColumn("left", F.col("many") - taken.cast("int")).where("left > 0")
+    return joined.select("conv", "id", "context"), rest.select("conv", "turn", "context", F.explode(F.sequence(F.lit(1).cast("long"), "left"))).drop("col")
+
+
+def context_rows(rest: DataFrame, like: DataFrame) -> DataFrame:
+    """Context that no call holds, with the columns of `like`."""
+    ident = F.when(F.col("turn").isNotNull(), F.concat_ws(":", F.lit("context"), "turn"))
+    zero = F.lit(0).cast("long")
+    given = {
+        "conv": F.col("conv"), "id": ident, "turn": F.col("turn"), "status": F.lit("context"), "errors": F.array().cast("array<string>"),
+        "repeated_calls": zero, "repeated_results": zero, "json": F.to_json(F.struct("context", ident.alias("id"))),
+    }
+    return rest.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
 def format_conversations(messages: DataFrame, parameters: DataFrame | None = None, **columns) -> DataFrame:
-    """Linked calls of all messages: tagged tool calls by their identifiers, plain dialogue as calls of `reply`."""
+    """Linked calls of all messages: tagged tool calls by their identifiers, plain dialogue as calls of `reply`, other messages as their context."""
     spoken = {k: v for k, v in columns.items() if k != "role_col"}
     asked, answered = exchanges(messages, **columns)
     known = reply_parameters(messages.sparkSession)
     known = known if parameters is None else known.unionByName(parameters.select("name", "parameter", "type", "required"))
-    return link_calls(asked.unionByName(calls_in(messages, **spoken)), answered.unionByName(results_in(messages, **spoken)), known)
+    held, rest = contexts(messages, asked, **columns)
+    linked = link_calls(asked.unionByName(calls_in(messages, **spoken)), answered.unionByName(results_in(messages, **spoken)), known, held)
+    return linked.unionByName(context_rows(rest, linked))

@@ -60,3 +60,21 @@ def test_tagged_calls(spark):
     assert got[None, "a"].json == '{"arguments":{"q":"x","z":{"a":[1.5],"b":1}},"id":"a","name":"find"}'
     assert got[3, "reply:1"].errors == ["missing prompt"] and got[3, "reply:1"].repeated_calls == 1
     assert chat.format_conversations(messages.limit(0)).collect() == []
+
+
+def test_turns_of_other_roles_are_context(spark):
+    rows = [
+        (1, 0, "system", "Be brief."), (1, 1, "user", "Hi"), (1, 2, "assistant", "Hello"), (1, 3, "tool", response("a", "found")),
+        (1, 4, None, "who said this"), (None, None, "system", None), (2, 0, "system", "Be kind."), (2, 0, "system", "Be kind."),
+        (3, 0, "system", "x"), (3, 0, "system", "x"), (3, 0, "tool", None), (3, 1, "user", "Hi"), (3, 1, "user", "Hi"),
+    ]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.format_conversations(messages).collect()
+    bodies = [(r, json.loads(r.json)) for r in found]
+    held = [(r.conv, r.turn - 1, b["context"]) for r, b in bodies if r.status == "unanswered" and "context" in b]
+    held += [(r.conv, r.turn - 1, b["context"]) for r, b in bodies if r.status == "linked" and "context" in b]
+    assert sorted(h[:2] for h in held) == [(1, 0), (3, 0)]
+    own = [(r.conv, r.turn, b["context"]) for r, b in bodies if r.status == "context"]
+    got = sorted(((c, t, x.get("role"), x.get("text")) for c, t, x in held + own), key=str)
+    assert got == sorted((r for r in rows if r[2] not in ("user", "assistant")), key=str)
+    assert all(list(b) == sorted(b) for _, b in bodies)
