@@ -132,7 +132,7 @@ def describe(batches, words: int, percent: int):
 
 
 def whole_sets(batches, words: int, wanted: np.ndarray):
-    """(class, set) of the rows whose id may be wanted: a filter of fixed size lets some others through."""
+    """(row key, set) of the rows that may be wanted: a filter of fixed size lets some others through."""
     known = WordHashes()
     for batch in batches:
         place = batch.column("place").to_numpy()
@@ -142,7 +142,7 @@ def whole_sets(batches, words: int, wanted: np.ndarray):
         rows = batch.take(pa.array(passed))
         sets = [shingle_set(t, words, known) for t in rows.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "tokens"]
+            [rows.column("row_key"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["row_key", "tokens"]
         )
 
 
@@ -177,7 +177,7 @@ class NgramJoin:
         )
         described = [F.first(c).alias(c) for c in ("n", *BITS)]
         self.classes = materialize(
-            self.rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), *described)
+            self.rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("row_key").alias("row_key"), *described)
         )
 
     def _pair_may_link(self, a: str, b: str) -> Column:
@@ -195,9 +195,9 @@ class NgramJoin:
         return materialize(signed.join(several.drop("_last"), "sig").distinct())
 
     def _sets(self, classes: DataFrame) -> DataFrame:
-        """(`cls`, `tokens`) of the given classes, from the text of one document of each."""
-        reps = classes.join(self.classes.select("cls", "rep"), "cls").select("cls", F.col("rep").alias("doc_id"))
-        place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+        """(`cls`, `tokens`) of the given classes, from the text of one document of each, known by id and text."""
+        reps = classes.join(self.classes.select("cls", "row_key"), "cls")
+        place = F.pmod(F.xxhash64("row_key"), F.lit(1 << FILTER_BITS))
         words = reps.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).alias("w")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(pmod(p, 64) AS int))")).alias("b")
         )
@@ -205,10 +205,10 @@ class NgramJoin:
         for r in words.toLocalIterator():  # 2 MB in all, whatever the number of classes
             wanted[r["w"]] = r["b"]
         n = self.words
-        sets = self.docs.drop("row_key").withColumn("place", place).mapInArrow(
-            lambda it: whole_sets(it, n, wanted), "doc_id long, tokens array<long>"
+        sets = self.docs.drop("doc_id").withColumn("place", place).mapInArrow(
+            lambda it: whole_sets(it, n, wanted), "row_key long, tokens array<long>"
         )
-        kept = reps.where("doc_id is not null").join(sets, "doc_id").groupBy("cls").agg(F.first("tokens").alias("tokens"))
+        kept = reps.join(sets, "row_key").groupBy("cls").agg(F.first("tokens").alias("tokens"))
         return materialize(kept)
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -89,3 +89,15 @@ def test_every_link_shares_a_signature():
         both = len(set(a) & set(b))
         if 100 * both >= 85 * (len(a) + len(b) - both):
             assert set(ngram_join.signatures(a, 85)) & set(ngram_join.signatures(b, 85))
+
+
+def test_rows_without_id_and_shared_ids(spark):
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(1000)}" for _ in range(n)]
+    unnamed, shared, other, mixed = text(80), text(80), text(80), text(80)
+    docs = [(None, unnamed), (None, unnamed[:-1]), (None, unnamed), (7, shared), (7, other), (8, shared[1:]), (9, other[:-2]), (None, mixed), (3, mixed[1:])]
+    docs = [(i, " ".join(w)) for i, w in docs]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    want = brute(docs, 5, 80)
+    assert got(ngram_join.similar_documents(frame, 5, 80)) == want
+    assert ngram_join.one_of_each(frame, 5, 80).count() == 4
