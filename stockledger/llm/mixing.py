@@ -173,17 +173,19 @@ class Mix:
         """One row per document with the words that the mix takes of it, repeats counted."""
         n = F.lit(self.block_words)
         end = F.col("start") + F.col("size")
-        over = F.when(
-            F.col("size") > 0, F.sequence(F.floor(F.col("start") / n), F.floor((end - 1) / n))
-        ).otherwise(F.array(F.lit(None).cast("long")))
+        over = F.sequence(F.floor(F.col("start") / n), F.floor((end - 1) / n))
         overlap = F.least(end, (F.col("block") + 1) * n) - F.greatest(F.col("start"), F.col("block") * n)
-        return (
-            self.rows.withColumn("block", F.explode(over))
+        spoken = (
+            self.rows.where("size > 0")
+            .withColumn("block", F.explode(over))
             .join(self.uses().hint("merge"), ["source_nth", "block"], "left")
             .groupBy("doc_id", "row_key", "source", "source_nth", "start", "size", "source_size", "target")
             .agg(F.coalesce(F.sum(overlap * F.coalesce("uses", F.lit(0))), F.lit(0)).cast("long").alias("taken"))
             .drop("source_nth", "start", "row_key")
         )
+        # rows without words share their start with their equals, and are not grouped
+        silent = self.rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
+        return spoken.unionByName(silent.select(*spoken.columns))
 
     def copies(self) -> DataFrame:
         """How many copies of each whole document a mix of documents holds: `doc_id`, `row_key`, `copies`.

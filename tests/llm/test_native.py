@@ -106,6 +106,12 @@ def test_mixing_edges(edge_docs, no_docs):
     assert mixing.mixed_documents(no_docs).collect() == []
 
 
+def test_mixing_keeps_repeated_rows_without_words(spark):
+    docs = [(None, None, "a")] * 50 + [(1, "", "a")] * 3 + [(2, " ", None)] * 2 + [(3, "some words here", "a")] * 4
+    rows = mixing.mixed_words(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in rows) == Counter((d, s, len((t or "").split())) for d, t, s in docs)
+    check_mix([(t, s) for _, t, s in docs], rows)
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 1000):
         got = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(5)).alias("p"))
