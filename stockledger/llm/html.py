@@ -3,7 +3,10 @@
 Events of the standard library's parser are read in order. Text between two tags that break lines is
 a line; it knows how many tags it met and which parts of the page it lies in. Menus, headers,
 footers, asides, forms, scripts, styles and what its class or id calls an advert, a notice, a sidebar
-or comments are left out as wholes. The text-to-tag ratios of the other lines are smoothed by a
+or comments are left out as wholes. A form or such a name may also be that of a wrapper: the articles
+and main elements that fewest of these hold are kept if they have at least as much text as the page
+outside of all of them, and without such a region as many levels of wrappers are kept as hold half of
+the page's text. Comments are no wrappers. The text-to-tag ratios of the other lines are smoothed by a
 Gaussian, and a threshold of one standard deviation, at most the mean, parts content from the rest; a
 line of content reaches it by its own ratio as well.
 Regions (an article or the main element, else the nearest division) with a line of content are kept
@@ -35,7 +38,7 @@ BREAKS = frozenset(
     "thead title tr ul".split()
 )
 SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video".split())
-LEFT_OUT = frozenset("nav footer aside form menu dialog button select textarea fieldset".split())
+LEFT_OUT = frozenset("nav footer aside menu dialog button select textarea fieldset".split())
 REGIONS = frozenset("article main section div td body".split())
 WHOLE = frozenset("article main".split())
 CLOSED_BY = {"p": BREAKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -44,40 +47,43 @@ NAMES = re.compile(
     r"alert|popup|modal|newsletter|subscribe|comment|comments|respond|replies|disqus|sidebar|side|widget|menu|nav|navbar|navigation|"
     r"breadcrumb|breadcrumbs|footer|masthead|topbar|toolbar|share|sharing|social|related|recommended|login|search)(?:$|[\s_-])"
 )
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+COMMENTS = re.compile(r"(?<!has-)(?<!with-)(?<!no-)\b(?:comment|respond\b|replies\b|disqus\b)")
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2.0)
 KERNEL /= KERNEL.sum()
 
 
 class PageLines(HTMLParser):
-    """Collects lines as [text pieces, tags, region]."""
+    """Collects lines as (text pieces by level, tags, region); the level is the number of elements around that may be wrappers."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, left out, region
-        self.whole: set[int] = set()
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, left out, region, level
+        self.whole: dict[int, int] = {}  # level of each whole region
         self.regions = 0
-        self.lines: list[tuple[str, int, int]] = []
-        self.pieces: list[str] = []
+        self.lines: list[tuple[list[tuple[int, str]], int, int]] = []
+        self.pieces: list[tuple[int, str]] = []
         self.tags = 0
 
-    def _state(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, 0)
 
     def _break(self) -> None:
-        text = " ".join("".join(self.pieces).split())
-        if text:
-            self.lines.append((text, self.tags, self._state()[1]))
+        if any(not text.isspace() for _, text in self.pieces):
+            self.lines.append((self.pieces, self.tags, self._state()[1]))
         self.pieces, self.tags = [], 0
 
     def _push(self, tag: str, attrs) -> None:
-        out, region = self._state()
+        out, region, level = self._state()
         named = {k: (v or "").lower() for k, v in attrs}
         called = f"{named.get('class', '')} {named.get('id', '')}"
         if tag in SILENT or tag in LEFT_OUT or (tag == "header" and region not in self.whole):
             out = True
-        elif tag not in ("html", "body") and tag not in WHOLE and (NAMES.search(called) or named.get("role") in ROLES):
-            out = True
+        elif tag not in ("html", "body") and tag not in WHOLE:
+            if named.get("role") in ROLES or (NAMES.search(called) and COMMENTS.search(called)):
+                out = True
+            elif tag == "form" or named.get("role") == "form" or NAMES.search(called):
+                level += 1
         elif tag in WHOLE and re.search(r"\bcomment", called):
             out = True
         if "hidden" in named or named.get("aria-hidden") == "true":
@@ -86,8 +92,8 @@ class PageLines(HTMLParser):
             self.regions += 1
             region = self.regions
             if tag in WHOLE:
-                self.whole.add(region)
-        self.open.append((tag, out, region))
+                self.whole[region] = level
+        self.open.append((tag, out, region, level))
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -101,7 +107,7 @@ class PageLines(HTMLParser):
                 if held in BREAKS:
                     break
         if tag in VOID:
-            self.pieces.append(" ")
+            self.pieces.append((0, " "))
         else:
             self._push(tag, attrs)
 
@@ -118,8 +124,9 @@ class PageLines(HTMLParser):
                 break
 
     def handle_data(self, data):
-        if not self._state()[0]:
-            self.pieces.append(data)
+        out, _, level = self._state()
+        if not out:
+            self.pieces.append((level, data))
 
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)  # as browsers do
@@ -129,7 +136,28 @@ class PageLines(HTMLParser):
         self._break()
 
 
-def content(lines: list[tuple[str, int, int]], whole: set[int]) -> list[str]:
+def unwrapped(lines: list[tuple[list[tuple[int, str]], int, int]], whole: dict[int, int]) -> list[tuple[str, int, int]]:
+    """The lines with the text that lies in nothing left out, as (text, tags, region)."""
+
+    def text(pieces, level):
+        return " ".join("".join(t for at, t in pieces if at <= level).split())
+
+    inside = [(whole[r], len(text(p, whole[r]))) for p, _, r in lines if r in whole]
+    least = min((level for level, size in inside if size), default=0)
+    base = 0
+    if least:
+        outside = sum(len(text(p, 0)) for p, _, _ in lines)
+        if sum(size for level, size in inside if level == least) < outside:
+            least = 0
+    if not least and not any(size for level, size in inside if not level):
+        levels = sorted({at for p, _, _ in lines for at, _ in p})
+        held = [sum(len(text(p, level)) for p, _, _ in lines) for level in levels]
+        base = next((level for level, size in zip(levels, held) if size * 2 >= held[-1]), 0)
+    kept = [(text(p, least if whole.get(r) == least else base), tags, r) for p, tags, r in lines]
+    return [line for line in kept if line[0]]
+
+
+def content(lines: list[tuple[str, int, int]], whole: dict[int, int]) -> list[str]:
     """The lines of the regions that hold content."""
     if not lines:
         return []
@@ -137,8 +165,8 @@ def content(lines: list[tuple[str, int, int]], whole: set[int]) -> list[str]:
     smooth = np.convolve(np.pad(ratio, 2, mode="edge"), KERNEL, mode="valid")
     threshold = min(smooth.std(), smooth.mean())
     chosen = {region for (_, _, region), s, own in zip(lines, smooth, ratio) if min(s, own) >= threshold}
-    if chosen & whole:
-        chosen &= whole
+    if chosen & whole.keys():
+        chosen &= whole.keys()
     return [text for text, _, region in lines if region in chosen]
 
 
@@ -148,7 +176,7 @@ def main_text(html: str | None) -> str:
     page = PageLines()
     page.feed(html)
     page.close()
-    return "\n\n".join(content(page.lines, page.whole))
+    return "\n\n".join(content(unwrapped(page.lines, page.whole), page.whole))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -39,6 +39,18 @@ def test_divisions_without_article():
     assert main_text(page) == WANT
 
 
+def test_wrappers_do_not_leave_out_the_content():
+    extra = '<div class="ad">Buy this, a long advert text that goes on and on.</div>'
+    related = '<div class="related"><article><p>A teaser of another article, with some words in it.</p></article></div>'
+    comments = '<section id="comments"><article><p>First! A comment that is as long as a paragraph of the text, or even longer than that, who knows.</p></article></section>'
+    for opened, closed in (('<div class="has-sidebar">', "</div>"), ('<div class="content-with-sidebar">', "</div>"), ('<div id="main-nav-wrapper">', "</div>"), ("<form>", "</form>"), ('<form><div class="has-comments has-sidebar">', "</div></form>")):
+        for tag in ("article", "main", "div"):
+            held = f"<{tag}>{BODY}{extra}</{tag}>"
+            assert main_text(f"<body><p>Skip</p>{opened}{held}{related if tag != 'div' else ''}{closed}{comments}<footer>(c)</footer></body>".replace("<p>Skip</p>", "" if tag == "div" else "<p>Skip</p>")) == WANT
+    # teasers and comments are not the content of a page whose text lies elsewhere
+    assert main_text(f"<body><div class=post>{BODY}</div>{related}{comments}</body>") == WANT
+
+
 def test_unclosed_tags_white_space_and_references():
     page = "<article><h1>Title</h1><p>One\n two<br>three<p>caf&eacute; <b>bo<i>ld</i></b>er <ul><li>x <li>y</ul>"
     assert main_text(page) == "Title\n\nOne two three\n\ncafé bolder\n\nx\n\ny"
