@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import chat, decontam, html, langid, mixing, ngram_join, secrets, sharding, suffix_dedup, topk
-from stockledger.llm.common import table
+from stockledger.llm import centroids, chat, decontam, html, langid, mixing, ngram_join, packing, periodic, secrets, sharding, suffix_dedup, topk
+from stockledger.llm.common import GAP, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,10 +53,79 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, dim=64)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """`doc_id` and `text`; every tenth document by the hash of its id repeats some of its words from one of them on."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(F.pmod(hashed, F.lit(10)) == 0, F.lit(False))
+    words = F.filter(F.split("text", GAP), lambda w: w != "")
+    docs = docs.select("doc_id", "text", F.floor(hashed / 10).cast("long").alias("g"), F.when(chosen, words).alias("words"))
+    a = F.pmod("g", F.size("words")).cast("long")
+    docs = docs.select("doc_id", "text", "g", "words", F.when(F.size("words") > 0, a).alias("a"))
+    p = 1 + F.floor((F.size("words") - F.col("a")) / (3 + F.pmod("g", F.lit(8))))
+    docs = docs.select("doc_id", "text", "words", "a", p.alias("p"))
+
+    def chosen_word(w, i):
+        return F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int")))
+
+    planted = F.concat_ws(" ", F.transform("words", chosen_word))
+    return docs.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(planted).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")), least_length=24, least_exponent=3)
+    line = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    # runs are in order of start and period, so a later one is better only by a larger exponent
+    better = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start:long,length:long,period:long>"),
+        lambda best, r: F.when(best.isNull() | (r.length * best.period > best.length * r.period), r).otherwise(best),
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        better.alias("best"),
+        F.sha2(line, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_ngram_join, op2_exact_top_k, op3_language_id, op4_decontamination, op5_sharding, op6_suffix_dedup, op7_html_extraction, op8_mixing, op9_chat_formatting, op10_secret_scan)
+        for f in (
+            op1_ngram_join,
+            op2_exact_top_k,
+            op3_language_id,
+            op4_decontamination,
+            op5_sharding,
+            op6_suffix_dedup,
+            op7_html_extraction,
+            op8_mixing,
+            op9_chat_formatting,
+            op10_secret_scan,
+            op11_centroid_clustering,
+            op12_packing,
+            op13_periodic_runs,
+        )
     }
 
 
