@@ -17,8 +17,11 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
+import sys
 import zlib
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -33,44 +36,123 @@ ship(__name__)
 
 GROUP_PIECES = 8192
 CUT_EVERY = 16
-KNOWN_WORDS = 300_000
-SLICE_BYTES = 1 << 20
+KNOWN_WORDS = 500_000
+SLICE_BYTES = 1 << 18
 OUT_ROWS = 8192
+PARTS_AT_ONCE = 1000
 GAP = re.compile(rb"[\x20\x09-\x0D]")
+MARKS = bytes(set(range(0x21, 0x7F)) - set(b"'") - set(string.digits.encode()) - set(string.ascii_letters.encode()))
+# letters that composition leaves alone and whose small form is the same whatever follows
+OTHER_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# fixed value: how the tokenizer's vocabulary marks the last token of a part
+END_OF_PART = "</w>"
 PIECES = "row long, doc_id long, doc_tokens long, start long, length long, ids_crc32 long, cut boolean, sequence_id long"
 
 
 class WordTokenizer:
-    """Ids of texts as little-endian 32-bit numbers, remembered by word."""
+    """Ids of texts as little-endian 32-bit numbers, remembered by word.
+
+    Most words are letters with marks behind them. Such letters are a part of their own to the
+    tokenizer, so they are remembered without case and marks, and many are encoded in one text; the
+    tokens that end a part tell them apart again. All other words are encoded one by one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(END_OF_PART)]] = True
 
-    def _learn(self, words: set[bytes]) -> None:
-        missing = [w for w in words if w not in self.known]
-        if len(self.known) + len(missing) > KNOWN_WORDS:
-            self.known.clear()
-            missing = list(words)
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        for w, found in zip(missing, encoded):
-            ids = found.ids
-            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, text: bytes) -> list[bytes]:
-        """The ids of a UTF-8 text in slices of bounded size, cut at white space."""
-        out, at = [], 0
-        while at < len(text):
-            gap = GAP.search(text, at + SLICE_BYTES) if len(text) - at > SLICE_BYTES else None
-            end = gap.start() if gap else len(text)
-            words = text[at:end].split()
-            self._learn(set(words))
-            out.append(b"".join([self.known[w] for w in words]))
-            at = end
+    def _one_by_one(self, words: list[bytes]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in encoded)]
+
+    def _many(self, letters: list[bytes]) -> list[bytes]:
+        out = []
+        groups = [letters[at : at + PARTS_AT_ONCE] for at in range(0, len(letters), PARTS_AT_ONCE)]
+        encoded = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, encoded):
+            ids = np.array(found.ids, "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            data = ids.tobytes()
+            if len(cuts) == len(group) + 1 and cuts[-1] == len(data):
+                out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+            else:
+                out += self._one_by_one(group)
         return out
 
+    def learn(self, words: list[bytes]) -> None:
+        """Remembers `words`, and forgets the others where there are too many."""
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known.clear()
+        if len(self.parts) > KNOWN_WORDS:
+            self.parts = {b"": b""}
+        known, parts = self.known, self.parts
+        plain, other = [], []
+        for w in words:
+            front = w.rstrip(MARKS)
+            if front.isalpha() or OTHER_LETTERS.fullmatch(front):
+                plain.append(w)
+            else:
+                other.append(w)
+        # lower case of these letters has as many bytes
+        fronts = [w.rstrip(MARKS) for w in plain]
+        letters = [f.lower() if f.isascii() else f.decode().lower().encode() for f in fronts]
+        marks = [w[len(f) :] for w, f in zip(plain, fronts)]
+        fresh = [x for x in dict.fromkeys(letters) if x not in parts]
+        parts.update(zip(fresh, self._many(fresh)))
+        fresh = [x for x in dict.fromkeys(marks) if x not in parts]
+        parts.update(zip(fresh, self._one_by_one(fresh)))
+        known.update(zip(plain, [parts[a] + parts[b] for a, b in zip(letters, marks)]))
+        known.update(zip(other, self._one_by_one(other)))
+
+    def _encode(self, slices: list[bytes]) -> list[bytes]:
+        get = self.known.get
+        split = [s.split() for s in slices]
+        found = [list(map(get, words)) for words in split]
+        holes = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in found]
+        missing = {words[i] for words, own in zip(split, holes) for i in own}
+        if missing:
+            self.learn(list(missing))
+            for words, ids, own in zip(split, found, holes):
+                for i in own:
+                    ids[i] = self.known[words[i]]
+        return [b"".join(ids) for ids in found]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of UTF-8 texts; new words are learned for many of them at once, long ones are cut at white space."""
+        slices = []
+        for nth, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                gap = GAP.search(text, at + SLICE_BYTES) if len(text) - at > SLICE_BYTES else None
+                end = gap.start() if gap else len(text)
+                slices.append((nth, text[at:end]))
+                at = end
+        out: list[list[bytes]] = [[] for _ in texts]
+        start = size = 0
+        for i, (_, text) in enumerate(slices):
+            size += len(text)
+            if size >= SLICE_BYTES or i + 1 == len(slices):
+                group = slices[start : i + 1]
+                for (nth, _), ids in zip(group, self._encode([s for _, s in group])):
+                    out[nth].append(ids)
+                start, size = i + 1, 0
+        return [b"".join(parts) for parts in out]
+
+
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The worker process's tokenizer with the words it knows; a worker serves many tasks."""
+    store = sys.modules.setdefault("stockledger_words", ModuleType("stockledger_words")).__dict__
+    if path not in store:
+        store[path] = WordTokenizer(path)
+    return store[path]
+
 
 class RoomTree:
     """A tournament tree over the room left in sequences; a node knows the largest room below it."""
@@ -130,13 +212,14 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_co
     tail_id = np.array([end_id], "<u4").tobytes()
 
     def cut_up(batches):
-        encoder = WordTokenizer(tokenizer)
+        encoder = worker_tokenizer(tokenizer)
         task = TaskContext.get().partitionId() << 40
         nth = whole = piece = 0
         out = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = b"".join([*encoder.encode(text.as_py() or b""), tail_id])
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                ids += tail_id
                 tokens, start = len(ids) // 4, 0
                 sizes = [capacity] * (tokens // capacity)
                 rest = tokens % capacity
