@@ -158,6 +158,11 @@ CTES: dict[str, str] = {
                CAST(p_partkey AS VARCHAR) AS "CodigoGenerico",
                CASE WHEN p_size % 10 = 0 THEN 'INACTIVO' ELSE 'ACTIVO' END AS "EstadoArticulo"
         FROM part""",
+    "bill_text": """
+        SELECT CAST(l_quantity AS BIGINT) AS q, l_partkey % 101 = 0 AS wide, l_orderkey % 97 = 0 AS no_qty,
+               l_orderkey % 89 = 0 AS no_value
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        WHERE l_partkey % 11 <> 0""",
     "billing": f"""
         SELECT l_orderkey AS "idadmision",
                'F' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber % 2 AS VARCHAR) AS "nofactura",
@@ -737,6 +742,23 @@ _OTHER = {
         SELECT 'lineitem.parquet' AS "ArchivoOrigen", COUNT(*) AS "registros" FROM lineitem
         UNION ALL SELECT 'orders.parquet', COUNT(*) FROM orders
         UNION ALL SELECT 'part.parquet', COUNT(*) FROM part""",
+    "ledger_from_files": """
+        SELECT CASE WHEN o_orderstatus = 'P' THEN 'ANULADO' ELSE 'CONFIRMADO' END AS "Estado",
+               CASE WHEN l_partkey % 3 = 1 THEN lpad(CAST(l_partkey AS VARCHAR), 8, '0')
+                    ELSE CAST(l_partkey AS VARCHAR) END AS "CodigoGenerico",
+               CASE WHEN l_partkey % 3 <> 2 THEN p_type END AS "GrupoInventario", COUNT(*) AS "registros",
+               CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS "Cantidad",
+               CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS "ValorTotal"
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+             JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+        GROUP BY ALL""",
+    "billing_rejects": """
+        SELECT '(line)' AS "column", NULL AS "text", 'line of another width' AS "reason", COUNT(*) AS n
+        FROM bill_text WHERE wide HAVING COUNT(*) > 0
+        UNION ALL SELECT 'cantidad', 'x' || CAST(q AS VARCHAR), 'no bigint', COUNT(*) FROM bill_text WHERE no_qty AND NOT wide GROUP BY q
+        UNION ALL SELECT 'vrtotal', '1.234.50', 'no double', COUNT(*) FROM bill_text WHERE no_value AND NOT wide HAVING COUNT(*) > 0
+        UNION ALL SELECT '(accepted)', CAST(CAST(SUM(q) AS BIGINT) AS VARCHAR), NULL, COUNT(*)
+        FROM bill_text WHERE NOT (wide OR no_qty OR no_value)""",
 }
 
 

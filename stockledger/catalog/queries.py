@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stockledger import vocab
+from stockledger import schemas, vocab
 from stockledger.operators import (
     audit,
     consumption,
@@ -308,6 +309,32 @@ def _source_lineage(s: SparkSession, d: str) -> DataFrame:
     return portable(whole.groupBy(landing.SOURCE_FILE).agg(F.count(F.lit(1)).alias("registros")))
 
 
+def _ledger_from_files(s: SparkSession, d: str) -> DataFrame:
+    """Lines read back from files of differing types."""
+    ddl = schemas.LEDGER_DDL.replace("double", demo.MONEY)
+    lines = landing.ingest_ledger(s, demo.landed_ledger(s, d), ddl=ddl)
+    sums = lines.groupBy("Estado", "CodigoGenerico", "GrupoInventario").agg(
+        F.count(F.lit(1)).alias("registros"), F.sum("Cantidad").alias("Cantidad"), F.sum("ValorTotal").alias("ValorTotal")
+    )
+    return portable(sums)
+
+
+def _billing_rejects(s: SparkSession, d: str) -> DataFrame:
+    """What is not accepted of billing lines, by column and text, and what is."""
+    landed = landing.read_landed(s, demo.landed_billing(s, d), "csv", T.StructType.fromDDL(schemas.BILLING_DDL))
+    column = F.coalesce("column", F.lit("(line)"))
+    rejected = landed.rejected().groupBy(
+        column.alias("column"), F.when(F.col("column").isNotNull(), F.col("text")).alias("text"), "reason"
+    )
+    accepted = landed.accepted().agg(
+        F.lit("(accepted)").alias("column"),
+        F.sum("cantidad").cast("string").alias("text"),
+        F.lit(None).cast("string").alias("reason"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return portable(rejected.agg(F.count(F.lit(1)).alias("n")).unionByName(accepted))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         **_ledger_queries(),
@@ -315,4 +342,6 @@ def all_queries() -> dict[str, Query]:
         **_finance_queries(),
         "period_normalised": _period_normalised,
         "source_lineage": _source_lineage,
+        "ledger_from_files": _ledger_from_files,
+        "billing_rejects": _billing_rejects,
     }

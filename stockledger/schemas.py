@@ -9,6 +9,8 @@ LEDGER_DDL = (
     "Cantidad bigint, Costo double, ValorBruto double, ValorTotal double, ValorIva double, "
     "ValorDescuento double"
 )
+# Measures in which an unreadable value counts as missing.
+LEDGER_LENIENT = ("Cantidad", "ValorTotal")
 # What the inventory reports cannot do without.
 LEDGER_NEEDED = [
     "Fecha", "TipoMovimiento", "Comprobante", "Estado", "Bodega", "CodigoGenerico", "GrupoInventario", "Generico",

@@ -7,10 +7,13 @@ by their size.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger import vocab
+from stockledger import schemas, vocab
+from stockledger.functions.distributed import shared_folder
 from stockledger.sources.landing import rename_billing
 
 MONEY = "decimal(18,2)"
@@ -225,3 +228,35 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every twentieth customer is an external entity."""
     customer = table(spark, sf_dir, "customer")
     return customer.where(F.pmod("c_custkey", F.lit(20)) == 0).select(F.col("c_name").alias("entidad"))
+
+
+def landed_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the ledger lines as Parquet files of three layouts: numeric codes, padded text codes, and
+    quantities as doubles without the product group."""
+    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    lines, code = ledger_lines(spark, sf_dir), F.col("CodigoGenerico")
+    kind = F.pmod(code, F.lit(3))
+    lines.where(kind == 0).write.mode("append").parquet(folder)
+    lines.where(kind == 1).withColumn("CodigoGenerico", F.lpad(code.cast("string"), 8, "0")).write.mode("append").parquet(folder)
+    lines.where(kind == 2).withColumn("Cantidad", F.col("Cantidad").cast("double")).drop("GrupoInventario").write.mode("append").parquet(folder)
+    return folder
+
+
+def landed_billing(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the billing lines as unquoted text, some with an unreadable number and some with a comma in a name."""
+    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    name = F.concat(F.lit("ART"), F.when(F.pmod(part, F.lit(101)) == 0, ", GRANDE ").otherwise(" "), part.cast("string"))
+    lines = _billed_lines(spark, sf_dir).select(*_billing_columns(), name.alias("nombre"))
+    admission = F.col("idadmision")
+    quantity, value = F.col("cantidad").cast("string"), F.col("vrtotal").cast("string")
+    lines = lines.withColumns(
+        {
+            "cantidad": F.when(F.pmod(admission, F.lit(97)) == 0, F.concat(F.lit("x"), quantity)).otherwise(quantity),
+            "vrtotal": F.when(F.pmod(admission, F.lit(89)) == 0, F.lit("1.234.50")).otherwise(value),
+        }
+    )
+    columns = [field.split()[0] for field in schemas.BILLING_DDL.split(", ")]
+    # a comma in the name shifts all columns after it
+    lines.select(columns).write.options(header="true", quote="\u0000").csv(folder)
+    return folder

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,15 +12,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockledger import schemas
+from stockledger.functions.distributed import materialize
 from stockledger.functions.exprs import as_column, strip
+from stockledger.sources.files import (
+    FILE,
+    LINE,
+    NOT_A_LOCK_FILE,
+    RECORD,
+    SOURCE_FILE,
+    Landed,
+    conform,
+    numbered_records,
+    read_layouts,
+    relaxed,
+    with_place,
+)
 
 log = logging.getLogger(__name__)
 
-SOURCE_FILE = "ArchivoOrigen"
-# Everything but the lock files office programs leave behind, which start with "~$".
-NOT_A_LOCK_FILE = "{[!~]*,~[!$]*}"
-
-
 def with_source_file(df: DataFrame) -> DataFrame:
     """Adds the name of the file each row came from."""
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
@@ -30,44 +39,8 @@ def _declared(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Casts declared columns leniently, adds absent ones as NULL, keeps undeclared ones as text."""
-    present = set(df.columns)
-    declared = [
-        (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema
-    ]
-    known = {f.name for f in schema}
-    others = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in known]
-    return df.select(*declared, *others)
-
-
-def _file_paths(spark: SparkSession, path: str, pattern: str) -> list[str]:
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
-    return sorted(row.path for row in listed.collect())
-
-
-def _with_source(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())])
-
-
-def _reads_to_its_end(spark: SparkSession, fmt: str, path: str, options: Mapping[str, str]) -> bool:
-    try:
-        spark.read.format(fmt).options(**options).load(path).write.format("noop").mode("overwrite").save()
-        return True
-    except Exception as error:  # whatever the reader says of a damaged file
-        log.warning("skipping %s: %s", path, error)
-        return False
-
-
-def _read_layouts(spark: SparkSession, fmt: str, paths: list[str], options: Mapping[str, str]) -> list[DataFrame]:
-    """One frame per distinct layout; files sharing a header are read together."""
-    layouts: dict[tuple, list[str]] = {}
-    for path in paths:
-        seen = spark.read.format(fmt).options(**options).load(path).schema
-        if seen.fields:
-            layouts.setdefault(tuple((f.name, f.dataType.simpleString()) for f in seen), []).append(path)
-    return [spark.read.format(fmt).options(**options).load(same) for same in layouts.values()]
+def _types_differ(error: Exception) -> bool:
+    return "CANNOT_MERGE" in str(error)
 
 
 def require_columns(df: DataFrame, needed: Iterable[str], what: str) -> DataFrame:
@@ -78,6 +51,59 @@ def require_columns(df: DataFrame, needed: Iterable[str], what: str) -> DataFram
     return df
 
 
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    schema: T.StructType,
+    options: Mapping[str, str] | None = None,
+    skip_damaged: bool = False,
+    per_file_layout: bool | None = None,
+    lenient: Collection[str] = (),
+    needed: Iterable[str] = (),
+    what: str | None = None,
+) -> Landed | None:
+    """The rows of a file or folder in the declared types, with what cannot be read; None without any file.
+
+    Parquet and ORC files are read by column name in one scan in their merged schema. Where their types
+    do not go together, where damaged files are to be left out, or with `per_file_layout`, one job looks
+    at every file first; files whose types agree are then read together and united in the common types.
+    Text files are read under their own headers, other formats in the schema Spark finds.
+    """
+    options, what = dict(options or {}), what or path
+    try:
+        if fmt == "csv":
+            found = numbered_records(spark, path, options)
+            layouts = [] if found is None else [found]
+        elif fmt in ("parquet", "orc"):
+            layouts = None
+            if not (skip_damaged or per_file_layout):
+                reader = spark.read.format(fmt).options(**{"mergeSchema": "true", **options})
+                try:
+                    layouts = [with_place(reader.option("pathGlobFilter", NOT_A_LOCK_FILE).load(path), fmt)]
+                except Exception as error:
+                    if not _types_differ(error):
+                        raise
+            if layouts is None:
+                layouts = [with_place(x, fmt) for x in read_layouts(spark, path, fmt, options, skip_damaged)]
+        else:
+            found = spark.read.format(fmt).options(**options).option("pathGlobFilter", NOT_A_LOCK_FILE).load(path)
+            damaged = [c for c in ("_corrupt_record",) if c in found.columns]
+            found = with_place(found, fmt)
+            if damaged:  # Spark keeps such texts from queries that read nothing else, but not from written rows
+                found = materialize(found.withColumn(RECORD, F.col(damaged[0])).drop(*damaged))
+            layouts = [found]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        log.warning("no files in %s: %s", path, error)
+        return None
+    if not layouts:
+        return None
+    require_columns(relaxed([x.limit(0).drop(FILE, LINE, RECORD) for x in layouts]), needed, what)
+    return Landed(relaxed([conform(x, schema, lenient) for x in layouts]))
+
+
 def ingest_ledger(
     spark: SparkSession,
     path: str,
@@ -87,56 +113,36 @@ def ingest_ledger(
     options: Mapping[str, str] | None = None,
     skip_damaged: bool = False,
     needed: Iterable[str] = (),
+    lenient: Collection[str] = schemas.LEDGER_LENIENT,
 ) -> DataFrame:
     """All ledger files of a folder as one frame with the declared schema and `ArchivoOrigen`.
 
-    Self-describing formats are read by column name in one scan, in the merged schema of the files
-    themselves, and then cast. Text files may differ in their headers, so they are grouped by header
-    and united by name. Columns the schema does not know stay as text, in every format. A missing
-    or empty folder gives an empty frame of the declared schema.
-
-    A damaged file, or files whose types do not go together, are errors. With `skip_damaged` each
-    file is read on its own beforehand, and one that cannot be read to its end is left out as a
-    whole; `files_without_rows` names it. Columns in `needed` that no file has are an error; one
+    Columns the schema does not know keep the common type of the files. A missing or empty folder
+    gives an empty frame of the declared schema. Unreadable values in `lenient` columns are NULL; any
+    other, a line of another width than its header, and a damaged file are errors that name their
+    place. `ledger_landing` gives both sides instead. With `skip_damaged` a damaged file is left out as
+    a whole; `files_without_rows` names it. Columns in `needed` that no file has are an error; one
     that only some files lack is NULL in their lines.
     """
-    schema = _declared(ddl)
-    empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType())]))
-    pattern = NOT_A_LOCK_FILE
-    options = dict(options or {})
-    if per_file_layout is None:
-        per_file_layout = fmt == "csv"
-    if fmt == "csv":
-        options.setdefault("header", "true")
-    try:
-        if not per_file_layout:
-            reader = spark.read.format(fmt).options(**options)
-            if fmt in ("parquet", "orc"):
-                reader = reader.option("mergeSchema", "true")
-            if not skip_damaged:
-                found = reader.option("pathGlobFilter", pattern).load(path)
-            else:
-                whole = [p for p in _file_paths(spark, path, pattern) if _reads_to_its_end(spark, fmt, p, options)]
-                if not whole:
-                    return empty
-                found = reader.load(whole)
-            return conform(with_source_file(require_columns(found, needed, path)), _with_source(schema))
-        paths = _file_paths(spark, path, pattern)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        log.warning("no ledger files in %s: %s", path, error)
-        return empty
-    if skip_damaged:
-        paths = [p for p in paths if _reads_to_its_end(spark, fmt, p, options)]
-    layouts = _read_layouts(spark, fmt, paths, options)
-    if layouts:
-        everywhere = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [x.limit(0) for x in layouts])
-        require_columns(everywhere, needed, path)
-    united = empty
-    for layout in layouts:
-        united = united.unionByName(conform(with_source_file(layout), schema), allowMissingColumns=True)
-    return united
+    landed = ledger_landing(spark, path, fmt, ddl, per_file_layout, options, skip_damaged, needed, lenient)
+    if landed is None:
+        return spark.createDataFrame([], T.StructType([*_declared(ddl).fields, T.StructField(SOURCE_FILE, T.StringType())]))
+    return landed.strict()
+
+
+def ledger_landing(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    ddl: str = schemas.LEDGER_DDL,
+    per_file_layout: bool | None = None,
+    options: Mapping[str, str] | None = None,
+    skip_damaged: bool = False,
+    needed: Iterable[str] = (),
+    lenient: Collection[str] = schemas.LEDGER_LENIENT,
+) -> Landed | None:
+    """The accepted and rejected rows of a ledger folder; None without any file."""
+    return read_landed(spark, path, fmt, _declared(ddl), options, skip_damaged, per_file_layout, lenient, needed)
 
 
 def files_without_rows(spark: SparkSession, path: str, ledger: DataFrame) -> DataFrame:
@@ -160,9 +166,40 @@ def ingest_extracts(
 ) -> dict[str, DataFrame]:
     """The four extracts by role: `billing`, `out`, `in`, `listing`. Each path must exist.
 
-    Every format is read in its files' own schema and cast; undeclared columns stay as text. A
-    role's columns in `needed` are an error where they are absent, other declared ones are NULL then.
+    Undeclared columns keep the common type of the files. A role's columns in `needed` are an error
+    where they are absent, other declared ones are NULL then. A value that is not of its declared type,
+    or a line of another width than its header, is an error that names its place when it is read.
     """
+    landed = extract_landings(spark, paths, fmt, options, needed)
+    return {role: _extract(role, x.strict()) for role, x in landed.items()}
+
+
+def split_extracts(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    needed: Mapping[str, Iterable[str]] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The accepted rows of the four extracts by role, and what was rejected with its `role`."""
+    landed = extract_landings(spark, paths, fmt, options, needed)
+    rejected = [x.rejected().select(F.lit(role).alias("role"), "*") for role, x in landed.items()]
+    return {role: _extract(role, x.accepted()) for role, x in landed.items()}, reduce(DataFrame.unionAll, rejected)
+
+
+def _extract(role: str, rows: DataFrame) -> DataFrame:
+    rows = rows.drop(SOURCE_FILE)
+    return rename_billing(rows) if role == "billing" else rows
+
+
+def extract_landings(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    needed: Mapping[str, Iterable[str]] | None = None,
+) -> dict[str, Landed]:
+    """The four extracts by role with what is accepted and what is not. Each path must exist."""
     ddls = {
         "billing": schemas.BILLING_DDL,
         "out": schemas.EXTRACT_DDL,
@@ -172,24 +209,14 @@ def ingest_extracts(
     absent = [role for role in ddls if role not in paths]
     if absent:
         raise KeyError(f"no path given for {', '.join(absent)}")
-    frames = {}
+    found = {}
     for role, ddl in ddls.items():
-        reader = spark.read.format(fmt).options(**(options or {}))
-        if fmt == "csv":
-            reader = reader.option("header", "true")
-        elif fmt in ("parquet", "orc"):
-            reader = reader.option("mergeSchema", "true")
-        try:
-            frame = reader.load(paths[role])
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            raise FileNotFoundError(f"{role} extract not found: {paths[role]}") from error
-        schema = _declared(ddl)
-        require_columns(frame, (needed or {}).get(role, ()), f"{role} extract {paths[role]}")
-        frame = conform(frame, schema)
-        frames[role] = rename_billing(frame) if role == "billing" else frame
-    return frames
+        what = f"{role} extract {paths[role]}"
+        landed = read_landed(spark, paths[role], fmt, _declared(ddl), options, needed=(needed or {}).get(role, ()), what=what)
+        if landed is None:
+            raise FileNotFoundError(f"{role} extract not found: {paths[role]}")
+        found[role] = landed
+    return found
 
 
 def read_entities(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

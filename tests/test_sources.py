@@ -2,10 +2,11 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from row_values import rows_of
 from stockledger import schemas
-from stockledger.sources import landing, sinks
+from stockledger.sources import files, landing, sinks
 
 
 def put(path, name, text):
@@ -139,3 +140,132 @@ def test_sorted_csv_report(spark, tmp_path):
     path = sinks.write_table(df, f"{tmp_path}/t", "csv", [F.col("n").desc_nulls_first()])
     parts = [p.read_text().splitlines() for p in sorted((tmp_path / "t").glob("part-*"))]
     assert path == f"{tmp_path}/t" and [line for lines in parts for line in lines if line != "n,t"] == [",a", "3,c", "1,b"]
+
+
+def parquet_files(spark, folder, frames):
+    """One file per frame in a folder."""
+    folder.mkdir()
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{folder}-{name}")
+        file = next((folder.parent / f"{folder.name}-{name}").glob("*.parquet"))
+        (folder / f"{name}.parquet").write_bytes(file.read_bytes())
+
+
+def test_files_of_differing_types_are_united(spark, tmp_path):
+    frames = {
+        "a": spark.createDataFrame([(1, "RMC", 5), (2, "RMC", 6)], "CodigoGenerico long, Comprobante string, Cantidad int"),
+        "b": spark.createDataFrame([("003", 7.0), ("x4", 8.0)], "CodigoGenerico string, Cantidad double"),
+        "c": spark.sql("SELECT DATE'2024-01-02' AS Extra, 9L AS Cantidad UNION ALL SELECT NULL, 10"),
+        "d": spark.sql("SELECT TIMESTAMP'2024-01-02 03:00:00' AS Extra, '11' AS Cantidad, 1.5BD AS Otro"),
+    }
+    parquet_files(spark, tmp_path / "in", frames)
+    found = landing.ingest_ledger(spark, str(tmp_path / "in"))
+    assert rows_of(found, "CodigoGenerico", "Comprobante", "Cantidad", "ArchivoOrigen") == sorted(
+        [
+            ("1", "RMC", 5, "a.parquet"), ("2", "RMC", 6, "a.parquet"), ("003", None, 7, "b.parquet"), ("x4", None, 8, "b.parquet"),
+            (None, None, 9, "c.parquet"), (None, None, 10, "c.parquet"), (None, None, 11, "d.parquet"),
+        ], key=lambda r: [(v is not None, str(v)) for v in r],
+    )
+    kinds = dict(found.dtypes)
+    assert kinds["Extra"] == "timestamp" and kinds["Otro"] == "decimal(2,1)" and kinds["CodigoGenerico"] == "string"
+
+
+@pytest.mark.parametrize(
+    "a, b, common",
+    [
+        ("int", "bigint", "bigint"), ("bigint", "double", "double"), ("decimal(10,2)", "bigint", "decimal(21,2)"),
+        ("decimal(30,2)", "decimal(30,20)", "string"), ("boolean", "int", "int"), ("date", "timestamp", "timestamp"),
+        ("date", "int", "string"), ("void", "date", "date"), ("array<int>", "array<double>", "array<double>"),
+        ("float", "decimal(5,1)", "double"), ("string", "bigint", "string"), ("struct<a:int>", "struct<b:int>", "string"),
+    ],
+)
+def test_common_types(a, b, common):
+    x, y = (T.StructType.fromDDL(f"c {t}")[0].dataType for t in (a, b))
+    assert files.common_type(x, y).simpleString() == files.common_type(y, x).simpleString() == common
+
+
+def extract_paths(tmp_path, billing):
+    put(tmp_path, "listing.csv", "Nombre,Codigo,EstadoArticulo,CodigoGenerico\nItem,1001,ACTIVO,1\n")
+    put(tmp_path, "out.csv", "Cantidad,Comprobante\n4,X\n")
+    put(tmp_path, "billing.csv", billing)
+    return {r: f"{tmp_path}/{f}.csv" for r, f in (("billing", "billing"), ("out", "out"), ("in", "out"), ("listing", "listing"))}
+
+
+def test_unreadable_numbers_and_lines_of_another_width_are_never_0(spark, tmp_path):
+    billing = 'nombre,idadmision,cantidad,vrtotal\n\nn,1,2,3.5\nn,2,abc,"1.234,50"\nART, GRANDE,3,4,5\n"ART, GRANDE",4,,6\nshort,5\nn,,7, \n'
+    paths = extract_paths(tmp_path, billing)
+    with pytest.raises(Exception, match=r"billing.csv, line [45]"):
+        landing.ingest_extracts(spark, paths, "csv")["billing"].collect()
+    assert rows_of(landing.ingest_extracts(spark, paths, "csv")["out"], "Cantidad") == [(4,)]
+    accepted, rejected = landing.split_extracts(spark, paths, "csv")
+    assert rows_of(accepted["billing"], "billed_name", "idadmision", "billed_qty", "billed_value") == [
+        ("ART, GRANDE", 4, None, 6.0), ("n", None, 7, None), ("n", 1, 2, 3.5)
+    ]
+    assert rows_of(rejected, "role", "file", "line", "column", "text", "reason") == [
+        ("billing", "billing.csv", 4, "cantidad", "abc", "no bigint"),
+        ("billing", "billing.csv", 4, "vrtotal", "1.234,50", "no double"),
+        ("billing", "billing.csv", 5, None, "ART, GRANDE,3,4,5", "line of another width"),
+        ("billing", "billing.csv", 7, None, "short,5", "line of another width"),
+    ]
+    assert accepted["billing"].count() + rejected.select("line").distinct().count() == 6
+
+
+def test_lenient_values_are_listed_and_kept(spark, tmp_path):
+    put(tmp_path, "a.csv", "Comprobante,Cantidad,Costo\nRMC,x,1\nRMC,2,2\n")
+    landed = landing.ledger_landing(spark, str(tmp_path), "csv")
+    assert rows_of(landed.rejected()) == [("a.csv", 2, "Cantidad", "x", "no bigint", True)]
+    assert landed.accepted().count() == landed.strict().count() == 2
+    put(tmp_path, "b.csv", "Comprobante,Costo\nRMC,y\n")
+    with pytest.raises(Exception, match="b.csv, line 2: Costo 'y'"):
+        landing.ingest_ledger(spark, str(tmp_path), "csv").collect()
+
+
+def test_rejects_of_typed_files_name_their_row(spark, tmp_path):
+    df = spark.range(5).selectExpr("cast(id AS string) idadmision", "if(id = 3, 'many', '1') cantidad", "current_date() vrtotal")
+    df.coalesce(1).write.parquet(f"{tmp_path}/b")
+    landed = landing.read_landed(spark, f"{tmp_path}/b", "parquet", T.StructType.fromDDL(schemas.BILLING_DDL))
+    assert rows_of(landed.rejected().where("column = 'cantidad'"), "line", "text") == [(4, "many")]
+    assert landed.rejected().where("column = 'vrtotal'").count() == 5 and landed.accepted().count() == 0
+
+
+def test_line_numbers_hold_over_parts_of_a_file(spark, tmp_path):
+    lines = [f"RMC,{i}" if i % 97 else f"RMC,bad{i}" for i in range(2, 4000)]
+    put(tmp_path, "long.csv", "\n".join(["Comprobante,Costo", *lines]) + "\n")
+    put(tmp_path, "other.csv", "Costo\n1\nbad\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        landed = landing.ledger_landing(spark, str(tmp_path), "csv")
+        got = sorted(rows_of(landed.rejected(), "file", "line", "text"))
+        assert got == [*[("long.csv", i, f"bad{i}") for i in range(2, 4000) if i % 97 == 0], ("other.csv", 3, "bad")]
+        assert landed.accepted().count() == 3998 + 2 - len(got)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_all_files_are_looked_at_in_one_job(spark, tmp_path):
+    frames = {"a": spark.range(7).selectExpr("'RMC' AS Comprobante", "id AS Cantidad"), "b": spark.range(2).selectExpr("'DC' AS Comprobante")}
+    parquet_files(spark, tmp_path / "in", frames)
+    a, b = ((tmp_path / "in" / f"{x}.parquet").read_bytes() for x in "ab")
+    for i in range(300):
+        (tmp_path / "in" / f"{i:03}.parquet").write_bytes(a if i % 2 else b)
+    (tmp_path / "in" / "cut.parquet").write_bytes(a[: len(a) // 2])
+    group = "look"
+    spark.sparkContext.setJobGroup(group, group)
+    looked = rows_of(files.inspect_files(spark, str(tmp_path / "in"), "parquet"), "path", "promised", "rows", "damage")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 1
+    assert len(looked) == 303 and sum(r[2] for r in looked) == 151 * 9
+    assert [r[0].rsplit("/", 1)[1] for r in looked if r[3]] == ["cut.parquet"]
+    found = landing.ingest_ledger(spark, str(tmp_path / "in"), skip_damaged=True)
+    assert found.count() == 151 * 9 and found.where("Cantidad IS NOT NULL").count() == 151 * 7
+
+
+def test_orc_and_json_folders(spark, tmp_path):
+    df = spark.createDataFrame([("RMC", "5"), ("DC", "x")], "Comprobante string, Cantidad string")
+    df.write.orc(f"{tmp_path}/o")
+    df.selectExpr("Comprobante", "7L AS Cantidad").write.mode("append").orc(f"{tmp_path}/o")
+    want = [("DC", None), ("DC", 7), ("RMC", 5), ("RMC", 7)]
+    assert rows_of(landing.ingest_ledger(spark, f"{tmp_path}/o", "orc"), "Comprobante", "Cantidad") == want
+    put(tmp_path, "l.json", '{"Comprobante": "RMC", "Cantidad": 5}\n{"Comprobante": \n')
+    landed = landing.ledger_landing(spark, f"{tmp_path}/l.json", "json")
+    assert rows_of(landed.accepted(), "Comprobante", "Cantidad") == [("RMC", 5)]
+    assert [r.reason for r in landed.rejected().collect()] == ["line of another width"]
