@@ -13,37 +13,48 @@ DEVIATION_DDL = (
 )
 
 
-def dispensed(spark, pairs):
-    rest = ("001FAR", "TEST", "2024-01-01", "", "", "", "", "")
-    return spark.createDataFrame([(k, f"Med {k}", q, 100, *rest) for k, q in pairs], DEVIATION_DDL)
-
-
-def test_one_outlier_gives_one_alert(spark):
-    found = quantity_deviations(dispensed(spark, [(1001, 10)] * 3 + [(1001, 50)] + [(2001, 5)] * 2)).collect()
-    assert len(found) == 1
-    row = found[0]
-    assert (row.Cantidad, row.Cantidad_moda, row.Cantidad_maximo, row.Cantidad_minimo) == (50, 10, 50, 10)
-    assert (row.Cantidad_media, row.Cantidad_std) == (20.0, 20.0)
-    assert (row.Desviacion_moda, row.Desviacion_media, row.Desviacion_std) == (40, 30.0, 30.0)
-    assert (row.Desviacion_maximo, row.Desviacion_minimo) == (0, 40)
-    flags = (row.Alerta_desviacion_moda, row.Alerta_desviacion_media, row.Alerta_desviacion_std)
-    assert flags == ("ALERTA",) * 3
-
-
-@pytest.mark.parametrize(
-    "pairs",
-    [[(1001, 10)] * 2 + [(2001, 5)] * 2, [(1, 3), (2, 4), (3, 5)], [(None, 10), (None, 50)], []],
-    ids=["uniform", "one row per group", "no codes", "empty"],
-)
-def test_nothing_to_alert(spark, pairs):
-    found = quantity_deviations(dispensed(spark, pairs))
-    assert len(found.columns) == 25
-    assert found.count() == 0
+def dispensed(spark, quantities):
+    """One line per (product, quantity), the third of its product on the third day."""
+    lines = []
+    for code, quantity in quantities:
+        nth = sum(line[0] == code for line in lines) + 1
+        lines.append((code, f"Producto {code}", quantity, 25 * (quantity or 0), "N1URG-HOS", "dispensado", f"{nth:02}/03/2025", f"D{nth}", "Urgencias", "Central", "G7", "Sueros"))
+    return spark.createDataFrame(lines, DEVIATION_DDL)
+
+
+def test_lines_off_the_usual_quantity(spark):
+    # product 71: mode 6, mean 36 / 6 = 6, deviation sqrt((2 * 16 + 64) / 5) = 4.381780, from 2 to 14
+    serum = [(71, q) for q in (6, 2, 6, 14, 2, 6)]
+    bandage = [(72, 9)] * 4
+    found = quantity_deviations(dispensed(spark, serum + bandage))
+    measured = [f"{prefix}_{n}" for prefix in ("Cantidad", "Desviacion") for n in ("moda", "media", "std", "maximo", "minimo")]
+    usual = (6, 6.0, 4.38178, 14, 2)
+    assert rows_of(found, "NoDocumento", "Cantidad", "ValorTotal", *measured) == [
+        ("D2", 2, 50, *usual, 4, 4.0, 2.38178, 12, 0),
+        ("D4", 14, 350, *usual, 8, 8.0, 9.61822, 0, 12),
+        ("D5", 2, 50, *usual, 4, 4.0, 2.38178, 12, 0),
+    ]
+    flags = {tuple(r) for r in found.select("Alerta_desviacion_moda", "Alerta_desviacion_media", "Alerta_desviacion_std").collect()}
+    assert flags == {("ALERTA", "ALERTA", "ALERTA")}
+
+
+def test_a_flag_of_its_own_for_each_statistic(spark):
+    found = quantity_deviations(dispensed(spark, [(5, q) for q in (1, 1, 1, 3, 4, 8)]), threshold=1.5)
+    # mean 18 / 6 = 3, deviation sqrt(38 / 5) = 2.756810
+    flags = ["Alerta_desviacion_moda", "Alerta_desviacion_media", "Alerta_desviacion_std"]
+    assert rows_of(found, "Cantidad", *flags) == [(3, "ALERTA", "OK", "OK"), (4, "ALERTA", "OK", "OK"), (8, "ALERTA", "ALERTA", "ALERTA")]
+
+
+def test_nothing_to_alert(spark):
+    steady, single, nameless = [(8, 4)] * 3 + [(9, 11)], [(31, 2), (32, 7)], [(None, 1), (None, 90), (None, 1)]
+    for quantities in (steady, single, nameless, steady + nameless, []):
+        found = quantity_deviations(dispensed(spark, quantities))
+        assert len(found.columns) == 25 and found.isEmpty()
 
 
 def test_tied_mode_takes_the_smaller_value(spark):
-    found = quantity_deviations(dispensed(spark, [(1001, 50)] * 5 + [(1001, 8)] * 5))
-    assert rows_of(found, "Cantidad", "Cantidad_moda") == [(50, 8)] * 5
+    found = quantity_deviations(dispensed(spark, [(44, 15), (44, 3)] * 2 + [(44, 1)]))
+    assert rows_of(found, "Cantidad", "Cantidad_moda") == [(1, 3), (15, 3), (15, 3)]
 
 
 def test_missing_quantity_counts_as_a_value(spark):
