@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockledger import schemas, vocab
+from stockledger.functions.distributed import materialize
 from stockledger.operators import (
     audit,
     consumption,
@@ -276,19 +277,19 @@ SUMMARY_ROUNDED = ("Total_Stock_Muerto", "Margen_Mediano_Pct", "Eficiencia_Media
 def _finance_queries() -> dict[str, Query]:
     return {
         "supplier_price_variance": lambda s, d: portable(
-            finance.supplier_price_variance(_product_lines(s, d)["out"]), PRICE_ROUNDED
+            finance.supplier_price_variance(_product_lines(s, d)["out"], materialize), PRICE_ROUNDED
         ),
         "stock_efficiency_detail": lambda s, d: portable(_stock(s, d)),
         "stock_efficiency_summary": lambda s, d: portable(finance.stock_efficiency_summary(_stock(s, d))),
         "billing_gap_detail": lambda s, d: portable(_gap(s, d)),
         "billing_gap_detail_coalesced": lambda s, d: portable(_gap(s, d, finance.COALESCED)),
         "billing_gap_summary": lambda s, d: portable(
-            finance.billing_gap_summary(_gap(s, d)), ("Ratio_Mediano", "Margen_Mediano_Pct")
+            finance.billing_gap_summary(_gap(s, d), materialize), ("Ratio_Mediano", "Margen_Mediano_Pct")
         ),
         "critical_alerts": lambda s, d: portable(finance.critical_patient_alerts(_gap(s, d))),
         "purchase_sale_detail": lambda s, d: portable(_margins(s, d), MARGIN_ROUNDED),
         "purchase_summary": lambda s, d: portable(
-            finance.purchase_summary_by_service(_margins(s, d)), SUMMARY_ROUNDED
+            finance.purchase_summary_by_service(_margins(s, d), materialize), SUMMARY_ROUNDED
         ),
         "top_dead_stock": lambda s, d: portable(finance.top_dead_stock(_margins(s, d)), MARGIN_ROUNDED),
     }

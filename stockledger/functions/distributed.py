@@ -2,9 +2,8 @@
 
 * `frequency_profile`: mode, mean, deviation and range of a group from the histogram of its
   values. Both aggregations combine on the map side.
-* `grouped_medians`: medians next to other aggregates in one pass of mergeable sketches, which are
-  exact for small groups. Large groups take a second pass: the sketch brackets the middle, all
-  rows are counted against the bracket, and only what is in it is sorted.
+* `grouped_medians`: medians next to other aggregates. A mergeable sketch brackets the middle, rows are
+  counted per slice of the bracket, and only the slices that hold the middle are sorted.
 * `running_total`: a running sum over one global order without putting all rows in one task.
 """
 
@@ -75,49 +74,34 @@ def frequency_profile(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 SKETCH_ACCURACY = 10000
-# The sketch errs by less than one rank below 10,000 values, and merging adds nothing below
-# 5,000, so quantiles at one half and just above it are the two middle values.
-SMALL_GROUP = 4000
-JUST_ABOVE_HALF = 0.50005
 # Ten times the sketch's rank error to either side of the middle.
 BRACKET = 10 / SKETCH_ACCURACY
-LOW, MIDDLE, NEXT, HIGH = range(4)
+SLICES = 1024
 
 
 def grouped_medians(df: DataFrame, keys: list[str], medians: dict[str, str], aggs: list[Column] | None = None) -> DataFrame:
     """`aggs` and the interpolated median of each column of `medians` (column -> name) per group.
 
-    Both passes are written out, so that each runs once, and the second is left out when no
-    group is large, which is the common case.
+    All groups go the same way, whatever their size, and nothing runs before the result is read. A
+    mergeable sketch brackets the middle of each group next to `aggs`. Values are then counted per
+    slice of the bracket; running counts over a group's slices, of which there are a fixed number,
+    carry the ranks over their ends, and only values of the slices that hold the middle are ranked.
     """
-    quantiles = [0.5 - BRACKET, 0.5, JUST_ABOVE_HALF, 0.5 + BRACKET]
-    sketches = [
-        c
+    quantiles = [0.5 - BRACKET, 0.5 + BRACKET]
+    sketches = {
+        name: F.percentile_approx(F.col(column).cast("double"), quantiles, SKETCH_ACCURACY).alias(f"_q_{name}")
         for column, name in medians.items()
-        for c in (
-            F.count(column).alias(f"_n_{name}"),
-            F.percentile_approx(F.col(column).cast("double"), quantiles, SKETCH_ACCURACY).alias(f"_q_{name}"),
-        )
-    ]
-    groups = materialize(df.groupBy(*keys).agg(*(aggs or []), *sketches))
-    large = {name: F.col(f"_n_{name}") > SMALL_GROUP for name in medians.values()}
-    any_large = groups.where(reduce(lambda a, b: a | b, large.values()))
-    exact = {name: F.lit(None).cast("double") for name in medians.values()}
-    if not any_large.isEmpty():
-        groups = null_safe_join(groups, materialize(_ranked_medians(df, any_large, keys, medians)), keys)
-        exact = {name: F.col(f"_m_{name}") for name in medians.values()}
-    kept = [c for c in groups.columns if not c.startswith(("_n_", "_q_", "_m_"))]
-    sketched = {name: (F.col(f"_q_{name}")[MIDDLE] + F.col(f"_q_{name}")[NEXT]) / 2 for name in medians.values()}
-    return groups.select(
-        *kept, *[F.when(large[n], exact[n]).otherwise(sketched[n]).alias(n) for n in medians.values()]
-    )
+    }
+    groups = df.groupBy(*keys).agg(*(aggs or []), *sketches.values())
+    found = _ranked_medians(df, groups, keys, medians)
+    return null_safe_join(groups.drop(*[f"_q_{name}" for name in medians.values()]), found, keys)
 
 
-def _ranked_medians(df: DataFrame, large: DataFrame, keys: list[str], medians: dict[str, str]) -> DataFrame:
-    """Medians of the large groups as `_m_<name>`, ranked within the bracket of their sketch.
+def _ranked_medians(df: DataFrame, groups: DataFrame, keys: list[str], medians: dict[str, str]) -> DataFrame:
+    """The medians of `groups` by keys, from counts within the bracket of each sketch.
 
-    The counts below and above the bracket come from the same rows in the same pass, so the rank
-    of every candidate is exact whatever the sketch returned; a middle outside it is an error.
+    The counts below and above the bracket come from the same rows, so ranks are exact whatever the
+    sketch returned; a middle outside it is an error. Equal values are one row with their count.
     """
 
     def stacked(source: DataFrame, entries: list[Column]) -> DataFrame:
@@ -127,41 +111,46 @@ def _ranked_medians(df: DataFrame, large: DataFrame, keys: list[str], medians: d
         df, [F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("v")) for c, n in medians.items()]
     ).where(F.col("v").isNotNull())
     brackets = stacked(
-        large,
-        [
-            F.struct(
-                F.lit(n).alias("metric"),
-                F.col(f"_n_{n}").alias("n"),
-                F.col(f"_q_{n}")[LOW].alias("low"),
-                F.col(f"_q_{n}")[HIGH].alias("high"),
-            )
-            for n in medians.values()
-        ],
-    ).where(F.col("n") > SMALL_GROUP)
-    by = [*keys, "metric"]
-    side = F.when(F.col("v") < F.col("low"), -1).when(F.col("v") > F.col("high"), 1).otherwise(0)
+        groups,
+        [F.struct(F.lit(n).alias("metric"), F.col(f"_q_{n}")[0].alias("low"), F.col(f"_q_{n}")[1].alias("high")) for n in medians.values()],
+    ).where(F.col("low").isNotNull())
+    by, v, low, high = [*keys, "metric"], F.col("v"), F.col("low"), F.col("high")
+    # grows with the value, and so do the slices
+    inside = F.coalesce(F.floor(F.try_divide(v - low, high - low) * SLICES), F.lit(0)).cast("int")
+    place = F.when(v < low, -1).when(v > high, SLICES + 1).otherwise(inside)
     counted = (
-        null_safe_join(values, brackets.drop("n"), by, "inner")
-        .select(*by, side.alias("_side"), F.when(side == 0, F.col("v")).alias("v"))
-        .groupBy(*by, "_side", "v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        null_safe_join(values, brackets, by, "inner")
+        .select(*by, place.alias("slice"), F.when((v >= low) & (v <= high), v).alias("v"))
+        .groupBy(*by, "slice", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     group = Window.partitionBy(*by)
-    upto = group.orderBy("_side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    low, high = F.col("_upto") * 2 >= F.col("_total"), F.col("_upto") * 2 > F.col("_total")
-    missed = (F.col("_low_side") != 0) | (F.col("_high_side") != 0)
+    upto = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = (
+        counted.groupBy(*by, "slice")
+        .agg(F.sum("n").alias("n"))
+        .withColumns({"total": F.sum("n").over(group), "upto": F.sum("n").over(upto)})
+        .select(*by, "slice", "total", (F.col("upto") - F.col("n")).alias("before"), "upto")
+        # those from the one that holds the lower middle to the one that holds the upper middle
+        .where((F.col("upto") * 2 >= F.col("total")) & (F.col("before") * 2 <= F.col("total")))
+        .drop("upto")
+    )
+    within = Window.partitionBy(*by, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = null_safe_join(counted, slices, [*by, "slice"], "inner").withColumn("rank", F.col("before") + F.sum("n").over(within))
+    lower, upper = F.col("rank") * 2 >= F.col("total"), F.col("rank") * 2 > F.col("total")
+
+    def first(holds: Column) -> Column:
+        return F.min(F.when(holds, F.struct("rank", "slice", "v")))
+
+    missed = F.col("low.v").isNull() | F.col("high.v").isNull()
     outside = F.raise_error(F.lit("median outside its bracket"))
+    middle = (F.col("low.v") + F.col("high.v")) / 2
     return (
-        counted.withColumns({"_total": F.sum("_n").over(group), "_upto": F.sum("_n").over(upto)})
-        .groupBy(*by)
-        .agg(
-            ((F.min(F.when(low, F.col("v"))) + F.min(F.when(high, F.col("v")))) / 2).alias("median"),
-            F.min(F.when(low, F.col("_side"))).alias("_low_side"),
-            F.min(F.when(high, F.col("_side"))).alias("_high_side"),
-        )
-        .select(*by, F.when(missed, outside).otherwise(F.col("median")).alias("median"))
+        ranked.groupBy(*by)
+        .agg(first(lower).alias("low"), first(upper).alias("high"))
+        .select(*by, F.when(missed, outside).otherwise(middle).alias("median"))
         .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("metric") == n, F.col("median"))).alias(f"_m_{n}") for n in medians.values()])
+        .agg(*[F.max(F.when(F.col("metric") == n, F.col("median"))).alias(n) for n in medians.values()])
     )
 
 

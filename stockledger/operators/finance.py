@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.distributed import grouped_medians, materialize
+from stockledger.functions.distributed import grouped_medians
 from stockledger.functions.exprs import (
     first_match,
     mean,
@@ -28,10 +28,15 @@ from stockledger.functions.exprs import (
 
 REFERENCE, COALESCED = "reference", "coalesced"
 STOCK_KEYS = ["Municipio", "Servicio", "Clasificacion_consumo", "CodigoGenerico", "Nombre"]
+Keep = Callable[[DataFrame], DataFrame]
 GAP_KEYS = ["idadmision", "CodigoGenerico", "Nombre"]
 SITE_PRODUCT = ["CodigoGenerico", "Nombre", "Municipio", "Servicio"]
 
 
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def _outer_aggregate(
     left: DataFrame, right: DataFrame, keys: list[str], left_aggs: list[Column], right_aggs: list[Column], mode: str
 ) -> DataFrame:
@@ -71,10 +76,11 @@ def _outer_aggregate(
 SUPPLIER_KEYS = ["CodigoGenerico", "Nombre", "Proveedor", "Municipio", "Servicio"]
 
 
-def supplier_price_variance(consumption: DataFrame) -> DataFrame:
+def supplier_price_variance(consumption: DataFrame, keep: Keep = as_is) -> DataFrame:
     """Price spread per product and supplier at a site, against the product's market median.
 
-    The market median is the median of the group medians of one product.
+    The market median is the median of the group medians of one product. `keep` is applied to the
+    groups, which are read several times: a caller may write or persist them.
     """
     price = "ValorUnitario"
     priced = consumption.where(F.col("Proveedor").isNotNull() & (F.col("Proveedor") != "") & (F.col(price) > 0))
@@ -92,6 +98,7 @@ def supplier_price_variance(consumption: DataFrame) -> DataFrame:
             n_unique_small("Comprobante").alias("Num_Transacciones"),
         ],
     )
+    groups = keep(groups)
     product = ["CodigoGenerico", "Nombre"]
     markets = grouped_medians(groups.select(*product, "Costo_Mediano"), product, {"Costo_Mediano": "Mediana_Mercado"})
     median, market = F.col("Costo_Mediano"), F.col("Mediana_Mercado")
@@ -308,13 +315,13 @@ def billing_gap_detail(billing: DataFrame, consumption: DataFrame, keys: str = R
     )
 
 
-def billing_gap_summary(detail: DataFrame) -> DataFrame:
+def billing_gap_summary(detail: DataFrame, keep: Keep = as_is) -> DataFrame:
     """The detail per site, corrected service and specialty.
 
-    Totals, bracket and medians each read the detail, so its narrow columns are written once.
+    Totals, bracket and medians each read the detail; `keep` is applied to its narrow columns.
     """
     keys = ["Municipio", "Servicio_Corregido", "Especialidad"]
-    detail = materialize(
+    detail = keep(
         detail.select(
             *keys, "idadmision", "No_Factura", "Facturado_Valor", "Consumido_Valor", "Margen_Bruto",
             "Ratio_Fact_Consumo", "Margen_Porcentual", "Estado_Facturacion", "Alerta_Spread",
@@ -467,10 +474,10 @@ def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption:
     )
 
 
-def purchase_summary_by_service(detail: DataFrame) -> DataFrame:
-    """The detail per site and service, its narrow columns written once like the billing gap's."""
+def purchase_summary_by_service(detail: DataFrame, keep: Keep = as_is) -> DataFrame:
+    """The detail per site and service; `keep` is applied to its narrow columns, as in the billing gap's."""
     keys = ["Municipio", "Servicio"]
-    detail = materialize(
+    detail = keep(
         detail.select(
             *keys, "CodigoGenerico", "Compras_Valor", "Facturacion_Valor", "Consumo_Valor", "Margen_Total",
             "Valor_Stock_Muerto_Estimado", "Margen_Porcentual_Prom", "Ratio_Consumo_Compra", "Alerta_Margen",
@@ -546,17 +553,17 @@ def financial_report(
     receipts: DataFrame,
     billing: DataFrame,
     keys: str = REFERENCE,
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    keep: Keep = as_is,
 ) -> dict[str, DataFrame]:
     """All nine tables; the last three are empty when no receipt is a purchase.
 
-    `keep` is applied to the three detail tables the summaries read; a job passes `persist`.
+    `keep` is applied to the detail tables and groups that are read several times; a job passes `persist`.
     """
     stock = keep(stock_efficiency_detail(consumption, receipts, keys))
     gap = keep(billing_gap_detail(billing, consumption, keys))
     margins = keep(purchase_sale_detail(detect_purchases(receipts), billing, consumption))
     return {
-        "varianza_proveedor": supplier_price_variance(consumption),
+        "varianza_proveedor": supplier_price_variance(consumption, keep),
         "eficiencia_stock_detalle": stock,
         "eficiencia_stock_resumen": stock_efficiency_summary(stock),
         "gap_fact_consumo_detalle": gap,

@@ -71,17 +71,30 @@ def test_medians_of_continuous_values(spark):
     check_medians(spark, sample(5, 60001, lambda r: r.gauss(0, 1)), 7)
 
 
-def test_medians_around_the_size_of_a_small_group(spark):
-    rng = random.Random(11)
-    limit = distributed.SMALL_GROUP
-    data = [(f"{n}", rng.random()) for n in (limit - 1, limit, limit + 1, limit + 2) for _ in range(n)]
-    rng.shuffle(data)
+def test_medians_of_many_sizes(spark):
+    data = [(f"g{n}", float(v)) for n in (*range(1, 40), 999, 5000, 5001) for v in random.Random(n).sample(range(10 * n), n)]
     check_medians(spark, data, 9)
 
 
-def test_no_second_pass_without_large_groups(spark, monkeypatch):
-    monkeypatch.setattr(distributed, "_ranked_medians", None)
-    check_medians(spark, sample(8, 3000, lambda r: r.random()), 3)
+def test_medians_without_slices_and_beyond_numbers(spark, monkeypatch):
+    inf = float("inf")
+    data = [("a", -inf), ("a", inf), ("a", 3.0), ("b", -inf), ("b", 1.0), ("b", 2.0), ("c", 1e308), ("c", -1e308), ("c", 5.0), ("c", 6.0)]
+    check_medians(spark, data, 2)
+    monkeypatch.setattr(distributed, "SLICES", 1)
+    check_medians(spark, sample(8, 9000, lambda r: r.random()), 3)
+
+
+def test_medians_run_nothing_before_they_are_read_and_rank_few_rows(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "medians"
+    df = spark.range(200_000).selectExpr("id % 2 AS k", "hash(id) / 7.0D AS v")
+    spark.sparkContext.setJobGroup(group, group)
+    medians = grouped_medians(df, ["k"], {"v": "m"})
+    assert tracker.getJobIdsForGroup(group) == []
+    values = df.toPandas()
+    found = {r.k: r.m for r in medians.collect()}
+    assert found == {k: own.v.median() for k, own in values.groupby("k")}
+    plan = medians._jdf.queryExecution().executedPlan().toString()
+    assert "percentile_approx" in plan and plan.count("Window") >= 2
 
 
 def test_medians_with_heavy_ties_and_nulls(spark):
