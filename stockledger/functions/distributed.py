@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,14 +32,47 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+class Scratch:
+    """Owner of the tables written while it is entered; it deletes them when it is left.
+
+    What is read after that must have been written elsewhere or collected. Without an owner, tables
+    stay in the shared folder until that is cleared, as checkpoints do.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        self._token = _owner.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _owner.reset(self._token)
+        self.release()
+
+    def release(self) -> None:
+        """Deletes the tables through the file system they are in."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
+_owner: ContextVar[Scratch | None] = ContextVar("owner of written tables", default=None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them from there on.
 
     For frames that are read several times and must be the same each time, or are too dear to
     compute again; the files outlive lost executors, and readers take only the columns they need.
+    Inside a `Scratch` the table is deleted with it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stockledger-{uuid.uuid4().hex}"
+    owner = _owner.get()
+    if owner is not None:
+        owner.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,6 +14,10 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def sum0(c: Column | str) -> Column:
     """Sum in which a group without values gives 0 and not NULL."""
     return F.coalesce(F.sum(c), F.lit(0))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger import vocab
-from stockledger.functions.exprs import first_match, joined_key, mean, split_key, spread_null_key, strip, sum0
+from stockledger.functions.exprs import as_is, first_match, joined_key, mean, split_key, spread_null_key, strip, sum0
 from stockledger.schemas import BILLING_GRAIN, GRAIN, UNCLOSED_COLUMNS
 
 KEY = "ADM-CodGen"
@@ -190,11 +191,31 @@ def prepare_consumption(
     listing: DataFrame,
     entities: DataFrame,
     money: str = "double",
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """The seven datasets of the consumption reports. Nothing is cached here; the job decides."""
-    roles = split_by_voucher(movement_fields(out_extract), movement_fields(in_extract))
-    billed_lines = billing_by_admission(billing, money)
-    with_billing = consumption_with_billing(enrich_and_grain(roles["dispensed"], listing), billed_lines)
+    """The seven datasets of the consumption reports.
+
+    For one dataset each role is filtered from its extract alone. A caller that reads several gives
+    `keep`, such as `materialize`: it is applied to what they share, which is the movement lines that
+    count, their grains in one pass over both roles (the voucher is part of the grain), the billing
+    per admission, and the consumption with its billing. Each extract is then read once.
+    """
+    out_lines, in_lines = movement_fields(out_extract), movement_fields(in_extract)
+    if keep is None:
+        keep, roles = as_is, split_by_voucher(out_lines, in_lines)
+        grains = {role: enrich_and_grain(roles[role], listing) for role in ("dispensed", "returned")}
+    else:
+        voucher = F.col("Comprobante")
+        out_role = F.when(voucher == vocab.DISPENSED, "dispensed").when(voucher.isin(vocab.INTERNAL_OUT), "internal_out")
+        in_role = F.when(voucher == vocab.RETURNED, "returned").when(voucher.isin(vocab.INTERNAL_IN), "internal_in")
+        out_lines, in_lines = out_lines.withColumn("_role", out_role), in_lines.withColumn("_role", in_role)
+        lines = keep(out_lines.unionByName(in_lines, allowMissingColumns=True).where(F.col("_role").isNotNull()))
+        columns = {"dispensed": out_lines, "internal_out": out_lines, "returned": in_lines, "internal_in": in_lines}
+        roles = {role: lines.where(F.col("_role") == role).select(*df.drop("_role").columns) for role, df in columns.items()}
+        both = keep(enrich_and_grain(lines.where(F.col("_role").isin("dispensed", "returned")), listing))
+        grains = {"dispensed": both.where(voucher == vocab.DISPENSED), "returned": both.where(voucher == vocab.RETURNED)}
+    billed_lines = keep(billing_by_admission(billing, money))
+    with_billing = keep(consumption_with_billing(grains["dispensed"], billed_lines))
     corrected = corrected_service(with_billing, entities)
     billed = override_specialty(corrected)
     return {
@@ -202,7 +223,7 @@ def prepare_consumption(
         "unclosed": unclosed_billing(corrected),
         "billed_clean": billed,
         "internal_out": roles["internal_out"],
-        "returns": attribute_returns(enrich_and_grain(roles["returned"], listing), billed_lines, entities),
+        "returns": attribute_returns(grains["returned"], billed_lines, entities),
         "internal_in": roles["internal_in"],
         "profitability_input": with_billing,
     }

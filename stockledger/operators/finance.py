@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import grouped_medians
 from stockledger.functions.exprs import (
+    as_is,
     first_match,
     mean,
     n_unique,
@@ -33,10 +34,6 @@ GAP_KEYS = ["idadmision", "CodigoGenerico", "Nombre"]
 SITE_PRODUCT = ["CodigoGenerico", "Nombre", "Municipio", "Servicio"]
 
 
-def as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 def _outer_aggregate(
     left: DataFrame, right: DataFrame, keys: list[str], left_aggs: list[Column], right_aggs: list[Column], mode: str
 ) -> DataFrame:
@@ -557,7 +554,7 @@ def financial_report(
 ) -> dict[str, DataFrame]:
     """All nine tables; the last three are empty when no receipt is a purchase.
 
-    `keep` is applied to the detail tables and groups that are read several times; a job passes `persist`.
+    `keep` is applied to the detail tables and groups that are read several times; a job passes `materialize`.
     """
     stock = keep(stock_efficiency_detail(consumption, receipts, keys))
     gap = keep(billing_gap_detail(billing, consumption, keys))

@@ -108,11 +108,16 @@ def of_family(ledger: DataFrame, family: str) -> DataFrame:
 
 def family_counts(ledger: DataFrame) -> DataFrame:
     """Confirmed lines per family; the NULL family holds those still to be classified."""
-    return ledger.groupBy("family").agg(F.count(F.lit(1)).alias("registros"))
+    return ledger.groupBy("family").agg(F.sum(_lines_in(ledger)).alias("registros"))
 
 
 def unclassified_count(ledger: DataFrame) -> DataFrame:
-    return ledger.agg(F.count_if(F.col("family").isNull()).alias("pendientes"))
+    return ledger.agg(sum0(F.when(F.col("family").isNull(), _lines_in(ledger))).alias("pendientes"))
+
+
+def _lines_in(ledger: DataFrame) -> Column:
+    """How many lines a row stands for: one, or its count in a cube."""
+    return F.col("registros") if "registros" in ledger.columns else F.lit(1).cast("bigint")
 
 
 def net_by_voucher(ledger: DataFrame, family: str) -> DataFrame:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
-from contextlib import ExitStack, contextmanager
+import uuid
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger import schemas, vocab
+from stockledger.functions.distributed import Scratch, materialize
 from stockledger.operators import (
     audit,
     consumption,
+    cube,
     deviations,
     finance,
     ledger,
@@ -26,7 +27,7 @@ from stockledger.operators import (
     report,
 )
 from stockledger.sources import landing
-from stockledger.sources.sinks import report_path, write_report, write_table
+from stockledger.sources.sinks import period_name, publish, write_report
 
 log = logging.getLogger(__name__)
 
@@ -67,14 +68,24 @@ def report_orders() -> dict[str, list[Column]]:
     }
 
 
-@contextmanager
-def _persisted(df: DataFrame):
-    """Keeps a frame several reports read; lost blocks are computed again from its lineage."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
+class Publication:
+    """The tables of one run, written aside and published together."""
+
+    def __init__(self, spark: SparkSession, out: str, period: str, fmt: str, orders: Mapping[str, list[Column]]):
+        self.spark, self.out, self.period, self.fmt, self.orders = spark, out, period, fmt, orders
+        self.run, self.reports = uuid.uuid4().hex, {}
+
+    def write(self, report: str, tables: Mapping[str, DataFrame]) -> dict[str, str]:
+        path = f"{self.out.rstrip('/')}/{report}/period={self.period}/run={self.run}"
+        self.reports[report] = write_report(tables, path, self.fmt, self.orders)
+        return self.reports[report]
+
+    def after(self, status: dict) -> dict:
+        """Publishes what a run has written if all its steps succeeded."""
+        if status["exitoso"]:
+            final = _run([("publicacion", lambda: publish(self.spark, self.out, self.period, self.run, self.reports, self.fmt))])
+            status = {**status, "exitoso": final["exitoso"], "error": final["error"]}
+        return {**status, "corrida": self.run}
 
 
 def _run(steps: list[tuple[str, Callable[[], Mapping | None]]]) -> dict:
@@ -129,31 +140,37 @@ def monthly_tables(lines: DataFrame, months: list[int] | None = None) -> dict[st
     }
 
 
-def run_inventory_job(raw: DataFrame, out: str, day: str, money: str = "decimal(18,2)", fmt: str = "parquet") -> dict:
+def run_inventory_job(
+    raw: DataFrame, out: str, day: str, money: str = "decimal(18,2)", fmt: str = "parquet", earlier: Iterable[DataFrame] = ()
+) -> dict:
     """Ledger lines to the purchase, loan, movement and monthly reports below `out`.
 
-    The classified ledger is read from its source once and kept for all reports.
+    The ledger is read from its source once, and summed to a cube that all reports read. The cube is
+    published with them as `cubo`. With the cubes of `earlier` periods the reports cover those too,
+    and their lines are not read again.
     """
-    orders = report_orders()
     landing.require_columns(raw, schemas.LEDGER_NEEDED, "the ledger")
-    with _persisted(ledger.classified_ledger(raw, money)) as lines:
-
-        def write(name: str, tables: Mapping[str, DataFrame]) -> dict[str, str]:
-            return write_report(tables, report_path(out, name, day), fmt, orders)
+    shown = Publication(raw.sparkSession, out, period_name(day), fmt, report_orders())
+    with Scratch(raw.sparkSession):
+        fresh = cube.ledger_cube(ledger.classified_ledger(raw, money))
+        lines = materialize(cube.merge_cubes(fresh, *earlier) if earlier else fresh)
 
         def classification() -> dict:
             counts = {r.family or "pendientes": r.registros for r in ledger.family_counts(lines).collect()}
             netted = {f"neto_{word}": ledger.net_by_voucher(lines, f) for f, word in vocab.FAMILY_WORDS.items()}
-            return {"registros": counts, **write("netos", netted)}
-
-        return _run(
-            [
-                ("clasificacion", classification),
-                ("compras", lambda: write("compras", purchase_tables(lines))),
-                ("prestamos", lambda: write("prestamos", loan_tables(lines))),
-                ("movimientos", lambda: write("movimientos", movement_tables(lines))),
-                ("consumos_mensuales", lambda: write("consumos_mensuales", monthly_tables(lines))),
-            ]
+            return {"registros": counts, **shown.write("netos", netted)}
+
+        return shown.after(
+            _run(
+                [
+                    ("clasificacion", classification),
+                    ("compras", lambda: shown.write("compras", purchase_tables(lines))),
+                    ("prestamos", lambda: shown.write("prestamos", loan_tables(lines))),
+                    ("movimientos", lambda: shown.write("movimientos", movement_tables(lines))),
+                    ("consumos_mensuales", lambda: shown.write("consumos_mensuales", monthly_tables(lines))),
+                    ("cubo", lambda: shown.write("cubo", {"cubo": lines})),
+                ]
+            )
         )
 
 
@@ -172,24 +189,21 @@ def run_consumption_job(
     Prices and values become `money` first. As decimals their sums do not depend on row order, so
     neither does the net report, which cuts them to whole units.
     """
-    orders = report_orders()
+    shown = Publication(entities.sparkSession, out, period_name(start, end), fmt, report_orders())
     measures = ("ValorUnitario", "TotalBruto", "ValorIVA", "ValorDescuento", "ValorTotal")
     typed = {role: extracts[role].withColumns({c: F.col(c).cast(money) for c in measures}) for role in ("out", "in")}
     extracts = {**extracts, **typed}
-    with ExitStack() as kept:
+    with Scratch(entities.sparkSession):
         data = consumption.prepare_consumption(
-            extracts["out"], extracts["in"], extracts["billing"], extracts["listing"], entities, money
+            extracts["out"], extracts["in"], extracts["billing"], extracts["listing"], entities, money, materialize
         )
         for name in ("billed", "returns"):
-            data[name] = kept.enter_context(_persisted(data[name]))
+            data[name] = materialize(data[name])
         data["billed_clean"] = data["billed"]
         net: dict[str, DataFrame] = {}
 
-        def path(name: str) -> str:
-            return report_path(out, name, start, end)
-
         def one(name: str, df: DataFrame) -> dict[str, str]:
-            return {name: write_table(df, path(name), fmt)}
+            return shown.write(name, {name: df})
 
         def totals() -> dict:
             rows = consumption.control_totals(data).collect()
@@ -197,25 +211,21 @@ def run_consumption_job(
             return {"totales": counts, **one("medicos_nulos", data["unclosed"])}
 
         def net_report() -> dict[str, str]:
-            net["report"] = kept.enter_context(
-                _persisted(
-                    report.net_report(
-                        report.class_totals(data["billed"], data["returns"], data["internal_out"], data["internal_in"])
-                    )
+            net["report"] = materialize(
+                report.net_report(
+                    report.class_totals(data["billed"], data["returns"], data["internal_out"], data["internal_in"])
                 )
             )
             tables = {name: report.report_table(net["report"], name) for name in report.TABLES}
-            return write_report(tables, path("informe"), fmt, orders)
+            return shown.write("informe", tables)
 
         def reconciliation() -> dict:
             return reconcile.reconcile(extracts["out"], extracts["in"], net["report"], money=money).first().asDict()
 
         def financial() -> dict[str, str]:
             used, received, billed = finance.financial_inputs(data)
-            tables = finance.financial_report(
-                used, received, billed, keep=lambda df: kept.enter_context(_persisted(df))
-            )
-            return write_report(tables, path("analisis_financiero"), fmt, orders)
+            tables = finance.financial_report(used, received, billed, keep=materialize)
+            return shown.write("analisis_financiero", tables)
 
         steps: list[tuple[str, Callable[[], Mapping | None]]] = [
             ("carga", totals),
@@ -227,7 +237,7 @@ def run_consumption_job(
         ]
         if with_finance:
             steps.append(("analisis_financiero", financial))
-        return _run(steps)
+        return shown.after(_run(steps))
 
 
 def _after_reading(read: Callable[[], object], job: Callable[[object], dict], step: str) -> dict:

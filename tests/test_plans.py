@@ -6,7 +6,9 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
+from row_values import rows_of
 from stockledger.catalog.queries import all_queries
+from stockledger.functions.distributed import Scratch, materialize
 from stockledger.functions.exprs import spread_null_key
 from stockledger.operators import consumption, ledger, loans, monthly
 from stockledger.operators.deviations import quantity_deviations
@@ -112,3 +114,23 @@ def test_missing_keys_do_not_share_a_partition(eager_to_split):
     spread = df.select(spread_null_key("k", "lines", ["id"]).alias("j")).repartition(8, "j")
     sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_shared_facts_are_read_once_and_give_the_same_datasets(spark):
+    extract = demo.movement_extract(spark, SMALL)
+    inputs = [extract, extract, demo.billing_lines(spark, SMALL), demo.listing(spark, SMALL), demo.entities(spark, SMALL)]
+    kept = []
+
+    def keep(df):
+        kept.append(plan(df).count("lineitem.parquet"))
+        return materialize(df)
+
+    with Scratch(spark):
+        shared = consumption.prepare_consumption(*inputs, demo.FINE_MONEY, keep)
+        plain = consumption.prepare_consumption(*inputs, demo.FINE_MONEY)
+        # the two extracts, then the billing; the grains and the joined rows come from what was written
+        assert kept == [2, 0, 1, 0]
+        for name, df in shared.items():
+            assert df.columns == plain[name].columns and "lineitem.parquet" not in plan(df)
+        totals = [rows_of(consumption.control_totals(x)) for x in (shared, plain)]
+        assert totals[0] == totals[1]
