@@ -19,6 +19,7 @@ NULL and empty pages have no text. Nothing is cut; repeated rows get the same re
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,17 +39,30 @@ BREAKS = frozenset(
     "thead title tr ul".split()
 )
 SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video".split())
-LEFT_OUT = frozenset("nav footer aside menu dialog button select textarea fieldset".split())
+LEFT_OUT = frozenset("nav footer aside menu dialog button select textarea".split())
+OUTSIDE_LEFT_OUT = frozenset("header fieldset".split())
 REGIONS = frozenset("article main section div td body".split())
 WHOLE = frozenset("article main".split())
 CLOSED_BY = {"p": BREAKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|advertisement|adverts|banner|sponsor|sponsored|promo|cookie|cookies|consent|gdpr|notice|notices|"
-    r"alert|popup|modal|newsletter|subscribe|comment|comments|respond|replies|disqus|sidebar|side|widget|menu|nav|navbar|navigation|"
-    r"breadcrumb|breadcrumbs|footer|masthead|topbar|toolbar|share|sharing|social|related|recommended|login|search)(?:$|[\s_-])"
+WORDS = (
+    "ad ads adv advert advertisement adverts banner sponsor sponsored promo cookie cookies consent gdpr notice notices alert popup "
+    "modal newsletter subscribe comment comments respond replies disqus sidebar side widget menu nav navbar navigation breadcrumb "
+    "breadcrumbs footer masthead topbar toolbar share sharing social related recommended login search"
 )
-COMMENTS = re.compile(r"(?<!has-)(?<!with-)(?<!no-)\b(?:comment|respond\b|replies\b|disqus\b)")
+# what may stand beside such a word where it names the whole element
+BESIDE = (
+    "area articles author bar block body bottom box button buttons container content form group header holder icons inner item "
+    "items left link links list main media more new outer panel pane post posts primary right section signup site slot small "
+    "stories story text thread title top unit wrap wrapper"
+)
+NAMES = re.compile(rf"(?:^|[\s_-])(?:{'|'.join(WORDS.split())})(?:$|[\s_-])")
+WHOLE_NAMES = re.compile(
+    rf"(?:^|\s)(?:(?:{'|'.join(BESIDE.split())}|\d+)[_-])*(?:{'|'.join(WORDS.split())})"
+    rf"(?:[_-](?:{'|'.join((WORDS + ' ' + BESIDE).split())}|\d+))*(?:$|\s)"
+)
+COMMENTS = re.compile(r"(?<!has-)(?<!with-)(?<!no-)\b(?:comments?(?:area|body|form|list|section|s)?|respond|replies|disqus)(?:\b|_)")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
+CLOSES = {tag: {held for held, by in CLOSED_BY.items() if tag in by} for tag in BREAKS}
 KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2.0)
 KERNEL /= KERNEL.sum()
 
@@ -59,6 +73,7 @@ class PageLines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, int]] = []  # tag, left out, region, level
+        self.held: Counter[str] = Counter()  # open elements by tag
         self.whole: dict[int, int] = {}  # level of each whole region
         self.regions = 0
         self.lines: list[tuple[list[tuple[int, str]], int, int]] = []
@@ -77,14 +92,17 @@ class PageLines(HTMLParser):
         out, region, level = self._state()
         named = {k: (v or "").lower() for k, v in attrs}
         called = f"{named.get('class', '')} {named.get('id', '')}"
-        if tag in SILENT or tag in LEFT_OUT or (tag == "header" and region not in self.whole):
+        inside = region in self.whole
+        if tag in SILENT or tag in LEFT_OUT or (tag in OUTSIDE_LEFT_OUT and not inside):
             out = True
         elif tag not in ("html", "body") and tag not in WHOLE:
-            if named.get("role") in ROLES or (NAMES.search(called) and COMMENTS.search(called)):
+            # within an article a name counts only where all of it is one of boilerplate
+            boilerplate = (WHOLE_NAMES if inside else NAMES).search(called)
+            if named.get("role") in ROLES or (boilerplate and COMMENTS.search(called)):
                 out = True
-            elif tag == "form" or named.get("role") == "form" or NAMES.search(called):
+            elif tag == "form" or named.get("role") == "form" or boilerplate:
                 level += 1
-        elif tag in WHOLE and re.search(r"\bcomment", called):
+        elif tag in WHOLE and COMMENTS.search(called):
             out = True
         if "hidden" in named or named.get("aria-hidden") == "true":
             out = True
@@ -94,18 +112,25 @@ class PageLines(HTMLParser):
             if tag in WHOLE:
                 self.whole[region] = level
         self.open.append((tag, out, region, level))
+        self.held[tag] += 1
+
+    def _close_from(self, i: int) -> None:
+        for tag, *_ in self.open[i:]:
+            self.held[tag] -= 1
+        del self.open[i:]
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag in BREAKS:
             self._break()
-            for i in range(len(self.open) - 1, -1, -1):
-                held = self.open[i][0]
-                if tag in CLOSED_BY.get(held, ()):
-                    del self.open[i:]
-                    break
-                if held in BREAKS:
-                    break
+            if any(self.held[held] for held in CLOSES.get(tag, ())):
+                for i in range(len(self.open) - 1, -1, -1):
+                    held = self.open[i][0]
+                    if held in CLOSES[tag]:
+                        self._close_from(i)
+                        break
+                    if held in BREAKS:
+                        break
         if tag in VOID:
             self.pieces.append((0, " "))
         else:
@@ -118,10 +143,11 @@ class PageLines(HTMLParser):
         self.tags += 1
         if tag in BREAKS:
             self._break()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                break
+        if self.held[tag]:  # a stray end tag does not look through all that is open
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] == tag:
+                    self._close_from(i)
+                    break
 
     def handle_data(self, data):
         out, _, level = self._state()

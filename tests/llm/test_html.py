@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from stockledger.llm import queries
 from stockledger.llm.html import extract_main_text, main_text
@@ -62,3 +63,27 @@ def test_edges(spark):
     got = {(r.page_id, r.n_chars) for r in extract_main_text(pages).collect()}
     assert {(1, 0), (2, 0), (3, 0), (None, 10), (4, 4 * 20000 + 2 * 19999)} <= got
     assert extract_main_text(pages.limit(0)).collect() == []
+
+
+def test_names_that_only_resemble_boilerplate():
+    assert main_text(f'<body><nav>x</nav><article class="commentary">{BODY}</article></body>') == WANT
+    for opened, closed in (
+        ('<section class="related-work">', "</section>"),
+        ('<div class="social-policy">', "</div>"),
+        ('<div class="login-news" id="search-results-explained">', "</div>"),
+        ("<fieldset>", "</fieldset>"),
+    ):
+        assert main_text(f"<body><article><p>{PARAGRAPHS[0]}</p>{opened}{BODY}{closed}</article></body>") == f"{PARAGRAPHS[0]}\n\n{WANT}"
+    for name in ("related-posts", "social", "share-buttons", "comment-list", "ad-box-2", "cookie-notice", "commentlist comments"):
+        assert main_text(f'<body><article>{BODY}<div class="{name}"><p>Something else that is as long as a paragraph of the text.</p></div></article></body>') == WANT
+
+
+def test_hostile_nesting_takes_time_in_proportion():
+    def seconds(page):
+        start = time.process_time()
+        main_text(page)
+        return time.process_time() - start
+
+    for made in (lambda n: "<b>" * n + "</i>" * n, lambda n: "<i>" * n + "x<br>" * n, lambda n: "<div>" * n + "</p></span>" * n):
+        small, large = min(seconds(made(4000)) for _ in range(3)), min(seconds(made(16000)) for _ in range(3))
+        assert large < 10 * small + 0.05
