@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import materialize
@@ -46,8 +46,8 @@ MORE = (
 QUICK = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 
 
-def _spans(text: Column, kind: Kind, order: int) -> Column:
-    """An array of (order, kind, start, end, value) of one kind's matches in `text`."""
+def _parts(text: Column, kind: Kind, order: int) -> Column:
+    """An array of (order, kind, nth, gap, length, value) of one kind's matches: `gap` is what lies before it since the last one."""
     pattern = QUICK.get(kind.name, kind.pattern)
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = matches if kind.group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(kind.group))
@@ -55,31 +55,39 @@ def _spans(text: Column, kind: Kind, order: int) -> Column:
         F.slice(pieces, 1, F.size(matches)), F.arrays_zip(matches.alias("m"), values.alias("v")),
         lambda piece, found: F.struct(F.length(piece).alias("gap"), F.length(found["m"]).alias("n"), found["v"].alias("v")),
     )
-    empty = F.array().cast("array<struct<kind_order:int,kind:string,start:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    listed = F.transform(
+        parts,
+        lambda part, nth: F.struct(
+            F.lit(order).alias("kind_order"), F.lit(kind.name).alias("kind"), nth.alias("nth"),
+            part["gap"].alias("gap"), part["n"].alias("n"), part["v"].alias("value"),
+        ),
+    )
+    return F.when(text.rlike(pattern), listed).otherwise(F.array().cast(PARTS))
 
-    def step(done: Column, part: Column) -> Column:
-        begin = done["at"] + part["gap"]
-        span = F.struct(
-            F.lit(order).alias("kind_order"), F.lit(kind.name).alias("kind"),
-            begin.alias("start"), (begin + part["n"]).alias("end"), part["v"].alias("value"),
-        )
-        return F.struct((begin + part["n"]).alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    found = F.aggregate(parts, start, step, lambda done: done["spans"])
-    kept = F.filter(found, lambda s: F.length(s["value"]) >= kind.shortest)
-    return F.when(text.rlike(pattern), kept).otherwise(empty)
+PARTS = "array<struct<kind_order:int,kind:string,nth:int,gap:int,n:int,value:string>>"
 
 
 def candidate_spans(docs: DataFrame, kinds=BASE + MORE, id_col="doc_id", text_col="text", owner_col="source") -> DataFrame:
-    """`doc_id`, `row_key`, `owner`, `kind_order`, `kind`, `start`, `end`, `value_hash` of every candidate."""
-    each = [_spans(F.col(text_col), k, i) for i, k in enumerate(kinds)]
-    return docs.select(
+    """`doc_id`, `row_key`, `owner`, `kind_order`, `kind`, `start`, `end`, `value_hash` of every candidate.
+
+    A match ends where the gaps and lengths up to it do, a running sum over the matches of its text and kind.
+    """
+    each = [_parts(F.col(text_col), k, i) for i, k in enumerate(kinds)]
+    shortest = F.create_map(*[x for k in kinds for x in (F.lit(k.name), F.lit(k.shortest))])
+    upto = Window.partitionBy("row", "kind_order").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    matches = docs.select(
         F.col(id_col).alias("doc_id"),
         row_hash(id_col, text_col).alias("row_key"),
         F.col(owner_col).alias("owner"),
-        F.explode(F.concat(*each)).alias("s"),
-    ).select("doc_id", "row_key", "owner", "s.kind_order", "s.kind", "s.start", "s.end", F.xxhash64("s.value").alias("value_hash"))
+        F.monotonically_increasing_id().alias("row"),
+        F.concat(*each).alias("parts"),
+    )
+    matches = matches.select("doc_id", "row_key", "owner", "row", F.explode("parts").alias("s")).select("doc_id", "row_key", "owner", "row", "s.*")
+    ended = matches.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto).cast("int"))
+    return ended.where(F.length("value") >= shortest[F.col("kind")]).select(
+        "doc_id", "row_key", "owner", "kind_order", "kind", (F.col("end") - F.col("n")).alias("start"), "end", F.xxhash64("value").alias("value_hash")
+    )
 
 
 def ownership(candidates: DataFrame, live_owners: int = 1) -> DataFrame:

@@ -3,7 +3,7 @@
 Records are ordered by a key: the hash of their text, so equal texts lie together, then a hash of
 the whole row. Splitters come from a sample drawn with probability proportional to size; ranges
 that turn out overfull, such as one text with many copies, are subdivided on the second part of
-the key. Exact sizes of all ranges then decide which neighbouring ranges make up a shard.
+the key and on the number of a row among its equals. Exact sizes of all ranges then decide which neighbouring ranges make up a shard.
 
 NULL text has no bytes and checksum 0; NULL ids and repeated rows are rows like any other, an
 empty table gives an empty result, and extra columns are ignored.
@@ -42,8 +42,10 @@ def shard_by_bytes(
             F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
             row_hash(text).alias("_key"),
             row_hash(id_col, text).alias("_tie"),
+            F.spark_partition_id().alias("_part"),
         )
     )
+    records = _numbered(records)
     total = records.agg(F.sum("size")).first()[0] or 0
     ranges = shards * ranges_per_shard
     ranged = _with_range(records, _splitters(records, total, ranges, ranges * sample_per_range))
@@ -52,7 +54,7 @@ def shard_by_bytes(
     # one row per range, and their number is a parameter; so is that of the units below, give or take the pieces
     pieces = full.select("_range", F.ceil(F.col("_bytes") / (2 * fair)).alias("_pieces"))
     units = ranged.join(F.broadcast(pieces), "_range").withColumn(
-        "_piece", F.when(F.col("_pieces") > 1, F.pmod("_tie", F.col("_pieces"))).otherwise(F.lit(0))
+        "_piece", F.when(F.col("_pieces") > 1, F.pmod(F.xxhash64("_tie") + F.col("_equal"), F.col("_pieces"))).otherwise(F.lit(0))
     )
     in_order = Window.orderBy("_range", "_piece").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
@@ -68,7 +70,7 @@ def shard_by_bytes(
     first = placed.select(
         "_range", "_piece", "shard", F.coalesce(F.sum("_rows").over(in_shard), F.lit(0)).alias("_first")
     )
-    in_unit = Window.partitionBy("_range", "_piece").orderBy("_key", "_tie", "doc_id")
+    in_unit = Window.partitionBy("_range", "_piece").orderBy("_key", "_tie", "_equal")
     return (
         units.withColumn("_nth", F.row_number().over(in_unit))
         .join(F.broadcast(first), ["_range", "_piece"])
@@ -84,6 +86,24 @@ def shard_by_bytes(
     )
 
 
+def _numbered(records: DataFrame) -> DataFrame:
+    """Adds `_equal`, the number of a row among its equals, which the rows of a partition have in a row.
+
+    Equal rows have one hash, so only their numbers can divide them; no task gets more of them than
+    one partition holds.
+    """
+    parts = records.groupBy("_tie", "_part").agg(F.count(F.lit(1)).alias("_many"))
+    earlier = Window.partitionBy("_tie").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("_tie", "_part", F.coalesce(F.sum("_many").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_tie", "_part").orderBy("_key")
+    return (
+        records.withColumn("_nth", F.row_number().over(within))
+        .join(before, ["_tie", "_part"])
+        .withColumn("_equal", F.col("_before") + F.col("_nth") - 1)
+        .drop("_part", "_before", "_nth")
+    )
+
+
 def _splitters(records: DataFrame, total: int, ranges: int, sample: int) -> list[int]:
     """At most `ranges` - 1 keys that cut the bytes of a sample into equal parts.
 

@@ -3,14 +3,15 @@
 Candidates are packed into groups of bounded size, queries into chunks, and every chunk meets
 every group. Within a group each dimension is a sorted list. For a query the lists are read
 sequentially and in parallel, from the end that the query's weight favours. What has been read
-gives each candidate a lower and an upper bound: dimensions not yet read lie between the list's
-last entry and the next one. Reading stops when few candidates have an upper bound that reaches the
-k-th best lower bound or, once known, the k-th best score of earlier lists; their final scores are
+gives each candidate a lower and an upper bound: a dimension not yet read lies between the list's
+last entry and the next one, and all of them together are at most the product of the lengths of
+what is unread of both vectors. Reading stops when few candidates have an upper bound that reaches the
+k-th best lower bound or, once known, the k-th best score of earlier lists; only their final scores are
 then resolved. Ties are never cut off, so the smaller id wins them.
 
 Vectors that are NULL or hold NULL or non-finite components, and rows without id, take no part;
-vectors of other lengths than the query's are not compared with it. Rows that share the query's id
-are its own. Repeated rows are candidates of their own. Scores must fit 53 bits.
+vectors of other lengths than the query's are not compared with it. Each query row has its own result;
+rows that share its id are its own. Repeated rows are candidates of their own. Scores must fit 53 bits.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ ship(__name__)
 GROUP_ROWS = 32768
 LIST_ROWS = 2048
 QUERY_ROWS = 256
+# shares of the lists after which bounds are compared
+STOPS = (1 / 8, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8)
 
 
 def _pack(rows: pa.Table) -> pa.Table:
@@ -44,6 +47,7 @@ def _pack(rows: pa.Table) -> pa.Table:
             "dim": pa.array([rows["dim"][0].as_py()], pa.int32()),
             "part": pa.array([rows["part"][0].as_py()], pa.int64()),
             "ids": pa.array([ids[order].astype(np.int64).tobytes()], pa.binary()),
+            "rows": pa.array([rows["row"].to_numpy()[order].astype(np.int64).tobytes()], pa.binary()),
             "matrix": pa.array([matrix[order].astype(small).tobytes()], pa.binary()),
             "wide": pa.array([small is np.int64], pa.bool_()),
         }
@@ -62,37 +66,42 @@ class SortedLists:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors.T, axis=1, kind="stable")
         self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        self.squares = (vectors * vectors).T
 
     def candidates(self, query: np.ndarray, k: int, floor: float) -> np.ndarray:
         """Positions that may be among the k best, given that k scores of `floor` are known."""
         n, used = len(self.ids), np.flatnonzero(query)
         if n <= 2 * k or not len(used):
             return np.arange(n)
-        up = (query[used] > 0)[:, None]
+        weights = query[used]
+        up = (weights > 0)[:, None]
         order = np.where(up, self.order[used][:, ::-1], self.order[used])
-        parts = np.where(up, self.values[used][:, ::-1], self.values[used]) * query[used][:, None]
+        parts = np.where(up, self.values[used][:, ::-1], self.values[used]) * weights[:, None]
         last, sums, depth = parts[:, -1], np.zeros(n), 0
-        for step in (16, 8, 4, 2):
-            stop = n // step
-            fresh = order[:, depth:stop].ravel()
-            sums += np.bincount(fresh, parts[:, depth:stop].ravel(), n)
+        unread = np.ones((len(used), n))
+        alive = np.arange(n)
+        for share in STOPS:
+            stop = int(n * share)
+            sums += np.bincount(order[:, depth:stop].ravel(), parts[:, depth:stop].ravel(), n)
+            np.put_along_axis(unread, order[:, depth:stop], 0.0, axis=1)
             depth = stop
-            read = order[:, :depth].ravel()
-            following = parts[:, depth]
-            upper = sums + (following.sum() - np.bincount(read, np.repeat(following, depth), n))
+            # the product of what is unread is at most that of the lengths; a little more for rounding
+            rest = np.sqrt((weights * weights) @ unread * np.einsum("ij,ij->j", self.squares[used], unread)) * (1 + 1e-9)
+            upper = sums + np.minimum(parts[:, depth] @ unread, rest)
+            best = floor
             if floor == -np.inf:  # scores known from earlier lists are seldom below these
-                lower = sums + (last.sum() - np.bincount(read, np.repeat(last, depth), n))
-                alive = np.flatnonzero(upper >= np.partition(lower, n - k)[n - k])
-            else:
-                alive = np.flatnonzero(upper >= floor)
-            if len(alive) <= max(4 * k, n // 4):
-                return alive
+                lower = sums + np.maximum(last @ unread, -rest)
+                best = np.partition(lower, n - k)[n - k]
+            alive = np.flatnonzero(upper >= best)
+            if len(alive) <= max(4 * k, n // 64):
+                break
         return alive
 
 
-def _top_of_group(query_ids, queries, ids, vectors, k: int):
+def _top_of_group(asking, query_ids, queries, ids, vectors, k: int):
+    """(query row, query id, id, score) of the k best of a group for each query."""
     lists = [SortedLists(ids[a : a + LIST_ROWS], vectors[a : a + LIST_ROWS]) for a in range(0, len(ids), LIST_ROWS)]
-    for own, query in zip(query_ids, queries):
+    for row, own, query in zip(asking, query_ids, queries):
         best: list[tuple[float, int]] = []  # scores with negated ids, the worst first
         for part in lists:
             # the query's own rows may be among the best
@@ -108,7 +117,7 @@ def _top_of_group(query_ids, queries, ids, vectors, k: int):
                 elif entry > best[0]:
                     heapq.heapreplace(best, entry)
         for score, i in best:
-            yield int(own), -i, int(score)
+            yield int(row), int(own), -i, int(score)
 
 
 def exact_top_k(
@@ -133,36 +142,37 @@ def exact_top_k(
             whole.alias("v"),
             F.size(x).alias("dim"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     many, asking = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1))).first()
     groups, chunks = -(-many // GROUP_ROWS) or 1, -(-asking // QUERY_ROWS) or 1
 
     def packed(of: DataFrame, parts: int) -> DataFrame:
-        # the row's content is hashed as well, for ids that repeat
-        dealt = of.select("dim", F.pmod(F.xxhash64("id", "v"), F.lit(parts)).alias("part"), "id", "v")
-        return dealt.groupBy("dim", "part").applyInArrow(_pack, "dim int, part long, ids binary, matrix binary, wide boolean")
+        # the row's number is hashed as well, for rows that repeat
+        dealt = of.select("dim", F.pmod(F.xxhash64("id", "v", "row"), F.lit(parts)).alias("part"), "id", "v", "row")
+        return dealt.groupBy("dim", "part").applyInArrow(_pack, "dim int, part long, ids binary, rows binary, matrix binary, wide boolean")
 
-    asked = packed(rows.where("asks"), chunks).select("dim", F.col("part").alias("chunk"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "matrix", "wide")])
-    held = packed(rows, groups).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    asked = packed(rows.where("asks"), chunks).select("dim", F.col("part").alias("chunk"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "rows", "matrix", "wide")])
+    held = packed(rows, groups).drop("rows").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
     spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = held.repartition(max(spread, min(groups * chunks, 4096)), "dim", "part", "chunk").join(asked.hint("shuffle_hash"), ["dim", "chunk"])
 
     def search(batches):
         for batch in batches:
             for r in batch.to_pylist():
+                asking = np.frombuffer(r["q_rows"], np.int64)
                 if r["dim"] == 0:
-                    ids, matrix = np.frombuffer(r["ids"], np.int64), None
-                    q_ids = np.frombuffer(r["q_ids"], np.int64)
-                    found = [(int(q), int(i), 0) for q in q_ids for i in [x for x in ids if x != q][:k]]
+                    ids, q_ids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
+                    found = [(int(a), int(q), int(i), 0) for a, q in zip(asking, q_ids) for i in [x for x in ids if x != q][:k]]
                 else:
                     ids, matrix = _unpack(r["ids"], r["matrix"], r["wide"], r["dim"])
                     q_ids, queries = _unpack(r["q_ids"], r["q_matrix"], r["q_wide"], r["dim"])
-                    found = list(_top_of_group(q_ids, queries, ids, matrix, k))
+                    found = list(_top_of_group(asking, q_ids, queries, ids, matrix, k))
                 yield pa.RecordBatch.from_pandas(
-                    pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64"), preserve_index=False
+                    pd.DataFrame(found, columns=["asking", "query_id", "vec_id", "score"]).astype("int64"), preserve_index=False
                 )
 
-    best = met.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = met.mapInArrow(search, "asking long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("asking").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

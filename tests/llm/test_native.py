@@ -51,6 +51,17 @@ def test_sharding_is_even_with_one_hot_text(spark):
     assert rows and sorted(rows) == sorted(sharding.shard_by_bytes(docs.repartition(5)).collect())
 
 
+def test_sharding_is_even_with_equal_rows(spark):
+    docs = spark.range(30000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot text").otherwise(F.concat(F.lit("t"), "id")).alias("text")
+    )
+    rows = sharding.shard_by_bytes(docs.repartition(7)).collect()
+    sizes = check_shards(rows, 24)
+    mean = sum(sizes.values()) / 24
+    assert len(rows) == 30000 and max(sizes.values()) < 1.02 * mean and min(sizes.values()) > 0.98 * mean
+    assert sorted(map(str, rows)) == sorted(map(str, sharding.shard_by_bytes(docs.repartition(3)).collect()))
+
+
 def test_sharding_edges(edge_docs, no_docs):
     rows = sharding.shard_by_bytes(edge_docs, shards=3).collect()
     assert len(rows) == len(EDGE_ROWS)
@@ -155,6 +166,15 @@ def test_secrets_edges(spark, edge_docs, no_docs):
     check_secrets(enumerate(texts), secrets.scan_secrets(docs).collect())
 
 
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"{i:016x} token={i:012}x" for i in range(30000))
+    docs = spark.createDataFrame([(1, text, "a"), (1, text, "a"), (2, "é 0123456789abcdef", None)], "doc_id long, text string, source string")
+    got = sorted(secrets.scan_secrets(docs).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_assign, r.n_hex) for r in got] == [(30000, 30000)] * 2 + [(0, 1)]
+    ends = [int(s.split(":")[2]) for s in got[0].spans.split(",")]
+    assert max(ends) == len(text) and got[2].spans == "hex:2:18"
+
+
 def test_examples_are_told_from_live_values(spark):
     key = "sk-" + "a1B2" * 8
     shared = "sk-" + "z9Y8" * 8
@@ -171,7 +191,30 @@ def brute_top(vectors, is_query, k):
         if is_query(q):
             found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q and len(b) == len(a))
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found[:k])]
-    return sorted(set(out))
+    return sorted(out)
+
+
+def test_top_k_of_repeated_rows(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    rows += [rows[0], rows[0], rows[7], (0, rows[3][1])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.exact_top_k(docs, F.pmod("vec_id", F.lit(50)) == 0).collect()
+    assert sorted(tuple(r) for r in got) == brute_top(rows, lambda q: q % 50 == 0, 5)
+    assert [r.rank for r in got if r.query_id == 0 and r.rank == 1] == [1] * 4
+
+
+def test_top_k_bounds_leave_few_scores_to_resolve():
+    import pyarrow.parquet as pq
+
+    vectors = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist())
+    lists = topk.SortedLists(np.arange(len(vectors)), np.floor(256 * vectors))
+    shares = []
+    for query in lists.vectors[::50]:
+        scores = lists.vectors @ query
+        found = lists.candidates(query, 6, -np.inf)
+        assert set(np.argsort(-scores, kind="stable")[:6]) <= set(found)
+        shares.append(len(found) / len(vectors))
+    assert np.mean(shares) < 0.1
 
 
 def test_top_k(spark):
