@@ -32,8 +32,10 @@ ship(__name__)
 GROUP_ROWS = 32768
 LIST_ROWS = 2048
 QUERY_ROWS = 256
+# beyond what a root and a product in single precision can be off
+ROUNDING = 1e-5
 # shares of the lists after which bounds are compared
-STOPS = (1 / 8, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8)
+STOPS = (1 / 2, 5 / 8, 3 / 4, 7 / 8)
 
 
 def _pack(rows: pa.Table) -> pa.Table:
@@ -60,40 +62,45 @@ def _unpack(ids: bytes, matrix: bytes, wide: bool, dim: int) -> tuple[np.ndarray
 
 
 class SortedLists:
-    """A slice of a group with one sorted list per dimension."""
+    """A slice of a group with one sorted list per dimension, and each candidate's place in it."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors.T, axis=1, kind="stable")
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
-        self.squares = (vectors * vectors).T
+        # whole numbers of sums of squares below 2**24 are exact in single precision
+        single = np.abs(vectors).max(initial=0) ** 2 * vectors.shape[1] < 1 << 24
+        self.turned = np.ascontiguousarray(vectors.T, np.float32 if single else np.float64)
+        order = np.argsort(self.turned, axis=1, kind="stable")
+        self.values = np.take_along_axis(self.turned, order, axis=1)
+        self.places = np.empty(order.shape, np.uint16 if len(ids) <= 1 << 16 else np.int64)
+        np.put_along_axis(self.places, order, np.arange(len(ids), dtype=self.places.dtype)[None], axis=1)
+        self.lengths = np.einsum("dn,dn->n", self.turned, self.turned)
 
     def candidates(self, query: np.ndarray, k: int, floor: float) -> np.ndarray:
         """Positions that may be among the k best, given that k scores of `floor` are known."""
-        n, used = len(self.ids), np.flatnonzero(query)
-        if n <= 2 * k or not len(used):
-            return np.arange(n)
-        weights = query[used]
-        up = (weights > 0)[:, None]
-        order = np.where(up, self.order[used][:, ::-1], self.order[used])
-        parts = np.where(up, self.values[used][:, ::-1], self.values[used]) * weights[:, None]
-        last, sums, depth = parts[:, -1], np.zeros(n), 0
-        unread = np.ones((len(used), n))
-        alive = np.arange(n)
+        n, alive, kind = len(self.ids), np.arange(len(self.ids)), self.turned.dtype
+        if n <= 2 * k or not query.any():
+            return alive
+        if np.abs(query).max() ** 2 * len(query) >= 1 << 24:
+            kind = np.dtype(np.float64)
+        query = query.astype(kind)
+        falling = query > 0  # these lists are read from their largest value down
+        last = np.where(falling, self.values[:, 0], self.values[:, -1]) * query
         for share in STOPS:
-            stop = int(n * share)
-            sums += np.bincount(order[:, depth:stop].ravel(), parts[:, depth:stop].ravel(), n)
-            np.put_along_axis(unread, order[:, depth:stop], 0.0, axis=1)
-            depth = stop
+            depth = int(n * share)
+            read = np.where(falling[:, None], self.places >= n - depth, self.places < depth).astype(kind)
+            following = np.where(falling, self.values[:, n - depth - 1], self.values[:, depth]) * query
+            seen = self.turned * read
+            sums = query @ seen
+            bounds = np.stack([query * query, following, last])
+            weight, highest, lowest = bounds.sum(axis=1)[:, None] - bounds @ read  # of what each has unread
             # the product of what is unread is at most that of the lengths; a little more for rounding
-            rest = np.sqrt((weights * weights) @ unread * np.einsum("ij,ij->j", self.squares[used], unread)) * (1 + 1e-9)
-            upper = sums + np.minimum(parts[:, depth] @ unread, rest)
+            rest = np.sqrt(weight * (self.lengths - np.einsum("dn,dn->n", seen, seen))) * (1 + ROUNDING)
+            upper = sums + np.minimum(highest, rest)
             best = floor
             if floor == -np.inf:  # scores known from earlier lists are seldom below these
-                lower = sums + np.maximum(last @ unread, -rest)
-                best = np.partition(lower, n - k)[n - k]
+                best = np.partition(sums + np.maximum(lowest, -rest), n - k)[n - k]
             alive = np.flatnonzero(upper >= best)
-            if len(alive) <= max(4 * k, n // 64):
+            if len(alive) <= max(4 * k, n // 10):
                 break
         return alive
 
