@@ -42,7 +42,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_words(table(spark, sf_dir, "documents"))
+    return mixing.mixed_words(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, dim=64)
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, dim=64).drop("n_scans")
 
 
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,5 +129,78 @@ def all_queries() -> dict[str, Query]:
     }
 
 
+SHINGLES = r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents),
+    words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM texts),
+    grams AS (
+        SELECT doc_id, i, lead(x, 3) OVER o AS fourth,
+               x || COALESCE(' ' || lead(x, 1) OVER o, '') || COALESCE(' ' || lead(x, 2) OVER o, '')
+                 || COALESCE(' ' || lead(x, 3) OVER o, '') AS s
+        FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    sets AS (SELECT DISTINCT doc_id, s FROM grams WHERE fourth IS NOT NULL OR i = 1),
+    sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n
+        FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT c.a, c.b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id
+        WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT d.doc_id, COALESCE(ANY_VALUE(x.n), 0) AS n_shingles, MIN(r.b) AS component_id
+    FROM documents d JOIN reach r ON d.doc_id = r.a LEFT JOIN sizes x ON d.doc_id = x.doc_id GROUP BY d.doc_id"""
+
+WHOLE_VECTORS = """
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
+
+TOP = f"""
+    WITH vectors AS ({WHOLE_VECTORS}),
+    scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
+    SELECT query_id, CAST(place AS INT) AS rank, vec_id, score FROM ranked WHERE place <= 5"""
+
+
+def _clusters_sql(clusters: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Plain rounds over all distances, one block of SQL for each."""
+
+    def nearest(nth: int) -> str:
+        return f"""near{nth} AS (
+        SELECT vec_id, d AS distance, cluster FROM (
+            SELECT vec_id, cluster, d, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS place FROM (
+                SELECT x.vec_id, c.cluster, SUM((x.v - c.v) * (x.v - c.v)) AS d
+                FROM x JOIN c{nth} c ON x.i = c.i GROUP BY ALL)) WHERE place = 1)"""
+
+    def moved(nth: int) -> str:
+        return f"""c{nth + 1} AS (
+        SELECT c.cluster, c.i, COALESCE(m.v, c.v) AS v FROM c{nth} c LEFT JOIN (
+            SELECT n.cluster, x.i, CAST(floor(CAST(SUM(x.v) AS DOUBLE) / COUNT(*)) AS BIGINT) AS v
+            FROM near{nth} n JOIN x ON n.vec_id = x.vec_id GROUP BY ALL) m ON c.cluster = m.cluster AND c.i = m.i)"""
+
+    blocks = [
+        f"kept AS (SELECT * FROM ({WHOLE_VECTORS}) WHERE len(v) = {dim})",
+        f"x AS (SELECT vec_id, i, CAST(v[i] AS BIGINT) AS v FROM kept, range(1, {dim + 1}) AS r(i))",
+        f"""starts AS (
+        SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS cluster FROM kept)""",
+        f"c0 AS (SELECT cluster, i, v FROM starts JOIN x ON starts.vec_id = x.vec_id WHERE cluster < {clusters})",
+    ]
+    for nth in range(rounds):
+        blocks += [nearest(nth), moved(nth)]
+    blocks.append(nearest(rounds))
+    blocks.append(
+        f"named AS (SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS digest FROM c{rounds} GROUP BY cluster)"
+    )
+    return "WITH " + ",\n    ".join(blocks) + f"""
+    SELECT vec_id, CAST(n.cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+           CAST(SUM(distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+           CAST(SUM(distance) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+    FROM near{rounds} n JOIN named ON n.cluster = named.cluster"""
+
+
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_join": SHINGLES, "op2_exact_top_k": TOP, "op11_centroid_clustering": _clusters_sql()}
