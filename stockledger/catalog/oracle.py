@@ -23,9 +23,31 @@ def _in(values: list[str]) -> str:
     return "(" + ", ".join(_text(v) for v in values) + ")"
 
 
-_VOUCHERS = ", ".join(
-    f"({i}, {_text(v)}, {_text(f)}, {s}, CAST({_text(m)} AS INT))" for i, (v, f, s, m) in enumerate(vocab.VOUCHERS)
-)
+# fixed values, written out here so that a wrong sign of the operators does not pass: place, voucher, family, sign, monthly sign
+_VOUCHERS = """
+    (0, 'RMC - REGISTRO DE COMPRA FARMACIA', 'purchases', 1, CAST(NULL AS INT)),
+    (1, 'DC - DEVOLUCION DE COMPRA', 'purchases', -1, CAST(NULL AS INT)),
+    (2, 'EDO - ENTRADAS DONACIONES', 'purchases', 1, CAST(NULL AS INT)),
+    (3, 'EAP - ENTRADAS POR APROVECHAMIENTO', 'purchases', 1, CAST(NULL AS INT)),
+    (4, 'MIA - MOVIMIENTO INICIAL', 'initial', 1, CAST(NULL AS INT)),
+    (5, 'MIS - MOVIMIENTO INICIAL DE SALIDA', 'initial', -1, CAST(NULL AS INT)),
+    (6, 'EAS - ENTRADAS AJUSTES SOBRANTES', 'adjustments', 1, CAST(NULL AS INT)),
+    (7, 'SAF - SALIDAS AJUSTES FALTANTES', 'adjustments', -1, CAST(NULL AS INT)),
+    (8, 'EASC - ENTRADAS AJUSTES SOBRANTES CONTEO', 'adjustments', 1, CAST(NULL AS INT)),
+    (9, 'SAFC - SALIDAS AJUSTES FALTANTES CONTEO', 'adjustments', -1, CAST(NULL AS INT)),
+    (10, 'SPOE - SALIDAS POR PRESTAMOS A OTRAS ENTIDADES', 'lent', 1, CAST(NULL AS INT)),
+    (11, 'EDP - ENTRADAS POR DEVOLUCION A PRESTAMOS', 'lent', -1, CAST(NULL AS INT)),
+    (12, 'EPS - ENTRADAS PRESTAMOS SIIGO', 'lent', -1, CAST(NULL AS INT)),
+    (13, 'EPOE - ENTRADAS POR PRESTAMOS DE OTRAS ENTIDADES', 'borrowed', 1, CAST(NULL AS INT)),
+    (14, 'SDP - SALIDAS POR DEVOLUCION DE PRESTAMOS', 'borrowed', -1, CAST(NULL AS INT)),
+    (15, 'SPS - SALIDAS PRESTAMOS SIIGO', 'borrowed', -1, CAST(NULL AS INT)),
+    (16, 'ENTRADA POR TRASLADO', 'transfers', 1, CAST(NULL AS INT)),
+    (17, 'SALIDA POR TRASLADO', 'transfers', -1, CAST(NULL AS INT)),
+    (18, 'SDF - SISTEMA DISPENSACION FARMACIA', 'consumption', 1, 1),
+    (19, 'SADF - SISTEMA ANULACION DISPENSACION FARMACIA', 'consumption', -1, -1),
+    (20, 'SIN - SALIDAS INTERNAS FARMACIA', 'consumption', 1, 1),
+    (21, 'SIA - SALIDAS INTERNAS ALMACEN', 'consumption', -1, 1),
+    (22, 'EIS - ENTRADAS INTERNAS SIMA', 'consumption', -1, -1)"""
 _CENTS = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
 _UNIT = "CAST(0.0001 AS DECIMAL(5,4))"
 _PERCENT = "(55 + (l_partkey % 12) * 10)"

@@ -133,11 +133,16 @@ def _known_entities(entities: DataFrame) -> DataFrame:
 
 
 def flag_entities(df: DataFrame, entities: DataFrame) -> DataFrame:
-    """Adds whether the doctor is an external entity; NULL for a NULL doctor."""
-    same = (F.col("MedicoRealiza") == F.col("_entity")) & (split_key("MedicoRealiza") == F.col("_entity_split"))
-    joined = df.join(_known_entities(entities), same, "left")
+    """Adds whether the doctor is an external entity; NULL for a NULL doctor.
+
+    Rows without a doctor meet nobody, and are spread over texts that match nothing.
+    """
+    over = [c for c in ("NoDocumento", "Fecha", KEY, "idadmision") if c in df.columns] or df.columns
+    keyed = df.withColumn("_doctor", spread_null_key("MedicoRealiza", "doctor", over))
+    same = (F.col("_doctor") == F.col("_entity")) & (split_key("_doctor") == F.col("_entity_split"))
+    joined = keyed.join(_known_entities(entities), same, "left")
     flag = F.when(F.col("MedicoRealiza").isNotNull(), F.col("_entity").isNotNull())
-    return joined.withColumn(ENTITY, flag).drop("_entity", "_entity_split")
+    return joined.withColumn(ENTITY, flag).drop("_entity", "_entity_split", "_doctor")
 
 
 def corrected_service(df: DataFrame, entities: DataFrame) -> DataFrame:

@@ -134,3 +134,18 @@ def test_shared_facts_are_read_once_and_give_the_same_datasets(spark):
             assert df.columns == plain[name].columns and "lineitem.parquet" not in plan(df)
         totals = [rows_of(consumption.control_totals(x)) for x in (shared, plain)]
         assert totals[0] == totals[1]
+
+
+def test_lines_without_a_doctor_do_not_share_a_partition(eager_to_split):
+    spark = eager_to_split
+    lines = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") % 5 > 1, F.concat(F.lit("d"), F.col("id").cast("string"))).alias("MedicoRealiza"),
+        F.col("id").cast("string").alias("NoDocumento"),
+    )
+    entities = spark.createDataFrame([("d3",), ("d7",)], "entidad string")
+    flagged = consumption.flag_entities(lines, entities)
+    assert flagged.columns == [*lines.columns, consumption.ENTITY]
+    assert rows_of(flagged.groupBy(consumption.ENTITY).count()) == [(None, 16000), (False, 23998), (True, 2)]
+    spread = lines.select(spread_null_key("MedicoRealiza", "doctor", ["NoDocumento"]).alias("k")).repartition(8, "k")
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1.5 * min(sizes)
