@@ -29,7 +29,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import materialize, shared_folder
@@ -261,8 +261,7 @@ def _described(blocks: DataFrame, state: DataFrame, centroids: np.ndarray) -> Da
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
     names = found.sparkSession.createDataFrame(list(enumerate(digests)), "cluster int, centroid_sha256 string")
     sums = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    whole = sums.agg(F.sum("cluster_inertia").alias("inertia"))
-    about = names.join(sums, "cluster").join(F.broadcast(whole))
+    about = names.join(sums.withColumn("inertia", F.sum("cluster_inertia").over(Window.partitionBy())), "cluster")
     return found.join(F.broadcast(about), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256", "n_scans"
     )
