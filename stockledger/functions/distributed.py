@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextvars import ContextVar
+from contextvars import ContextVar, Token
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,8 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """Owner of the tables written while it is entered; it deletes them when it is left.
 
-    What is read after that must have been written elsewhere or collected. Without an owner, tables
-    stay in the shared folder until that is cleared, as checkpoints do.
+    What is read after that must have been written elsewhere, with `keep`, or collected. Without an
+    owner, tables stay in the shared folder until that is cleared, as checkpoints do.
     """
 
     def __init__(self, spark: SparkSession):
@@ -46,6 +46,15 @@ class Scratch:
         self._token = _owner.set(self)
         return self
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Writes `df` as a table that outlives this owner; the one around it, if any, deletes it."""
+        around = self._token.old_value
+        token = _owner.set(None if around is Token.MISSING else around)
+        try:
+            return materialize(df)
+        finally:
+            _owner.reset(token)
+
     def __exit__(self, *_) -> None:
         _owner.reset(self._token)
         self.release()

@@ -140,3 +140,17 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
     with pytest.raises(ValueError):
         distributed.shared_folder(Session())
+
+
+def test_kept_tables_outlive_their_owner(spark, tmp_path):
+    written = []
+    with distributed.Scratch(spark) as outer:
+        with distributed.Scratch(spark) as inner:
+            gone, kept = distributed.materialize(spark.range(3)), inner.keep(spark.range(5))
+            written += [inner.paths[0], outer.paths[0]]
+        assert kept.count() == 5 and inner.paths == [] and outer.paths == written[1:]
+        with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+            gone.collect()
+    with distributed.Scratch(spark) as alone:
+        free = alone.keep(spark.range(7))
+    assert free.count() == 7 and outer.paths == []
