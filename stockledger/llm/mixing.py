@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockledger.functions.distributed import materialize
+from stockledger.functions.distributed import Scratch, materialize
 from stockledger.llm.common import WORD, row_hash, same
 
 WEIGHTS = (5, 2, 1)
@@ -188,7 +188,7 @@ class Mix:
         return spoken.unionByName(silent.select(*spoken.columns))
 
     def copies(self) -> DataFrame:
-        """How many copies of each whole document a mix of documents holds: `doc_id`, `row_key`, `copies`.
+        """How many copies of each whole document a mix of documents holds: `doc_id`, `row_key`, `source`, `copies`.
 
         A document goes with the block in which it begins, so a source's expected words are its
         target's. Without words it is in no block and stays once.
@@ -196,7 +196,7 @@ class Mix:
         return (
             self.rows.withColumn("block", F.floor(F.col("start") / F.lit(self.block_words)))
             .join(self.uses().hint("merge"), ["source_nth", "block"], "left")
-            .select("doc_id", "row_key", F.when(F.col("size") == 0, 1).otherwise(F.coalesce("uses", F.lit(0))).alias("copies"))
+            .select("doc_id", "row_key", "source", F.when(F.col("size") == 0, 1).otherwise(F.coalesce("uses", F.lit(0))).alias("copies"))
         )
 
 
@@ -206,14 +206,38 @@ def mixed_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents, whole, as often as the mix holds them; all columns are kept."""
-    mix = Mix(docs, **options)
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    # equal rows differ in their blocks at most: each of them then stands for the mean of its equals
-    often = mix.copies().groupBy("row_key").agg(F.ceil(F.avg("copies")).cast("int").alias("_copies")).where("_copies > 0")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_hash(id_col, text_col).alias("row_key"))
+    """The documents, whole, as often as the mix holds them; all columns are kept.
+
+    Equal rows (of one id, text and source) share the copies that the mix holds of all of them as
+    evenly as whole copies go, so sources have the words that their blocks give them.
+    """
+    id_col, text_col, source_col = (options.get(f"{c}_col", n) for c, n in (("id", "doc_id"), ("text", "text"), ("source", "source")))
+    with Scratch(docs.sparkSession) as scratch:
+        often = Mix(docs, **options).copies().groupBy(row_hash("row_key", "source").alias("_pick"))
+        often = scratch.keep(often.agg(F.count(F.lit(1)).alias("_rows"), F.sum("copies").alias("_copies")).where("_copies > 0"))
+        # a table of its own, so that Spark knows how few they are
+        several = scratch.keep(often.where("_rows > 1"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = docs.select(row, row_hash(row_hash(id_col, text_col), source_col).alias("_pick"))
+    single = keyed.join(often.where("_rows = 1"), "_pick").select("_row", "_copies")
+    equals = _share_out(keyed.join(several, "_pick"))
     return (
-        keyed.join(often, "row_key")
-        .select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
+        single.unionByName(equals)
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
         .select("_row.*")
     )
+
+
+def _share_out(rows: DataFrame) -> DataFrame:
+    """`_row` and its part of the `_copies` of its `_rows` equals; rows are numbered within their partition after those of earlier ones."""
+    rows = materialize(rows.withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()))
+    parts = rows.groupBy("_pick", "_part").agg(F.count(F.lit(1)).alias("_many"))
+    earlier = Window.partitionBy("_pick").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("_pick", "_part", F.coalesce(F.sum("_many").over(earlier), F.lit(0)).alias("_before"))
+    # numbers are found without the texts
+    inside = F.row_number().over(Window.partitionBy("_pick", "_part").orderBy("_id"))
+    nth = rows.select("_id", "_pick", "_part", "_rows", "_copies", inside.alias("_inside")).join(before, ["_pick", "_part"])
+    upto = F.col("_before") + F.col("_inside")
+    part = F.floor(upto * F.col("_copies") / F.col("_rows")) - F.floor((upto - 1) * F.col("_copies") / F.col("_rows"))
+    shared = nth.select("_id", part.cast("long").alias("_part_of")).where("_part_of > 0")
+    return rows.select("_id", "_row").join(shared, "_id").select("_row", F.col("_part_of").alias("_copies"))

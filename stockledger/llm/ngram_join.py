@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.distributed import materialize
+from stockledger.functions.distributed import Scratch, materialize
 from stockledger.llm.common import row_hash, ship
 from stockledger.llm.graph import connected_components
 
@@ -305,7 +305,8 @@ class NgramJoin:
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, with all its columns; equal rows stay once."""
-    kept = NgramJoin(docs, words, percent, id_col, text_col).representatives()
+    with Scratch(docs.sparkSession) as scratch:  # sets and signatures go once the choice is written
+        kept = scratch.keep(NgramJoin(docs, words, percent, id_col, text_col).representatives())
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_hash(id_col, text_col).alias("row_key"))
     return keyed.join(kept, "row_key").dropDuplicates(["row_key"]).select("_row.*")
 

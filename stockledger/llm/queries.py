@@ -202,5 +202,50 @@ def _clusters_sql(clusters: int = 40, rounds: int = 5, dim: int = 64) -> str:
     FROM near{rounds} n JOIN named ON n.cluster = named.cluster"""
 
 
+def _matches_sql(order: int, kind: secrets.Kind, pattern: str) -> str:
+    """The matches of one kind with the text before each since the last one."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+        SELECT r, source, {order} AS k, '{kind.name}' AS kind, unnest(m) AS m, unnest(v) AS v, unnest(p[1:len(m)]) AS gap,
+               generate_subscripts(m, 1) AS nth
+        FROM (SELECT r, source, regexp_extract_all(t, '{quoted}', 0) AS m, regexp_extract_all(t, '{quoted}', {kind.group}) AS v,
+                     string_split_regex(t, '{quoted}') AS p FROM docs) WHERE len(m) > 0"""
+
+
+# fixed values, written anew: the kinds' patterns by name
+SECRET_PATTERNS = {
+    "assign": r"""(?i:(password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+    "key_block": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    "web_token": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "prefixed": r"\b(?:gh[pousr]_[A-Za-z0-9]{20,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9-]{20,})",
+}
+
+
+def secrets_sql() -> str:
+    """Spans from the lengths of gaps and matches; kinds beyond the first three only for values of one owner."""
+    matches = " UNION ALL ".join(_matches_sql(i, k, SECRET_PATTERNS[k.name]) for i, k in enumerate(secrets.BASE + secrets.MORE))
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+        matches AS ({matches}),
+        placed AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, k ORDER BY nth) AS e FROM matches),
+        spans AS (SELECT *, e - length(m) AS s FROM placed
+                  WHERE length(v) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 WHEN 'hex' THEN 16 ELSE 1 END),
+        owned AS (SELECT kind, v, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) <= 1 AS live
+                  FROM spans GROUP BY kind, v),
+        reported AS (SELECT r, k, kind, s, concat(kind, ':', s, ':', e) AS x, live FROM spans JOIN owned USING (kind, v) WHERE k < 3 OR live),
+        found AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                         count(*) FILTER (kind = 'hex') AS n_hex, string_agg(x, ',' ORDER BY s, k) FILTER (k < 3) AS base,
+                         string_agg(x, ',' ORDER BY s, k) AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
+                  FROM reported GROUP BY r)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+               coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+        FROM docs LEFT JOIN found USING (r)"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_ngram_join": SHINGLES, "op2_exact_top_k": TOP, "op11_centroid_clustering": _clusters_sql()}
+    return {
+        "op1_ngram_join": SHINGLES, "op2_exact_top_k": TOP, "op10_secret_scan": secrets_sql(), "op11_centroid_clustering": _clusters_sql()
+    }

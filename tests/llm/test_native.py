@@ -123,6 +123,26 @@ def test_mixing_keeps_repeated_rows_without_words(spark):
     assert Counter((r.doc_id, r.source, r.size) for r in rows) == Counter((d, s, len((t or "").split())) for d, t, s in docs)
     check_mix([(t, s) for _, t, s in docs], rows)
 
+
+def test_mixed_documents_share_copies_of_equal_rows(spark):
+    docs = [(i % 50, f"{'w ' * 40}{i % 50}", "a", i) for i in range(2000)]  # 50 texts, 40 rows each
+    docs += [(i, f"{'v ' * 40}{i}", "b", i) for i in range(1000, 1400)] + [(1000, f"{'v ' * 40}1000", "c", 7)] + [(None, None, None, 1)] * 3
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, extra long").repartition(5)
+    given, mixed = Counter(map(tuple, docs)), Counter(map(tuple, mixing.mixed_documents(df).collect()))
+    assert set(mixed) <= set(given) and all(n <= 2 * given[k] for k, n in mixed.items())
+    assert mixed[(None, None, None, 1)] == 3
+    equal = Counter()
+    for (doc, _, source, _), n in mixed.items():
+        equal[doc, source] += n
+    want = {(r.doc_id, r.source): r.n for r in mixing.Mix(df).copies().groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).collect()}
+    assert {k: n for k, n in want.items() if n} == equal
+    words = Counter()
+    for (_, text, source, _), n in mixed.items():
+        words[source] += n * len((text or "").split())
+    targets = {r.source: r.target for r in mixing.mixed_words(df).collect()}
+    assert all(abs(words[s] - targets[s]) <= 0.05 * targets[s] + 64 for s in "ab")
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 1000):
         got = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(5)).alias("p"))
