@@ -361,21 +361,37 @@ CTES: dict[str, str] = {
 }
 
 
-def _sql(body: str) -> str:
+# the financial report on the prepared datasets, as the consumption job makes it
+COMPOSED: dict[str, str] = {
+    **CTES,
+    "lines_out": "SELECT * FROM billed UNION ALL BY NAME SELECT * FROM internal_out",
+    "lines_in": "SELECT * FROM returns UNION ALL BY NAME SELECT * FROM internal_in",
+    "site_billing": 'SELECT *, "billed_value" AS bv, "billed_qty" AS bq, "billed_unit_price" AS bp FROM billed',
+    # products without a code are a group with a first row of its own
+    "gap_f": CTES["gap_f"].replace("SUM(bv) AS bv", "true AS billed_here, SUM(bv) AS bv"),
+    "gap_both": CTES["gap_both"].replace(
+        """f."idadmision" = g.a AND f."CodigoGenerico" = g.c AND f."Nombre" = g.n""",
+        """billed_here AND f."idadmision" IS NOT DISTINCT FROM g.a
+               AND f."CodigoGenerico" IS NOT DISTINCT FROM g.c AND f."Nombre" IS NOT DISTINCT FROM g.n""",
+    ),
+}
+
+
+def _sql(body: str, blocks: dict[str, str] = CTES) -> str:
     """The query with the building blocks it mentions, directly or through others."""
     needed: set[str] = set()
 
     def visit(text: str) -> None:
-        for name in CTES:
+        for name in blocks:
             if name not in needed and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
                 needed.add(name)
-                visit(CTES[name])
+                visit(blocks[name])
 
     visit(body)
     if not needed:
         return body.strip()
-    blocks = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items() if name in needed)
-    return f"WITH {blocks}\n{body.strip()}"
+    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in blocks.items() if name in needed)
+    return f"WITH {ctes}\n{body.strip()}"
 
 
 # --- ledger ----------------------------------------------------------------------------------
@@ -756,6 +772,24 @@ _FINANCE = {
         ORDER BY dead DESC, "CodigoGenerico", "Nombre", "Municipio", "Servicio" LIMIT 50""",
 }
 
+
+def _rounded(name: str, columns: tuple[str, ...]) -> str:
+    """A query over the composed inputs, whose unit prices are means of means in double."""
+    cells = ", ".join(f'round("{c}", 6) + 0 AS "{c}"' for c in columns)
+    return _sql(f"SELECT * REPLACE ({cells}) FROM ({_FINANCE[name]})", COMPOSED)
+
+
+def _financial_report() -> dict[str, str]:
+    return {
+        "financial_report_stock_summary": _sql(_FINANCE["stock_efficiency_summary"], COMPOSED),
+        "financial_report_gap": _rounded(
+            "billing_gap_detail", ("Precio_Facturado_Prom", "Costo_Unitario_Prom", "Spread_Precio_Costo")
+        ),
+        "financial_report_gap_summary": _sql(_FINANCE["billing_gap_summary"], COMPOSED),
+        "financial_report_alerts": _sql(_FINANCE["critical_alerts"], COMPOSED),
+    }
+
+
 _OTHER = {
     "period_normalised": """
         SELECT strftime(o_orderdate, '%d/%m/%Y') AS "periodo", strftime(o_orderdate, '%m') AS "mes", COUNT(*) AS n
@@ -788,6 +822,7 @@ def all_sql() -> dict[str, str]:
     plain = {name: _sql(body) for name, body in {**_LEDGER, **_CONSUMPTION, **_FINANCE, **_OTHER}.items()}
     return {
         **plain,
+        **_financial_report(),
         "monthly_purchase_behaviour": _monthly_purchases(),
         "lent_balance": _loan("lent", "SaldoPrestamos_realizados", "Saldo_Prestamos_Realizados"),
         "borrowed_balance": _loan("borrowed", "SaldoPrestamos_recibidos", "Saldo_Prestamos_Recibidos"),

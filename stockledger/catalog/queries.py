@@ -295,6 +295,30 @@ def _finance_queries() -> dict[str, Query]:
     }
 
 
+def _financial_report_queries() -> dict[str, Query]:
+    """Tables of the financial report on the datasets that the consumption job prepares."""
+
+    def inputs(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return finance.financial_inputs(_prepared(s, d))
+
+    def stock(s: SparkSession, d: str) -> DataFrame:
+        used, received, _ = inputs(s, d)
+        return finance.stock_efficiency_detail(used, received)
+
+    def gap(s: SparkSession, d: str) -> DataFrame:
+        used, _, billed = inputs(s, d)
+        return finance.billing_gap_detail(billed, used)
+
+    prices = ("Precio_Facturado_Prom", "Costo_Unitario_Prom", "Spread_Precio_Costo")
+    medians = ("Ratio_Mediano", "Margen_Mediano_Pct")
+    return {
+        "financial_report_stock_summary": lambda s, d: portable(finance.stock_efficiency_summary(stock(s, d))),
+        "financial_report_gap": lambda s, d: portable(gap(s, d), prices),
+        "financial_report_gap_summary": lambda s, d: portable(finance.billing_gap_summary(gap(s, d), materialize), medians),
+        "financial_report_alerts": lambda s, d: portable(finance.critical_patient_alerts(gap(s, d))),
+    }
+
+
 def _period_normalised(s: SparkSession, d: str) -> DataFrame:
     raw = F.date_format("o_orderdate", "d-M-yyyy")
     days = demo.table(s, d, "orders").select(
@@ -341,6 +365,7 @@ def all_queries() -> dict[str, Query]:
         **_ledger_queries(),
         **_consumption_queries(),
         **_finance_queries(),
+        **_financial_report_queries(),
         "period_normalised": _period_normalised,
         "source_lineage": _source_lineage,
         "ledger_from_files": _ledger_from_files,
