@@ -94,8 +94,8 @@ def supplier_price_variance(consumption: DataFrame, keep: Keep = as_is) -> DataF
             sum0("ValorTotal").alias("Valor_Total_Comprado"),
             n_unique_small("Comprobante").alias("Num_Transacciones"),
         ],
+        keep,
     )
-    groups = keep(groups)
     product = ["CodigoGenerico", "Nombre"]
     markets = grouped_medians(groups.select(*product, "Costo_Mediano"), product, {"Costo_Mediano": "Mediana_Mercado"})
     median, market = F.col("Costo_Mediano"), F.col("Mediana_Mercado")

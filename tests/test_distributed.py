@@ -154,3 +154,29 @@ def test_kept_tables_outlive_their_owner(spark, tmp_path):
     with distributed.Scratch(spark) as alone:
         free = alone.keep(spark.range(7))
     assert free.count() == 7 and outer.paths == []
+
+
+def test_values_of_groups_that_the_sketch_holds_are_not_shuffled(spark, tmp_path):
+    """One large group among many small ones: its values alone meet for their ranks."""
+    many = 2 * distributed.HELD_WHOLE
+    df = spark.range(30_000).selectExpr(f"IF(id < {many}, -1, id DIV 3) AS k", "hash(id) / 7.0D AS v")
+    df.write.parquet(f"{tmp_path}/lines")
+    medians = grouped_medians(spark.read.parquet(f"{tmp_path}/lines"), ["k"], {"v": "m"})
+    rows = {r.k: r.m for r in medians.collect()}
+    assert rows == {k: own.v.median() for k, own in df.toPandas().groupby("k")}
+    plan = medians._jdf.queryExecution().executedPlan()
+    exchanges, waiting = [], [plan.executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName().endswith("QueryStage"):
+            waiting.append(node.plan())
+        if node.nodeName() == "Exchange":
+            exchanges.append(node.metrics().apply("shuffleRecordsWritten").value())
+        waiting += [node.children().apply(i) for i in range(node.children().length())]
+    # the groups once or twice, and the large group's values
+    assert sum(exchanges) < 2.5 * len(rows) + 2 * many
+
+
+@pytest.mark.parametrize("size", [distributed.SKETCH_ACCURACY // 5 + d for d in (-1, 0, 1, 2)])
+def test_medians_where_the_sketch_stops_holding_a_group(spark, size):
+    check_medians(spark, [("a", float(v)) for v in random.Random(size).sample(range(10**6), size)], 5)
