@@ -155,13 +155,13 @@ def movement_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _billed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # orders meet their customers first, which are fewer rows than their lines
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return (
         line_items(spark, sf_dir)
         .where(F.pmod(F.col("l_partkey"), F.lit(11)) != 0)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(orders.join(customer, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
     )
 
 
