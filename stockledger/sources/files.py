@@ -149,13 +149,15 @@ def with_place(df: DataFrame, fmt: str) -> DataFrame:
 def numbered_records(spark: SparkSession, path: str, options: Mapping[str, str], pattern: str = NOT_A_LOCK_FILE) -> DataFrame | None:
     """Records of delimited text files, each under the header of its own file; None where there is no header.
 
-    All columns are text. The lines are written once with their place; a line's number is its place in
-    its part of the file after the lines of the parts before. A record of another width than its
-    header has that in `_record`. Blank lines are no records; a name that a header repeats gets its place.
+    All columns are text. The lines are parsed and written once with their place, so readers take the columns
+    they need; a line's number is its place in its part of the file after the lines of the parts before. A
+    record of another width than its header has that in `_record`. Blank lines are no records; a name that a
+    header repeats gets its place.
     """
     given = {"sep": ",", "quote": '"', **{k: v for k, v in options.items() if k != "header"}}
     at = F.struct("block", "at")
-    lines = materialize(
+    written = F.trim("value") != ""
+    text = (
         spark.read.option("pathGlobFilter", pattern)
         .text(path)
         .select(
@@ -166,18 +168,10 @@ def numbered_records(spark: SparkSession, path: str, options: Mapping[str, str],
             F.monotonically_increasing_id().alias("at"),
         )
     )
-    written = F.trim("value") != ""
-    headers = materialize(
-        lines.where(written).groupBy("path").agg(F.min_by("value", at).alias("header"), F.min(at).alias("header_at"))
-    )
+    headers = materialize(text.where(written).groupBy("path").agg(F.min_by("value", at).alias("header")))
     distinct = [r["header"] for r in headers.select("header").distinct().orderBy("header").collect()]
     if not distinct:
         return None
-    parts = lines.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("many"))
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("path", "block", "first", F.coalesce(F.sum("many").over(earlier), F.lit(0)).alias("before"))
-    records = lines.where(written).join(headers, "path").where(at != F.col("header_at")).join(parts, ["path", "block"])
-
     layouts = []
     for header in distinct:
         names = next(csv.reader([header.lstrip("﻿")], delimiter=given["sep"], quotechar=given["quote"]))
@@ -194,13 +188,31 @@ def numbered_records(spark: SparkSession, path: str, options: Mapping[str, str],
         ).alias(f"_p{i}")
         for i, (header, names) in enumerate(zip(distinct, layouts))
     ]
-    records = records.select(FILE, (F.col("at") - F.col("first") + F.col("before") + 1).alias(LINE), *parsed)
 
     def of(name: str) -> Column:
         return F.coalesce(*[F.col(f"_p{i}.`{name}`") for i, names in enumerate(layouts) if name in names or name == WIDTH])
 
     every = list(dict.fromkeys(n for names in layouts for n in names))
-    return records.select(*[of(n).alias(n) for n in every], FILE, LINE, of(WIDTH).alias(RECORD))
+    # one header per file is sent to its lines; its names are none that a table must be able to have
+    lines = materialize(
+        text.join(F.broadcast(headers), "path")
+        .select("path", FILE, "block", "at", written.alias("written"), *parsed)
+        .select("path", FILE, "block", "at", "written", *[of(n).alias(f"_c{i}") for i, n in enumerate(every)], of(WIDTH).alias(RECORD))
+    )
+    file = Window.partitionBy("path")
+    earlier = file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    top = F.col("block") == F.min(F.when(F.col("begins").isNotNull(), F.col("block"))).over(file)
+    parts = (
+        lines.groupBy("path", "block")
+        .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("many"), F.min(F.when(F.col("written"), F.col("at"))).alias("begins"))
+        .select("path", "block", "first", F.coalesce(F.sum("many").over(earlier), F.lit(0)).alias("before"), F.when(top, F.col("begins")).alias("header_at"))
+    )
+    is_record = ~F.col("at").eqNullSafe(F.col("header_at"))
+    # one row per part of a file is sent to its lines, which stay in their order
+    records = lines.where("written").join(F.broadcast(parts), ["path", "block"]).where(is_record)
+    line = (F.col("at") - F.col("first") + F.col("before") + 1).alias(LINE)
+    # a reader's condition may be looked at before the one above, and must not see a header's names as values
+    return records.select(*[F.when(is_record, F.col(f"_c{i}")).alias(n) for i, n in enumerate(every)], FILE, line, RECORD)
 
 
 def _fitted(value: Column, source: T.DataType, target: T.DataType) -> Column:

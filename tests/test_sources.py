@@ -269,3 +269,17 @@ def test_orc_and_json_folders(spark, tmp_path):
     landed = landing.ledger_landing(spark, f"{tmp_path}/l.json", "json")
     assert rows_of(landed.accepted(), "Comprobante", "Cantidad") == [("RMC", 5)]
     assert [r.reason for r in landed.rejected().collect()] == ["line of another width"]
+
+
+def test_lines_are_parsed_once_however_often_they_are_read(spark, tmp_path):
+    """Header names no table could have, blank lines before and after the header, and nothing left to parse or shuffle."""
+    put(tmp_path, "a.csv", "\n  \nat,path,a b;(c)=\n1,x,2\n\n3,y\n")
+    put(tmp_path, "b.csv", "block,at\n5,6\n")
+    put(tmp_path, "empty.csv", "\n\n")
+    records = files.numbered_records(spark, str(tmp_path), {})
+    assert records.columns == ["at", "path", "a b;(c)=", "block", files.FILE, files.LINE, files.RECORD]
+    assert rows_of(records) == [
+        ("1", "x", "2", None, "a.csv", 4, None), ("3", "y", None, None, "a.csv", 6, "3,y"), ("6", None, None, "5", "b.csv", 2, None)
+    ]
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "from_csv" not in plan and "SortMergeJoin" not in plan
