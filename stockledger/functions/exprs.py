@@ -69,9 +69,9 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def joined_key(a: str, b: str) -> Column:
+def joined_key(a: Column | str, b: Column | str) -> Column:
     """`a-b`, NULL when either part is NULL."""
-    return F.concat(F.col(a).cast("string"), F.lit("-"), F.col(b).cast("string"))
+    return F.concat(as_column(a).cast("string"), F.lit("-"), as_column(b).cast("string"))
 
 
 def spread_null_key(key: str, side: str, over: list[str]) -> Column:

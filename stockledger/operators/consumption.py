@@ -13,6 +13,10 @@ from stockledger.functions.exprs import as_is, first_match, joined_key, mean, sp
 from stockledger.schemas import BILLING_GRAIN, GRAIN, UNCLOSED_COLUMNS
 
 KEY = "ADM-CodGen"
+# What rows meet their billing by; a frame that has it was summed in the partitions of the join.
+MEET = "_k"
+# few columns, because those the hash reads cannot be pruned
+SPREAD = ["NoDocumento", "Fecha", "Proveedor"]
 ENTITY = "_is_entity"
 
 
@@ -49,8 +53,11 @@ def product_listing(listing: DataFrame) -> DataFrame:
     return listing.select("Codigo", "Nombre", "CodigoGenerico", "EstadoArticulo")
 
 
-def billing_by_admission(billing: DataFrame, money: str = "double") -> DataFrame:
-    """Pharmacy billing per admission, invoice, product and doctor. Unreadable numbers fail."""
+def billing_by_admission(billing: DataFrame, money: str = "double", meet: bool = False) -> DataFrame:
+    """Pharmacy billing per admission, invoice, product and doctor. Unreadable numbers fail.
+
+    With `meet` it is ready to be joined to lines, as in `enrich_and_grain`.
+    """
     columns = [*BILLING_GRAIN, "billed_qty", "requested_qty", "billed_unit_price", "billed_value"]
     typed = (
         billing.where(F.col("nomtiposervicio") == vocab.PHARMACY_BILLING)
@@ -64,8 +71,13 @@ def billing_by_admission(billing: DataFrame, money: str = "double") -> DataFrame
             }
         )
     )
+    grain = list(BILLING_GRAIN)
+    if meet:
+        keyed = typed.withColumn(KEY, joined_key(F.col("idadmision").cast("bigint"), F.col("codigo")))
+        typed = keyed.withColumn(MEET, spread_null_key(KEY, "billing", BILLING_GRAIN)).drop(KEY).repartition(MEET)
+        grain.append(MEET)
     return (
-        typed.groupBy(*BILLING_GRAIN)
+        typed.groupBy(*grain)
         .agg(
             sum0("billed_qty").alias("billed_qty"),
             sum0("requested_qty").alias("requested_qty"),
@@ -93,16 +105,21 @@ def split_by_voucher(out_lines: DataFrame, in_lines: DataFrame) -> dict[str, Dat
     }
 
 
-def enrich_and_grain(lines: DataFrame, listing: DataFrame) -> DataFrame:
+def enrich_and_grain(lines: DataFrame, listing: DataFrame, meet: bool = False) -> DataFrame:
     """Lines with their product, summed to the common grain, and their admission-product key.
 
     A code listed twice doubles its lines, as in any join. The listing carries no broadcast
-    hint: Spark decides by its size.
+    hint: Spark decides by its size. With `meet` the lines are dealt by the key of their billing,
+    which the grain decides, before they are summed: one shuffle for the sum and the join.
     """
     joined = lines.join(product_listing(listing), F.col("CodArticulo") == F.col("Codigo"), "left")
+    joined, grain = joined.withColumn("CodigoGenerico", F.col("CodigoGenerico").cast("bigint")), list(GRAIN)
+    if meet:
+        keyed = joined.withColumn(KEY, joined_key("field_1", "CodigoGenerico"))
+        joined = keyed.withColumn(MEET, spread_null_key(KEY, "lines", SPREAD)).drop(KEY).repartition(MEET)
+        grain.append(MEET)
     grained = (
-        joined.withColumn("CodigoGenerico", F.col("CodigoGenerico").cast("bigint"))
-        .groupBy(*GRAIN)
+        joined.groupBy(*grain)
         .agg(
             sum0("Cantidad").alias("Cantidad"),
             mean("ValorUnitario").alias("ValorUnitario"),
@@ -114,11 +131,12 @@ def enrich_and_grain(lines: DataFrame, listing: DataFrame) -> DataFrame:
 
 def _left_join_on_key(lines: DataFrame, billing: DataFrame) -> DataFrame:
     """Billing to the lines of the same admission and product; several invoices repeat the line."""
-    # few columns, because those the hash reads cannot be pruned
-    spread = [c for c in ("NoDocumento", "Fecha", "Proveedor") if c in lines.columns] or lines.columns
-    left = lines.withColumn("_k", spread_null_key(KEY, "lines", spread))
-    right = billing.where(F.col(KEY).isNotNull()).withColumnRenamed(KEY, "_k")
-    return left.join(right, "_k", "left").drop("_k")
+    left, right = lines, billing.where(F.col(KEY).isNotNull())
+    if MEET not in lines.columns:
+        spread = [c for c in SPREAD if c in lines.columns] or lines.columns
+        left = lines.withColumn(MEET, spread_null_key(KEY, "lines", spread))
+    right = right.drop(KEY) if MEET in billing.columns else right.withColumnRenamed(KEY, MEET)
+    return left.join(right, MEET, "left").drop(MEET)
 
 
 def consumption_with_billing(dispensed: DataFrame, billing: DataFrame) -> DataFrame:
@@ -208,7 +226,8 @@ def prepare_consumption(
     out_lines, in_lines = movement_fields(out_extract), movement_fields(in_extract)
     if keep is None:
         keep, roles = as_is, split_by_voucher(out_lines, in_lines)
-        grains = {role: enrich_and_grain(roles[role], listing) for role in ("dispensed", "returned")}
+        grains = {role: enrich_and_grain(roles[role], listing, role == "dispensed") for role in ("dispensed", "returned")}
+        billed_lines = billing_by_admission(billing, money, meet=True)
     else:
         voucher = F.col("Comprobante")
         out_role = F.when(voucher == vocab.DISPENSED, "dispensed").when(voucher.isin(vocab.INTERNAL_OUT), "internal_out")
@@ -219,7 +238,7 @@ def prepare_consumption(
         roles = {role: lines.where(F.col("_role") == role).select(*df.drop("_role").columns) for role, df in columns.items()}
         both = keep(enrich_and_grain(lines.where(F.col("_role").isin("dispensed", "returned")), listing))
         grains = {"dispensed": both.where(voucher == vocab.DISPENSED), "returned": both.where(voucher == vocab.RETURNED)}
-    billed_lines = keep(billing_by_admission(billing, money))
+        billed_lines = keep(billing_by_admission(billing, money))
     with_billing = keep(consumption_with_billing(grains["dispensed"], billed_lines))
     corrected = corrected_service(with_billing, entities)
     billed = override_specialty(corrected)
