@@ -67,12 +67,14 @@ def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prepared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     extract = demo.movement_extract(spark, sf_dir)
+    # a list of names; written, Spark knows how short it is and need not shuffle the joined rows to it
+    entities = materialize(demo.entities(spark, sf_dir))
     return consumption.prepare_consumption(
         extract,
         extract,
         demo.billing_lines(spark, sf_dir),
         demo.listing(spark, sf_dir),
-        demo.entities(spark, sf_dir),
+        entities,
         demo.FINE_MONEY,
     )
 
@@ -306,7 +308,11 @@ def _financial_report_queries() -> dict[str, Query]:
         return finance.stock_efficiency_detail(used, received)
 
     def gap(s: SparkSession, d: str) -> DataFrame:
-        used, _, billed = inputs(s, d)
+        """The billed rows are both sides of the gap, so what it reads of them is written once."""
+        data = _prepared(s, d)
+        read = [*finance.GAP_KEYS, "field_1", *finance.GAP_BILLED, *finance.GAP_CONSUMED, *finance.GAP_ATTRIBUTES.values()]
+        data["billed"] = materialize(data["billed"].select(*read))
+        used, _, billed = finance.financial_inputs(data)
         return finance.billing_gap_detail(billed, used)
 
     prices = ("Precio_Facturado_Prom", "Costo_Unitario_Prom", "Spread_Precio_Costo")

@@ -31,6 +31,15 @@ REFERENCE, COALESCED = "reference", "coalesced"
 STOCK_KEYS = ["Municipio", "Servicio", "Clasificacion_consumo", "CodigoGenerico", "Nombre"]
 Keep = Callable[[DataFrame], DataFrame]
 GAP_KEYS = ["idadmision", "CodigoGenerico", "Nombre"]
+GAP_BILLED = ["billed_value", "billed_qty", "billed_unit_price"]
+GAP_CONSUMED = ["ValorTotal", "Cantidad", "ValorUnitario"]
+GAP_ATTRIBUTES = {
+    "Especialidad": "Especialidad",
+    "Servicio_Corregido": "Servicio_Corregido",
+    "Municipio": "Municipio",
+    "MedicoRealiza": "MedicoRealiza",
+    "No_Factura": "nofactura",
+}
 SITE_PRODUCT = ["CodigoGenerico", "Nombre", "Municipio", "Servicio"]
 
 
@@ -249,19 +258,12 @@ def billing_gap_detail(billing: DataFrame, consumption: DataFrame, keys: str = R
     Specialty, service, site, doctor and invoice come from one row of the group: the first by
     `first_by`, which stands in for the order of the input.
     """
-    attributes = {
-        "Especialidad": "Especialidad",
-        "Servicio_Corregido": "Servicio_Corregido",
-        "Municipio": "Municipio",
-        "MedicoRealiza": "MedicoRealiza",
-        "No_Factura": "nofactura",
-    }
-    row = F.struct(F.col(first_by).alias("_first"), *[F.col(c).alias(name) for name, c in attributes.items()])
-    billed = billing.select(*GAP_KEYS, "billed_value", "billed_qty", "billed_unit_price", row.alias("_row"))
+    row = F.struct(F.col(first_by).alias("_first"), *[F.col(c).alias(name) for name, c in GAP_ATTRIBUTES.items()])
+    billed = billing.select(*GAP_KEYS, *GAP_BILLED, row.alias("_row"))
     consumed = (
         consumption.withColumn("idadmision", consumption_admission(consumption))
         .where(F.col("idadmision").isNotNull())
-        .select(*GAP_KEYS, "ValorTotal", "Cantidad", "ValorUnitario")
+        .select(*GAP_KEYS, *GAP_CONSUMED)
     )
     both = _outer_aggregate(
         billed,
@@ -281,7 +283,7 @@ def billing_gap_detail(billing: DataFrame, consumption: DataFrame, keys: str = R
         keys,
     )
     billed_value, used_value = F.col("Facturado_Valor"), F.col("Consumido_Valor")
-    gap = both.withColumns({name: F.col(f"_row.{name}") for name in attributes}).drop("_row").withColumns(
+    gap = both.withColumns({name: F.col(f"_row.{name}") for name in GAP_ATTRIBUTES}).drop("_row").withColumns(
         {
             "Margen_Bruto": billed_value - used_value,
             "Diferencia_Cantidad": F.col("Facturado_Cantidad") - F.col("Consumido_Cantidad"),

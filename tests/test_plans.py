@@ -149,3 +149,23 @@ def test_lines_without_a_doctor_do_not_share_a_partition(eager_to_split):
     spread = lines.select(spread_null_key("MedicoRealiza", "doctor", ["NoDocumento"]).alias("k")).repartition(8, "k")
     sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 1.5 * min(sizes)
+
+
+def test_lines_are_shuffled_once_for_their_sum_and_their_billing(eager_to_split):
+    spark = eager_to_split
+    extract = demo.movement_extract(spark, SMALL)
+    inputs = [extract, extract, demo.billing_lines(spark, SMALL), demo.listing(spark, SMALL), demo.entities(spark, SMALL)]
+    joined = consumption.prepare_consumption(*inputs, demo.FINE_MONEY)["profitability_input"]
+    roles = consumption.split_by_voucher(*[consumption.movement_fields(extract)] * 2)
+    grain = consumption.enrich_and_grain(roles["dispensed"], inputs[3])
+    billing = consumption.billing_by_admission(inputs[2], demo.FINE_MONEY)
+    plain = consumption.consumption_with_billing(grain, billing)
+    assert joined.columns == plain.columns and rows_of(joined) == rows_of(plain)
+    text = {df: plan(df).count("hashpartitioning") for df in (joined, plain)}
+    assert text[joined] == text[plain] - 2
+
+
+def test_billed_rows_of_the_report_are_prepared_once(spark):
+    text = plan(all_queries()["financial_report_gap"](spark, SMALL))
+    # the internal lines alone are not read from what was written
+    assert text.count("lineitem.parquet") == 1
