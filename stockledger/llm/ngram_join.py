@@ -9,10 +9,14 @@ threshold are opened, that is, compared member by member on the whole sets.
 Which (query, group) cells of the matrix are looked at is decided by signatures, without loss. Two
 sets of sizes a and b that link differ in at most d = (a + b)(1 - t)/(1 + t) tokens. Tokens are hashed
 into parts; a differing token changes one part, so among the first d + 1 non-empty parts of a set,
-in one global order, one is the same in both. The order prefers parts with many tokens, which
-chance or a shared passage seldom make equal. The number of parts doubles with the size of the
-sets; a set near the upper end of its size range gives signatures for the next range as well. Sets
-below `SMALL_SET` tokens have one part per token. Shingles, parts and sets are known by 64-bit hashes.
+in one global order, one is the same in both. Two orders are used in turn. The first prefers parts
+with many tokens, which chance or a shared passage seldom make equal; the first d + 1 + e parts in it are
+a set's own, and of two sets that link e + 1 are the same. The second order is by how many rows own a
+part: of its own parts a set leaves out the e most frequent, and one is still the same in both. What
+a passage or a pattern makes common to many sets that do not link is left out first. The number of parts
+doubles with the size of the sets, and e is the same for all sets of a size range; a set near the upper end
+of its range gives signatures for the next range as well. Sets below `SMALL_SET` tokens have one
+part per token. Shingles, parts and sets are known by 64-bit hashes.
 
 Similar documents are found in two steps. First each class is compared with one class of every
 signature it has, the smallest, then the one with most links, which joins most of a family of
@@ -30,7 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockledger.functions.distributed import Scratch, materialize
@@ -43,6 +47,8 @@ SMALL_SET = 16
 MATRIX_WORDS = 8
 GROUP_ROWS = 48
 LEADER_ROUNDS = 1
+SMALL_EXTRA = 4
+EXTRA = 0.4  # of the tokens that two sets at the upper end of a range may differ in
 FILTER_BITS = 24
 CACHED_WORDS = 1 << 20
 BITS = [f"bits{i}" for i in range(MATRIX_WORDS)]
@@ -85,48 +91,64 @@ def _level(n: int) -> int:
     return (n // SMALL_SET).bit_length() - 1
 
 
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+def owned_parts(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Per size range: how many parts a set may leave out in the second order, and the parts it owns."""
     n = len(tokens)
     needed = most_different(n, percent) + 1
     partner = n * 100 // percent
-    out = [mixed(tokens[:needed])] if n < SMALL_SET else []
+    out = [(max(0, min(n - needed, SMALL_EXTRA)), mixed(tokens[: needed + SMALL_EXTRA]))] if n < SMALL_SET else []
     for level in {_level(n), _level(partner)} if partner >= SMALL_SET else ():
         if level < 0:
             continue
         # room for `needed` non-empty parts at either end of the range, but for odds below 1e-8
-        parts = int(most_different(SMALL_SET * 2 ** (level + 1), percent) * 1.28) + 8
+        most = most_different(SMALL_SET * 2 ** (level + 1), percent)
+        parts, extra = int(most * 1.28) + 8, int(most * EXTRA) + SMALL_EXTRA
         part = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         held = np.diff(np.r_[starts, n])
         content = mixed(np.add.reduceat(mixed(tokens + np.uint64(level + 1)), starts) + part[starts])
-        out.append(content[np.lexsort((content, -held))[:needed]])
-    return np.concatenate(out)
+        own = content[np.lexsort((content, -held))[: needed + extra]]
+        out.append((max(0, len(own) - needed), own))
+    return out
+
+
+def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """All parts a set owns."""
+    return np.concatenate([own for _, own in owned_parts(tokens, percent)])
 
 
 def describe(batches, words: int, percent: int):
-    """Per row: set size, class, the set's bits in the matrix, signatures."""
+    """Per row: set size, class, the set's bits in the matrix, signatures per size range."""
     known = WordHashes()
     for batch in batches:
         sizes, classes, bits, signed = [], [], [], []
+        spare, ranges, ends = [], [0], [0]
         for text in batch.column("text").to_pylist():
             tokens = shingle_set(text, words, known)
             sizes.append(len(tokens))
             if not len(tokens):
                 classes.append(None)
                 bits.append([0] * MATRIX_WORDS)
-                signed.append(np.zeros(0, np.int64))
+                ranges.append(len(spare))
                 continue
             classes.append(mixed(mixed(tokens).sum(keepdims=True) + np.uint64(len(tokens))).view(np.int64)[0])
             column = tokens % np.uint64(64 * MATRIX_WORDS)
             row = np.zeros(MATRIX_WORDS, np.uint64)
             np.bitwise_or.at(row, (column >> np.uint64(6)).astype(int), np.uint64(1) << (column & np.uint64(63)))
             bits.append(row.view(np.int64))
-            signed.append(signatures(tokens, percent).view(np.int64))
+            for left_out, own in owned_parts(tokens, percent):
+                spare.append(left_out)
+                signed.append(own.view(np.int64))
+                ends.append(ends[-1] + len(own))
+            ranges.append(len(spare))
+        values = pa.array(np.concatenate(signed) if signed else np.zeros(0, np.int64))
+        own = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        by_range = pa.StructArray.from_arrays([pa.array(spare, pa.int32()), own], ["spare", "own"])
         matrix = np.array(bits, np.int64).reshape(len(bits), MATRIX_WORDS)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())]
             + [pa.array(matrix[:, i]) for i in range(MATRIX_WORDS)]
-            + [pa.array(signed, pa.list_(pa.int64()))],
+            + [pa.ListArray.from_arrays(pa.array(ranges, pa.int32()), by_range)],
             names=["doc_id", "row_key", "n", "cls", *BITS, "signed"],
         )
 
@@ -172,7 +194,7 @@ class NgramJoin:
         bits = ", ".join(f"{c} long" for c in BITS)
         self.rows = materialize(
             self.docs.mapInArrow(
-                lambda it: describe(it, words, percent), f"doc_id long, row_key long, n long, cls long, {bits}, signed array<long>"
+                lambda it: describe(it, words, percent), f"doc_id long, row_key long, n long, cls long, {bits}, signed array<struct<spare:int,own:array<long>>>"
             )
         )
         described = [F.first(c).alias(c) for c in ("n", *BITS)]
@@ -188,11 +210,19 @@ class NgramJoin:
     def _shared(self) -> DataFrame:
         """(`sig`, `cls`, `lead`) for signatures of several classes, `lead` being the smallest.
 
-        The first aggregation combines before it shuffles; the join's hot keys are split at run time.
+        What classes own is shuffled once, for the counts and for what they are joined to. Parts of one class
+        come before all others in the second order, so those left out are among the rest.
         """
-        signed = self.rows.select(F.explode("signed").alias("sig"), "cls")
-        several = signed.groupBy("sig").agg(F.min("cls").alias("lead"), F.max("cls").alias("_last")).where("lead < _last")
-        return materialize(signed.join(several.drop("_last"), "sig").distinct())
+        ranges = self.rows.select("cls", F.posexplode("signed").alias("range", "_s"))
+        signed = ranges.select("cls", "range", "_s.spare", F.explode("_s.own").alias("sig")).repartition("sig")
+        counts = [F.min("cls").alias("_first"), F.max("cls").alias("_last"), F.count(F.lit(1)).alias("_rows")]
+        several = signed.groupBy("sig").agg(*counts).where("_first < _last").select("sig", "_rows")
+        owned = signed.join(several, "sig").distinct()
+        falling = Window.partitionBy("cls", "range").orderBy(F.desc("_rows"), F.desc("sig"))
+        kept = owned.withColumn("_place", F.row_number().over(falling)).where("_place > spare").select("sig", "cls")
+        kept = materialize(kept)
+        leads = kept.groupBy("sig").agg(F.min("cls").alias("lead"), F.max("cls").alias("_last")).where("lead < _last")
+        return materialize(kept.join(leads.drop("_last"), "sig"))
 
     def _sets(self, classes: DataFrame) -> DataFrame:
         """(`cls`, `tokens`) of the given classes, from the text of one document of each, known by id and text."""

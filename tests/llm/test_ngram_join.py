@@ -101,3 +101,40 @@ def test_rows_without_id_and_shared_ids(spark):
     want = brute(docs, 5, 80)
     assert got(ngram_join.similar_documents(frame, 5, 80)) == want
     assert ngram_join.one_of_each(frame, 5, 80).count() == 4
+
+
+def test_frequent_parts_are_left_out_without_loss():
+    """Whatever the second order, two sets that link keep a part in common."""
+    rng = random.Random(3)
+    known = ngram_join.WordHashes()
+    order = lambda x, seed: (ngram_join.mixed(x ^ ngram_join.np.uint64(seed * 7919)) >> ngram_join.np.uint64(60), x)
+    for k in range(400):
+        words = [f"w{rng.randrange(1000)}" for _ in range(rng.randrange(5, 300))]
+        copy = list(words)
+        for _ in range(rng.randrange(1, 1 + len(words) // 12 + 1)):
+            copy[rng.randrange(len(copy))] = "x"
+        a, b = (ngram_join.shingle_set(" ".join(x).encode(), 4, known) for x in (words, copy))
+        both = len(set(a) & set(b))
+        if 100 * both < 85 * (len(a) + len(b) - both):
+            continue
+        kept = []
+        for tokens in (a, b):
+            left = set()
+            for spare, own in ngram_join.owned_parts(tokens, 85):
+                place = ngram_join.np.lexsort(order(own, k)[::-1])
+                left |= set(own[place][: len(own) - spare])
+            kept.append(left)
+        assert kept[0] & kept[1]
+
+
+def test_a_pattern_of_many_documents_is_no_signature(spark):
+    """Half of each document is common to all, and none link: hardly a common part may be looked up."""
+    rng = random.Random(5)
+    pattern = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join(pattern + [f"w{rng.randrange(10**6)}" for _ in range(60)])) for i in range(120)]
+    docs.append((500, docs[0][1] + " more"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    join = ngram_join.NgramJoin(frame, 4, 85)
+    held = join._shared().groupBy("sig").count().agg({"count": "max"}).first()[0]
+    assert (held or 0) <= 12
+    assert got(join.members()) == brute(docs, 4, 85)
