@@ -65,7 +65,7 @@ def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.monthly_lines(_ledger(spark, sf_dir))
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _prepared(spark: SparkSession, sf_dir: str, meet: bool = False) -> dict[str, DataFrame]:
     extract = demo.movement_extract(spark, sf_dir)
     # a list of names; written, Spark knows how short it is and need not shuffle the joined rows to it
     entities = materialize(demo.entities(spark, sf_dir))
@@ -76,6 +76,7 @@ def _prepared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         demo.listing(spark, sf_dir),
         entities,
         demo.FINE_MONEY,
+        meet=meet,
     )
 
 
@@ -212,7 +213,7 @@ def _reconciliation(s: SparkSession, d: str) -> DataFrame:
 
 
 def _profitability(s: SparkSession, d: str) -> DataFrame:
-    data = _prepared(s, d)
+    data = _prepared(s, d, meet=True)
     return portable(profit.profitability(data["returns"], data["profitability_input"]))
 
 

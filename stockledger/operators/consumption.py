@@ -129,18 +129,22 @@ def enrich_and_grain(lines: DataFrame, listing: DataFrame, meet: bool = False) -
     return grained.withColumn(KEY, joined_key("field_1", "CodigoGenerico"))
 
 
-def _left_join_on_key(lines: DataFrame, billing: DataFrame) -> DataFrame:
-    """Billing to the lines of the same admission and product; several invoices repeat the line."""
+def _left_join_on_key(lines: DataFrame, billing: DataFrame, meet: bool = False) -> DataFrame:
+    """Billing to the lines of the same admission and product; several invoices repeat the line.
+
+    With `meet` the column the two met by stays, and what is summed by it needs no shuffle.
+    """
     left, right = lines, billing.where(F.col(KEY).isNotNull())
     if MEET not in lines.columns:
         spread = [c for c in SPREAD if c in lines.columns] or lines.columns
         left = lines.withColumn(MEET, spread_null_key(KEY, "lines", spread))
     right = right.drop(KEY) if MEET in billing.columns else right.withColumnRenamed(KEY, MEET)
-    return left.join(right, MEET, "left").drop(MEET)
+    joined = left.join(right, MEET, "left")
+    return joined if meet else joined.drop(MEET)
 
 
-def consumption_with_billing(dispensed: DataFrame, billing: DataFrame) -> DataFrame:
-    return _left_join_on_key(dispensed, billing)
+def consumption_with_billing(dispensed: DataFrame, billing: DataFrame, meet: bool = False) -> DataFrame:
+    return _left_join_on_key(dispensed, billing, meet)
 
 
 def _known_entities(entities: DataFrame) -> DataFrame:
@@ -182,7 +186,7 @@ def corrected_service(df: DataFrame, entities: DataFrame) -> DataFrame:
     return flagged.withColumn("Servicio_Corregido", first_match(rules, otherwise=service)).drop(ENTITY)
 
 
-def attribute_returns(returned: DataFrame, billing: DataFrame, entities: DataFrame) -> DataFrame:
+def attribute_returns(returned: DataFrame, billing: DataFrame, entities: DataFrame, meet: bool = False) -> DataFrame:
     """Returns with every specialty and doctor of their admission, and the billing of their product.
 
     The second join's specialty and doctor stay apart as `Especialidad_right`, `MedicoRealiza_right`.
@@ -192,7 +196,7 @@ def attribute_returns(returned: DataFrame, billing: DataFrame, entities: DataFra
     right = billing.withColumnsRenamed(
         {"Especialidad": "Especialidad_right", "MedicoRealiza": "MedicoRealiza_right"}
     )
-    return _left_join_on_key(corrected_service(attributed, entities), right)
+    return _left_join_on_key(corrected_service(attributed, entities), right, meet)
 
 
 def unclosed_billing(corrected: DataFrame) -> DataFrame:
@@ -215,9 +219,13 @@ def prepare_consumption(
     entities: DataFrame,
     money: str = "double",
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    meet: bool = False,
 ) -> dict[str, DataFrame]:
     """The seven datasets of the consumption reports.
 
+    With `meet` the returns and the input of the profitability hold the column `MEET` besides, which they
+    are partitioned by.
+
     For one dataset each role is filtered from its extract alone. A caller that reads several gives
     `keep`, such as `materialize`: it is applied to what they share, which is the movement lines that
     count, their grains in one pass over both roles (the voucher is part of the grain), the billing
@@ -239,7 +247,8 @@ def prepare_consumption(
         both = keep(enrich_and_grain(lines.where(F.col("_role").isin("dispensed", "returned")), listing))
         grains = {"dispensed": both.where(voucher == vocab.DISPENSED), "returned": both.where(voucher == vocab.RETURNED)}
         billed_lines = keep(billing_by_admission(billing, money))
-    with_billing = keep(consumption_with_billing(grains["dispensed"], billed_lines))
+    met = keep(consumption_with_billing(grains["dispensed"], billed_lines, meet))
+    with_billing = met.drop(MEET)
     corrected = corrected_service(with_billing, entities)
     billed = override_specialty(corrected)
     return {
@@ -247,9 +256,9 @@ def prepare_consumption(
         "unclosed": unclosed_billing(corrected),
         "billed_clean": billed,
         "internal_out": roles["internal_out"],
-        "returns": attribute_returns(grains["returned"], billed_lines, entities),
+        "returns": attribute_returns(grains["returned"], billed_lines, entities, meet),
         "internal_in": roles["internal_in"],
-        "profitability_input": with_billing,
+        "profitability_input": met if meet else with_billing,
     }
 
 

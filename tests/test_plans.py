@@ -165,6 +165,12 @@ def test_lines_are_shuffled_once_for_their_sum_and_their_billing(eager_to_split)
     assert text[joined] == text[plain] - 2
 
 
+def test_profitability_sums_and_joins_where_lines_met_their_billing(eager_to_split):
+    spark = eager_to_split
+    text = plan(all_queries()["profitability"](spark, SMALL))
+    assert "hashpartitioning(Clasificacion_consumo" not in text and "hashpartitioning(_key" not in text
+
+
 def test_billed_rows_of_the_report_are_prepared_once(spark):
     text = plan(all_queries()["financial_report_gap"](spark, SMALL))
     # the internal lines alone are not read from what was written
