@@ -16,7 +16,8 @@ part: of its own parts a set leaves out the e most frequent, and one is still th
 a passage or a pattern makes common to many sets that do not link is left out first. The number of parts
 doubles with the size of the sets, and e is the same for all sets of a size range; a set near the upper end
 of its range gives signatures for the next range as well. Sets below `SMALL_SET` tokens have one
-part per token. Shingles, parts and sets are known by 64-bit hashes.
+part per token. Shingles, parts and sets are known by 64-bit hashes; of a signature's, 48 bits are written
+and shuffled, which is the most there is of anything here. Parts that these take for the same are compared in vain.
 
 Similar documents are found in two steps. First each class is compared with one class of every
 signature it has, the smallest, then the one with most links, which joins most of a family of
@@ -50,6 +51,7 @@ LEADER_ROUNDS = 1
 SMALL_EXTRA = 4
 EXTRA = 0.4  # of the tokens that two sets at the upper end of a range may differ in
 FILTER_BITS = 24
+DROPPED_BITS = np.uint64(16)  # of a signature's hash
 CACHED_WORDS = 1 << 20
 BITS = [f"bits{i}" for i in range(MATRIX_WORDS)]
 
@@ -138,7 +140,7 @@ def describe(batches, words: int, percent: int):
             bits.append(row.view(np.int64))
             for left_out, own in owned_parts(tokens, percent):
                 spare.append(left_out)
-                signed.append(own.view(np.int64))
+                signed.append((own >> DROPPED_BITS).view(np.int64))
                 ends.append(ends[-1] + len(own))
             ranges.append(len(spare))
         values = pa.array(np.concatenate(signed) if signed else np.zeros(0, np.int64))
@@ -210,19 +212,18 @@ class NgramJoin:
     def _shared(self) -> DataFrame:
         """(`sig`, `cls`, `lead`) for signatures of several classes, `lead` being the smallest.
 
-        What classes own is shuffled once, for the counts and for what they are joined to. Parts of one class
-        come before all others in the second order, so those left out are among the rest.
+        What classes own is shuffled once, and counted next to its rows. Parts of one class come before all
+        others in the second order, so those left out are among the rest.
         """
         ranges = self.rows.select("cls", F.posexplode("signed").alias("range", "_s"))
-        signed = ranges.select("cls", "range", "_s.spare", F.explode("_s.own").alias("sig")).repartition("sig")
-        counts = [F.min("cls").alias("_first"), F.max("cls").alias("_last"), F.count(F.lit(1)).alias("_rows")]
-        several = signed.groupBy("sig").agg(*counts).where("_first < _last").select("sig", "_rows")
-        owned = signed.join(several, "sig").distinct()
+        signed = ranges.select("cls", "range", "_s.spare", F.explode("_s.own").alias("sig"))
+        by_sig = Window.partitionBy("sig")
+        counts = {"_first": F.min("cls").over(by_sig), "_last": F.max("cls").over(by_sig), "_rows": F.count(F.lit(1)).over(by_sig)}
+        owned = signed.withColumns(counts).where("_first < _last").drop("_first", "_last").distinct()
         falling = Window.partitionBy("cls", "range").orderBy(F.desc("_rows"), F.desc("sig"))
         kept = owned.withColumn("_place", F.row_number().over(falling)).where("_place > spare").select("sig", "cls")
-        kept = materialize(kept)
-        leads = kept.groupBy("sig").agg(F.min("cls").alias("lead"), F.max("cls").alias("_last")).where("lead < _last")
-        return materialize(kept.join(leads.drop("_last"), "sig"))
+        leads = {"lead": F.min("cls").over(by_sig), "_last": F.max("cls").over(by_sig)}
+        return materialize(kept.withColumns(leads).where("lead < _last").drop("_last"))
 
     def _sets(self, classes: DataFrame) -> DataFrame:
         """(`cls`, `tokens`) of the given classes, from the text of one document of each, known by id and text."""
@@ -278,9 +279,9 @@ class NgramJoin:
         """(`sig`, `cls`, `component`) for the signatures that several components share."""
         of_class = shared.select("cls").distinct().join(components.withColumnRenamed("node", "cls"), "cls", "left")
         signed = shared.select("sig", "cls").join(of_class, "cls").withColumn("component", F.coalesce("component", "cls"))
-        signed = materialize(signed)
-        split = signed.groupBy("sig").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y")
-        return materialize(signed.join(split.select("sig"), "sig"))
+        by_sig = Window.partitionBy("sig")
+        ends = {"_x": F.min("component").over(by_sig), "_y": F.max("component").over(by_sig)}
+        return materialize(signed.withColumns(ends).where("_x < _y").drop("_x", "_y"))
 
     def _opened(self, at_issue: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs (`a`, `b`) of a query and a member of a group it opens."""

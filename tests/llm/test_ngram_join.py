@@ -138,3 +138,16 @@ def test_a_pattern_of_many_documents_is_no_signature(spark):
     held = join._shared().groupBy("sig").count().agg({"count": "max"}).first()[0]
     assert (held or 0) <= 12
     assert got(join.members()) == brute(docs, 4, 85)
+
+
+def test_what_sets_own_is_shuffled_once(spark, monkeypatch):
+    """Counts and rows of the signatures come from one reading; of their hashes, 48 bits are kept."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2}x{k}" for k in range(60 + i % 2))) for i in range(8)], "doc_id long, text string")
+    join = ngram_join.NgramJoin(docs, 4, 85)
+    written = []
+    monkeypatch.setattr(ngram_join, "materialize", lambda df: written.append(df) or df)
+    join._shared()
+    plan = written[-1]._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Generate") == 2
+    own = join.rows.selectExpr("explode(signed) AS s").selectExpr("explode(s.own) AS sig").agg({"sig": "max"}).first()[0]
+    assert 0 < own < 1 << 48
