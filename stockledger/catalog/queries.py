@@ -108,7 +108,7 @@ def _gap(spark: SparkSession, sf_dir: str, keys: str = finance.REFERENCE) -> Dat
 def _margins(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _product_lines(spark, sf_dir)
     return finance.purchase_sale_detail(
-        finance.detect_purchases(lines["in"]), demo.site_billing(spark, sf_dir), lines["out"]
+        finance.detect_purchases(lines["in"]), demo.site_billing(spark, sf_dir), lines["out"], materialize
     )
 
 

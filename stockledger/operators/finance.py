@@ -403,15 +403,17 @@ def _purchase_figures(purchases: DataFrame) -> DataFrame:
     return null_safe_join(figures, suppliers, SITE_PRODUCT)
 
 
-def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption: DataFrame) -> DataFrame:
+def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption: DataFrame, keep: Keep = as_is) -> DataFrame:
     """Purchase price, sale price and consumption per product and site, with margins and alerts.
 
-    All three sides are aggregated on the same keys before they are joined.
+    All three sides are aggregated on the same keys before they are joined. Sales and consumption of what was
+    not purchased are in no row of the result, so they are left out before they are aggregated. `keep` is
+    applied to the narrow columns of the purchases and of their sales, which are read several times.
     """
     if "ValorUnitario" not in purchases.columns and "PrecioCompra" in purchases.columns:
         purchases = purchases.withColumnRenamed("PrecioCompra", "ValorUnitario")
     sold = grouped_medians(
-        billing,
+        keep(purchased(billing, "billed_unit_price", "billed_value", "billed_qty")),
         SITE_PRODUCT,
         {"billed_unit_price": "Precio_Venta_Mediana"},
         [
@@ -420,7 +422,7 @@ def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption:
             sum0("billed_qty").alias("Facturacion_Cantidad"),
         ],
     )
-    used = consumption.groupBy(*SITE_PRODUCT).agg(
+    used = purchased(consumption, "ValorUnitario", "Cantidad", "ValorTotal").groupBy(*SITE_PRODUCT).agg(
         mean("ValorUnitario").alias("Costo_Consumo_Prom"),
         sum0("Cantidad").alias("Consumo_Cantidad"),
         sum0("ValorTotal").alias("Consumo_Valor"),
@@ -429,6 +431,13 @@ def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption:
     bought, paid = F.col("Compras_Cantidad"), F.col("Precio_Compra_Prom")
     unit_margin = F.col("Precio_Venta_Prom") - paid
     margin = F.col("Facturacion_Valor") - F.col("Compras_Valor")
+    purchases = keep(purchases.select(*SITE_PRODUCT, "Proveedor", "ValorUnitario", "Cantidad", "ValorTotal"))
+    bought_at = purchases.select(*SITE_PRODUCT).distinct().withColumn("_split", split_key("Nombre"))
+
+    def purchased(lines: DataFrame, *read: str) -> DataFrame:
+        keyed = lines.select(*SITE_PRODUCT, *read).withColumn("_split", split_key("Nombre"))
+        return keyed.join(bought_at, [*SITE_PRODUCT, "_split"], "left_semi").drop("_split")
+
     figures = zero_nulls(joined).withColumns(
         {
             "Margen_Unitario_Prom": unit_margin,
@@ -560,7 +569,7 @@ def financial_report(
     """
     stock = keep(stock_efficiency_detail(consumption, receipts, keys))
     gap = keep(billing_gap_detail(billing, consumption, keys))
-    margins = keep(purchase_sale_detail(detect_purchases(receipts), billing, consumption))
+    margins = keep(purchase_sale_detail(detect_purchases(receipts), billing, consumption, keep))
     return {
         "varianza_proveedor": supplier_price_variance(consumption, keep),
         "eficiencia_stock_detalle": stock,

@@ -10,7 +10,7 @@ from row_values import rows_of
 from stockledger.catalog.queries import all_queries
 from stockledger.functions.distributed import Scratch, materialize
 from stockledger.functions.exprs import spread_null_key
-from stockledger.operators import consumption, ledger, loans, monthly
+from stockledger.operators import consumption, finance, ledger, loans, monthly
 from stockledger.operators.deviations import quantity_deviations
 from stockledger.schemas import DEVIATION_COLUMNS
 from stockledger.sources import demo
@@ -175,3 +175,24 @@ def test_billed_rows_of_the_report_are_prepared_once(spark):
     text = plan(all_queries()["financial_report_gap"](spark, SMALL))
     # the internal lines alone are not read from what was written
     assert text.count("lineitem.parquet") == 1
+
+
+PRODUCT_AT = "CodigoGenerico bigint, Nombre string, Municipio string, Servicio string"
+
+
+def test_only_what_was_purchased_is_summed_on_the_other_sides(spark):
+    bought = spark.createDataFrame(
+        [(1, "n", "m", "s", "P", 5, 2, 10), (2, None, "m", "s", "P", 3, 1, 3)],
+        f"{PRODUCT_AT}, Proveedor string, ValorUnitario bigint, Cantidad bigint, ValorTotal bigint",
+    )
+    sold = spark.createDataFrame(
+        [(1, "n", "m", "s", 8, 8, 1), (1, "n", "m", "s", 10, 10, 1), (1, "n", "m", "t", 9, 9, 1), (2, None, "m", "s", 7, 7, 1)],
+        f"{PRODUCT_AT}, billed_unit_price bigint, billed_value bigint, billed_qty bigint",
+    )
+    used = spark.createDataFrame(
+        [(1, "n", "m", "s", 4, 3, 12), (3, "o", "m", "s", 4, 3, 12)],
+        f"{PRODUCT_AT}, ValorUnitario bigint, Cantidad bigint, ValorTotal bigint",
+    )
+    detail = finance.purchase_sale_detail(bought, sold, used)
+    assert str(detail._jdf.queryExecution().optimizedPlan()).count("Join LeftSemi") >= 2
+    assert rows_of(detail, "CodigoGenerico", "Facturacion_Valor", "Precio_Venta_Mediana", "Consumo_Valor") == [(1, 18, 9.0, 12), (2, 0, 0.0, 0)]
