@@ -144,6 +144,11 @@ def supplier_price_variance(consumption: DataFrame, keep: Keep = as_is) -> DataF
 
 # --- stock efficiency ------------------------------------------------------------------------
 
+STOCK_STATES = [
+    "DESABASTECIMIENTO", "SIN_COMPRAS", "SOBRE_STOCK_CRITICO", "SOBRE_STOCK", "STOCK_ELEVADO", "OPTIMO",
+    "DESABASTECIMIENTO_LEVE",
+]
+
 
 def stock_efficiency_detail(consumption: DataFrame, receipts: DataFrame, keys: str = REFERENCE) -> DataFrame:
     """Consumed against received per site, service, class and product, with the stock's state."""
@@ -211,7 +216,11 @@ def stock_efficiency_detail(consumption: DataFrame, receipts: DataFrame, keys: s
 
 
 def stock_efficiency_summary(detail: DataFrame) -> DataFrame:
-    """The detail per site, service and class. Percentages of purchases of 0 are NULL."""
+    """The detail per site, service and class. Percentages of purchases of 0 are NULL.
+
+    The predominant state is the first by name among equals. Its counts are columns, which Spark sums
+    by hash; a histogram per group would be sorted with all rows.
+    """
     summary = detail.groupBy("Municipio", "Servicio", "Clasificacion_consumo").agg(
         sum0("Consumo_Neto_Valor").alias("Total_Consumo_Valor"),
         sum0("Compras_Totales_Valor").alias("Total_Compras_Valor"),
@@ -220,12 +229,15 @@ def stock_efficiency_summary(detail: DataFrame) -> DataFrame:
         sum0("Valor_Stock_Muerto").alias("Total_Stock_Muerto_Valor"),
         sum0("Diferencia_Valor").alias("Diferencia_Neta_Valor"),
         sum0("Diferencia_Cantidad").alias("Diferencia_Neta_Cantidad"),
-        # at most seven states, so the counts kept per group stay few
-        F.mode("Estado_Inventario", True).alias("Estado_Predominante"),
+        *[F.count_if(F.col("Estado_Inventario") == s).alias(f"_{s}") for s in STOCK_STATES],
         F.count_if(F.col("Alerta_Costo_Unitario") != "NORMAL").alias("Productos_Con_Alerta_Costo"),
         n_unique("CodigoGenerico").alias("Num_Productos_Unicos"),
     )
-    return summary.withColumns(
+    most = F.greatest(*[F.col(f"_{s}") for s in STOCK_STATES])
+    predominant = F.array_min(F.array(*[F.when((F.col(f"_{s}") == most) & (most > 0), s) for s in STOCK_STATES]))
+    first = summary.columns.index(f"_{STOCK_STATES[0]}")
+    before, after = summary.columns[:first], summary.columns[first + len(STOCK_STATES) :]
+    return summary.select(*before, predominant.alias("Estado_Predominante"), *after).withColumns(
         {
             "Ratio_Eficiencia_Global": ratio_if_positive("Total_Consumo_Valor", "Total_Compras_Valor"),
             "Pct_Stock_Muerto_Sobre_Compras": ratio("Total_Stock_Muerto_Valor", "Total_Compras_Valor") * 100,

@@ -196,3 +196,19 @@ def test_only_what_was_purchased_is_summed_on_the_other_sides(spark):
     detail = finance.purchase_sale_detail(bought, sold, used)
     assert str(detail._jdf.queryExecution().optimizedPlan()).count("Join LeftSemi") >= 2
     assert rows_of(detail, "CodigoGenerico", "Facturacion_Valor", "Precio_Venta_Mediana", "Consumo_Valor") == [(1, 18, 9.0, 12), (2, 0, 0.0, 0)]
+
+
+def test_predominant_state_is_counted_in_generated_code(spark):
+    text = plan(all_queries()["financial_report_stock_summary"](spark, SMALL))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_predominant_state_is_the_first_by_name_among_equals(spark):
+    states = [("a", s) for s in ("SOBRE_STOCK", "OPTIMO", "SOBRE_STOCK", "OPTIMO", "SIN_COMPRAS")] + [("b", None)]
+    numbers = ["Consumo_Neto_Valor", "Compras_Totales_Valor", "Consumo_Neto_Cantidad", "Compras_Totales_Cantidad",
+               "Valor_Stock_Muerto", "Diferencia_Valor", "Diferencia_Cantidad"]
+    detail = spark.createDataFrame(states, "Municipio string, Estado_Inventario string").select(
+        "*", *[F.lit(1).alias(c) for c in (*numbers, "CodigoGenerico")], F.lit("s").alias("Servicio"),
+        F.lit("c").alias("Clasificacion_consumo"), F.lit("NORMAL").alias("Alerta_Costo_Unitario"),
+    )
+    assert rows_of(finance.stock_efficiency_summary(detail), "Municipio", "Estado_Predominante") == [("a", "OPTIMO"), ("b", None)]
