@@ -342,18 +342,27 @@ def billing_gap_summary(detail: DataFrame, keep: Keep = as_is) -> DataFrame:
         sum0("Facturado_Valor").alias("Total_Facturado"),
         sum0("Consumido_Valor").alias("Total_Consumido"),
         sum0("Margen_Bruto").alias("Margen_Total"),
-        n_unique("idadmision").alias("Pacientes_Atendidos"),
-        n_unique("No_Factura").alias("Facturas_Unicas"),
         F.count_if(F.col("Estado_Facturacion").isin(ALERT_STATES)).alias("Registros_Con_Alerta"),
         F.count_if(F.col("Estado_Facturacion") == "SIN_FACTURAR").alias("Productos_Sin_Facturar"),
         F.count_if(F.col("Alerta_Spread") == "SPREAD_ANOMALO").alias("Spreads_Anomalos"),
     )
+    # distinct values alone are narrow rows; next to the sums they would carry all of those
+    listed = F.array(
+        F.struct(F.lit(True).alias("patient"), F.col("idadmision").cast("string").alias("value")),
+        F.struct(F.lit(False).alias("patient"), F.col("No_Factura").alias("value")),
+    )
+    distinct = detail.select(*keys, F.explode(listed).alias("_v")).select(*keys, "_v.*").distinct()
+    unique = distinct.groupBy(*keys).agg(
+        F.count_if("patient").alias("Pacientes_Atendidos"), F.count_if(~F.col("patient")).alias("Facturas_Unicas")
+    )
     medians = grouped_medians(
         detail, keys, {"Ratio_Fact_Consumo": "Ratio_Mediano", "Margen_Porcentual": "Margen_Mediano_Pct"}
     )
     overall = F.col("Ratio_Global")
+    first = totals.columns.index("Registros_Con_Alerta")
+    columns = [*totals.columns[:first], "Pacientes_Atendidos", "Facturas_Unicas", *totals.columns[first:]]
     return (
-        null_safe_join(totals, medians, keys)
+        null_safe_join(null_safe_join(totals, unique, keys).select(*columns), medians, keys)
         .withColumn("Ratio_Global", ratio_if_positive("Total_Facturado", "Total_Consumido"))
         .withColumn(
             "Alerta_Servicio",
@@ -424,6 +433,13 @@ def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption:
     """
     if "ValorUnitario" not in purchases.columns and "PrecioCompra" in purchases.columns:
         purchases = purchases.withColumnRenamed("PrecioCompra", "ValorUnitario")
+    purchases = keep(purchases.select(*SITE_PRODUCT, "Proveedor", "ValorUnitario", "Cantidad", "ValorTotal"))
+    bought_at = purchases.select(*SITE_PRODUCT).distinct().withColumn("_split", split_key("Nombre"))
+
+    def purchased(lines: DataFrame, *read: str) -> DataFrame:
+        keyed = lines.select(*SITE_PRODUCT, *read).withColumn("_split", split_key("Nombre"))
+        return keyed.join(bought_at, [*SITE_PRODUCT, "_split"], "left_semi").drop("_split")
+
     sold = grouped_medians(
         keep(purchased(billing, "billed_unit_price", "billed_value", "billed_qty")),
         SITE_PRODUCT,
@@ -443,13 +459,6 @@ def purchase_sale_detail(purchases: DataFrame, billing: DataFrame, consumption:
     bought, paid = F.col("Compras_Cantidad"), F.col("Precio_Compra_Prom")
     unit_margin = F.col("Precio_Venta_Prom") - paid
     margin = F.col("Facturacion_Valor") - F.col("Compras_Valor")
-    purchases = keep(purchases.select(*SITE_PRODUCT, "Proveedor", "ValorUnitario", "Cantidad", "ValorTotal"))
-    bought_at = purchases.select(*SITE_PRODUCT).distinct().withColumn("_split", split_key("Nombre"))
-
-    def purchased(lines: DataFrame, *read: str) -> DataFrame:
-        keyed = lines.select(*SITE_PRODUCT, *read).withColumn("_split", split_key("Nombre"))
-        return keyed.join(bought_at, [*SITE_PRODUCT, "_split"], "left_semi").drop("_split")
-
     figures = zero_nulls(joined).withColumns(
         {
             "Margen_Unitario_Prom": unit_margin,
