@@ -74,14 +74,14 @@ def joined_key(a: Column | str, b: Column | str) -> Column:
     return F.concat(as_column(a).cast("string"), F.lit("-"), as_column(b).cast("string"))
 
 
-def spread_null_key(key: str, side: str, over: list[str]) -> Column:
+def spread_null_key(key: Column | str, side: str, over: list[str]) -> Column:
     """The join key with NULLs replaced by texts that match nothing.
 
     NULL keys never join, but they all hash alike and would fill one shuffle partition; the
     side's name keeps left and right apart and the hash spreads them.
     """
     filler = F.concat(F.lit(f"\x00{side}\x00"), F.pmod(F.xxhash64(*over), F.lit(4096)).cast("string"))
-    return F.coalesce(F.col(key), filler)
+    return F.coalesce(as_column(key), filler)
 
 
 def split_key(key: str) -> Column:

@@ -17,6 +17,8 @@ KEY = "ADM-CodGen"
 MEET = "_k"
 # few columns, because those the hash reads cannot be pruned
 SPREAD = ["NoDocumento", "Fecha", "Proveedor"]
+# of the movement fields, those that columns of the grain decide
+TOLD_BY_GRAIN = ["field_1", "Municipio", "Servicio", "Tipo_servicio"]
 ENTITY = "_is_entity"
 
 
@@ -53,6 +55,12 @@ def product_listing(listing: DataFrame) -> DataFrame:
     return listing.select("Codigo", "Nombre", "CodigoGenerico", "EstadoArticulo")
 
 
+def _dealt(df: DataFrame, key: Column, side: str, over: list[str]) -> DataFrame:
+    """Rows dealt by what they meet by, which is added behind the shuffle, as the rows hold what it is made of."""
+    meet = spread_null_key(key, side, over)
+    return df.repartition(meet).withColumn(MEET, meet)
+
+
 def billing_by_admission(billing: DataFrame, money: str = "double", meet: bool = False) -> DataFrame:
     """Pharmacy billing per admission, invoice, product and doctor. Unreadable numbers fail.
 
@@ -73,8 +81,7 @@ def billing_by_admission(billing: DataFrame, money: str = "double", meet: bool =
     )
     grain = list(BILLING_GRAIN)
     if meet:
-        keyed = typed.withColumn(KEY, joined_key(F.col("idadmision").cast("bigint"), F.col("codigo")))
-        typed = keyed.withColumn(MEET, spread_null_key(KEY, "billing", BILLING_GRAIN)).drop(KEY).repartition(MEET)
+        typed = _dealt(typed, joined_key(F.col("idadmision").cast("bigint"), F.col("codigo")), "billing", BILLING_GRAIN)
         grain.append(MEET)
     return (
         typed.groupBy(*grain)
@@ -105,18 +112,22 @@ def split_by_voucher(out_lines: DataFrame, in_lines: DataFrame) -> dict[str, Dat
     }
 
 
-def enrich_and_grain(lines: DataFrame, listing: DataFrame, meet: bool = False) -> DataFrame:
+def enrich_and_grain(lines: DataFrame, listing: DataFrame, meet: bool = False, bare: bool = False) -> DataFrame:
     """Lines with their product, summed to the common grain, and their admission-product key.
 
     A code listed twice doubles its lines, as in any join. The listing carries no broadcast
     hint: Spark decides by its size. With `meet` the lines are dealt by the key of their billing,
-    which the grain decides, before they are summed: one shuffle for the sum and the join.
+    which the grain decides, before they are summed: one shuffle for the sum and the join. `bare` lines
+    have no `movement_fields` yet; they are added behind the shuffles, which need not move them.
     """
     joined = lines.join(product_listing(listing), F.col("CodArticulo") == F.col("Codigo"), "left")
     joined, grain = joined.withColumn("CodigoGenerico", F.col("CodigoGenerico").cast("bigint")), list(GRAIN)
+    admission = F.col("field_1")
+    if bare:
+        joined, admission = joined.withColumn("Clasificacion_consumo", classify_article()), extract_admission()
+        grain = [c for c in GRAIN if c not in TOLD_BY_GRAIN]
     if meet:
-        keyed = joined.withColumn(KEY, joined_key("field_1", "CodigoGenerico"))
-        joined = keyed.withColumn(MEET, spread_null_key(KEY, "lines", SPREAD)).drop(KEY).repartition(MEET)
+        joined = _dealt(joined, joined_key(admission, "CodigoGenerico"), "lines", SPREAD)
         grain.append(MEET)
     grained = (
         joined.groupBy(*grain)
@@ -126,6 +137,10 @@ def enrich_and_grain(lines: DataFrame, listing: DataFrame, meet: bool = False) -
             *[sum0(c).alias(c) for c in ("TotalBruto", "ValorIVA", "ValorDescuento", "ValorTotal")],
         )
     )
+    if bare:
+        measures = [c for c in grained.columns if c not in grain]
+        fields = split_cost_centre(grained.withColumn("field_1", extract_admission()))
+        grained = fields.select(*GRAIN, *([MEET] if meet else []), *measures)
     return grained.withColumn(KEY, joined_key("field_1", "CodigoGenerico"))
 
 
@@ -186,13 +201,18 @@ def corrected_service(df: DataFrame, entities: DataFrame) -> DataFrame:
     return flagged.withColumn("Servicio_Corregido", first_match(rules, otherwise=service)).drop(ENTITY)
 
 
-def attribute_returns(returned: DataFrame, billing: DataFrame, entities: DataFrame, meet: bool = False) -> DataFrame:
+def attribute_returns(
+    returned: DataFrame, billing: DataFrame, entities: DataFrame, meet: bool = False, people: DataFrame | None = None
+) -> DataFrame:
     """Returns with every specialty and doctor of their admission, and the billing of their product.
 
-    The second join's specialty and doctor stay apart as `Especialidad_right`, `MedicoRealiza_right`.
+    The second join's specialty and doctor stay apart as `Especialidad_right`, `MedicoRealiza_right`. `people` is
+    the same billing for the first join, where `billing` has been dealt by product and would be moved for nothing.
     """
-    people = billing.select(F.col("idadmision").alias("_adm"), "Especialidad", "MedicoRealiza").dropDuplicates()
-    attributed = returned.join(people, F.col("field_1").cast("bigint") == F.col("_adm"), "left").drop("_adm")
+    people = (billing if people is None else people).select(F.col("idadmision").alias("_adm"), "Especialidad", "MedicoRealiza")
+    admission = F.col("field_1").cast("bigint")
+    same = (admission == F.col("_adm")) & (F.xxhash64(admission) == split_key("_adm"))
+    attributed = returned.join(people.dropDuplicates(), same, "left").drop("_adm")
     right = billing.withColumnsRenamed(
         {"Especialidad": "Especialidad_right", "MedicoRealiza": "MedicoRealiza_right"}
     )
@@ -233,9 +253,9 @@ def prepare_consumption(
     """
     out_lines, in_lines = movement_fields(out_extract), movement_fields(in_extract)
     if keep is None:
-        keep, roles = as_is, split_by_voucher(out_lines, in_lines)
-        grains = {role: enrich_and_grain(roles[role], listing, role == "dispensed") for role in ("dispensed", "returned")}
-        billed_lines = billing_by_admission(billing, money, meet=True)
+        keep, roles, bare = as_is, split_by_voucher(out_lines, in_lines), split_by_voucher(out_extract, in_extract)
+        grains = {role: enrich_and_grain(bare[role], listing, role == "dispensed", bare=True) for role in ("dispensed", "returned")}
+        billed_lines, people = billing_by_admission(billing, money, meet=True), billing_by_admission(billing, money)
     else:
         voucher = F.col("Comprobante")
         out_role = F.when(voucher == vocab.DISPENSED, "dispensed").when(voucher.isin(vocab.INTERNAL_OUT), "internal_out")
@@ -246,7 +266,7 @@ def prepare_consumption(
         roles = {role: lines.where(F.col("_role") == role).select(*df.drop("_role").columns) for role, df in columns.items()}
         both = keep(enrich_and_grain(lines.where(F.col("_role").isin("dispensed", "returned")), listing))
         grains = {"dispensed": both.where(voucher == vocab.DISPENSED), "returned": both.where(voucher == vocab.RETURNED)}
-        billed_lines = keep(billing_by_admission(billing, money))
+        billed_lines = people = keep(billing_by_admission(billing, money))
     met = keep(consumption_with_billing(grains["dispensed"], billed_lines, meet))
     with_billing = met.drop(MEET)
     corrected = corrected_service(with_billing, entities)
@@ -256,7 +276,7 @@ def prepare_consumption(
         "unclosed": unclosed_billing(corrected),
         "billed_clean": billed,
         "internal_out": roles["internal_out"],
-        "returns": attribute_returns(grains["returned"], billed_lines, entities, meet),
+        "returns": attribute_returns(grains["returned"], billed_lines, entities, meet, people),
         "internal_in": roles["internal_in"],
         "profitability_input": met if meet else with_billing,
     }

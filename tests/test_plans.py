@@ -1,6 +1,7 @@
 """What the plans must and must not contain."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 import pytest
@@ -171,6 +172,40 @@ def test_profitability_sums_and_joins_where_lines_met_their_billing(eager_to_spl
     assert "hashpartitioning(Clasificacion_consumo" not in text and "hashpartitioning(_key" not in text
 
 
+@pytest.mark.parametrize("name", ["profitability", "financial_report_stock_summary"])
+def test_what_the_grain_decides_is_added_behind_the_shuffles(eager_to_split, name):
+    text = plan(all_queries()[name](eager_to_split, SMALL))
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: ([^\n]*)\nArguments: (.*?)\n\n", text, re.DOTALL)
+    of_lines = [read for read, how in moved if "CentroCosto#" in read and "Nombre_right" not in read and "Nombre#" not in how]
+    dealt = [read for read, how in moved if "REPARTITION_BY_COL" in how]
+    assert len(of_lines) >= 3 and len(dealt) >= 2
+    for read in of_lines + dealt:
+        columns = {c.split("#")[0] for c in read.strip("[]").split(", ")}
+        assert not columns & {*consumption.TOLD_BY_GRAIN, consumption.MEET}
+    # the billing that tells an admission's people is not dealt by product
+    assert len(dealt) == 3
+
+
+def test_fields_added_behind_the_shuffles_are_those_added_before(spark):
+    rows = [
+        ("01/01/2024", "DOC ADM: 7", "P", "005General-AMB", "1001", 2), ("01/01/2024", "DOC ADM: 7", "P", "005General-AMB", "1001", 3),
+        ("01/01/2024", None, None, None, "2001", 1), ("02/01/2024", "none", "P", "x", None, 4), ("02/01/2024", "ADM: 8 ADM: 9", "Q", "006Otro", "3001", None),
+    ]
+    texts = ["Dependencia", "Bodega", "Unidad", "User", "FechaDigitacion", "CodGrupo", "Grupo"]
+    money = ["ValorUnitario", "TotalBruto", "ValorIVA", "ValorDescuento", "ValorTotal"]
+    lines = spark.createDataFrame(rows, "Fecha string, NoDocumento string, Proveedor string, CentroCosto string, CodArticulo string, Cantidad bigint").select(
+        F.lit("v").alias("Comprobante"), "*", *[F.lit("t").alias(c) for c in texts], *[F.col("Cantidad").cast("decimal(18,2)").alias(c) for c in money]
+    )
+    listing = spark.createDataFrame(
+        [("1001", "a", "5", "ACTIVO"), ("1001", "b", "5", "ACTIVO"), ("2001", None, None, None)], "Codigo string, Nombre string, CodigoGenerico string, EstadoArticulo string"
+    )
+    for meet in (False, True):
+        before = consumption.enrich_and_grain(consumption.movement_fields(lines), listing, meet)
+        behind = consumption.enrich_and_grain(lines, listing, meet, bare=True)
+        assert before.schema == behind.schema
+        assert sorted(before.collect(), key=str) == sorted(behind.collect(), key=str) and before.count() == 5
+
+
 def test_billed_rows_of_the_report_are_prepared_once(spark):
     text = plan(all_queries()["financial_report_gap"](spark, SMALL))
     # the internal lines alone are not read from what was written
